@@ -137,6 +137,10 @@ def _carry_by_join(local: DataFrame, keys, alphas: Sequence[float], length: int)
         ends_before = F.collect_list(f"__end_{i}").over(by_block.rowsBetween(-depth, -1))
         # The seed reaches a block only if the fold starts at the first one.
         seed = F.when(F.col("__block") <= depth, F.first("__first").over(by_block)).otherwise(F.lit(0.0))
-        carries[f"__carry_{i}"] = F.aggregate(ends_before, seed, lambda acc, end, q=q: acc * F.lit(q) + end)
+        carries[f"__carry_{i}"] = F.aggregate(ends_before, seed, _fold(q))
     folded = ends.withColumns(carries).select(*keys, "__block", *carries)
     return join_groups(local, folded, [*keys, "__block"])
+
+
+def _fold(q: float):
+    return lambda carry, end: carry * F.lit(q) + end

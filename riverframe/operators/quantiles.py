@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 ACCURACY = 20_000
 SLACK = 4
+SMALL_GROUP = 50_000
 
 
 def quantiles_long(
@@ -54,7 +55,11 @@ def _bracketed(long: DataFrame, group: list[str], by: list[str], ps: list[float]
     eps = SLACK / accuracy
     edges = [edge for p in sorted(ps) for edge in (max(p - eps, 0.0), min(p + eps, 1.0))]
     sketch = F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), accuracy)
-    brackets = long.groupBy(*group).agg(F.array_sort(sketch).alias("__edges"))
+    # A group this small is counted whole; in a larger one SLACK spans several ranks.
+    whole = F.array(*[F.lit(float("inf") if i % 2 else float("-inf")) for i in range(len(edges))])
+    brackets = long.groupBy(*group).agg(
+        F.when(F.count("*") <= SMALL_GROUP, whole).otherwise(F.array_sort(sketch)).alias("__edges")
+    )
     # Without ``by`` there is one bracket row per requested column, a fixed number.
     side = brackets if by else F.broadcast(brackets)
     counted = (

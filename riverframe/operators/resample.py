@@ -24,17 +24,22 @@ def resample(
     out_ts: str = "date",
     null_sum: str = "zero",
     n_obs: str | None = "n_obs",
+    digits: int | None = None,
 ) -> DataFrame:
     """Aggregate readings by key and calendar unit.
 
     ``aggs`` maps an output name to (function, column). ``null_sum="zero"`` gives an all-missing
     unit the sum 0, ``"null"`` leaves it missing. ``n_obs`` counts the readings in the unit.
+    ``digits`` rounds sums and means: a floating-point sum depends on the order in which tasks
+    finish, which matters where a value is later compared with a threshold taken from the same data.
     """
     cols = []
     for name, (fn, c) in aggs.items():
         value = AGGREGATES[fn](c)
         if fn == "sum" and null_sum == "zero":
             value = F.coalesce(value, F.lit(0.0))
+        if digits is not None and fn in ("sum", "mean"):
+            value = F.round(value, digits)
         cols.append(value.alias(name))
     if n_obs:
         cols.append(F.count("*").alias(n_obs))

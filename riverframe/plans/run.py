@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverframe.functions.columns import to_local
 from riverframe.operators.select import normalize_keys
 from riverframe.plans.combine import combine_hourly_daily, local_days
 from riverframe.plans.features import DAY, FORECAST, KEY, KIND, TARGET, build_features, feature_names
@@ -32,19 +33,20 @@ class RunConfig:
 
 
 def load_inputs(spark: SparkSession, cfg: RunConfig) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    hourly = normalize_keys(tables.read_table(spark, cfg.weather_hourly, schemas.WEATHER_HOURLY, cfg.fmt), "datetime")
+    def readings(path: str) -> DataFrame:
+        raw = normalize_keys(tables.read_table(spark, path, schemas.WEATHER_HOURLY, cfg.fmt), "datetime")
+        return raw.withColumn("datetime", to_local("datetime", cfg.hourly_tz)) if cfg.hourly_tz else raw
+
+    hourly = readings(cfg.weather_hourly)
     daily = tables.read_table(spark, cfg.flood_daily, schemas.FLOOD_DAILY, cfg.fmt)
-    forecast = None
-    if cfg.weather_forecast:
-        forecast = tables.read_table(spark, cfg.weather_forecast, schemas.WEATHER_HOURLY, cfg.fmt)
-        forecast = normalize_keys(forecast, "datetime")
+    forecast = readings(cfg.weather_forecast) if cfg.weather_forecast else None
     return hourly, forecast, daily
 
 
 def run(spark: SparkSession, cfg: RunConfig, make_model: Callable | None = None) -> TrainingSet:
     """Combine, build features, cut the training set and, given a model, score the forecast."""
     hourly, forecast, daily = load_inputs(spark, cfg)
-    combined = combine_hourly_daily(hourly, daily, cfg.hourly_tz, cfg.daily_tz)
+    combined = combine_hourly_daily(hourly, daily, daily_tz=cfg.daily_tz)
     tables.write_table(combined, f"{cfg.out}/combined", partition_by=[KEY], sort_by=["datetime"])
 
     table = build_features(hourly, forecast, local_days(daily, "date", cfg.daily_tz), cfg.locations, scale=None)
