@@ -111,10 +111,12 @@ def _one_block_back(alphas: Mapping[str, float], length: int) -> bool:
 
 def _carry_by_window(local: DataFrame, keys, alphas: Sequence[float], length: int) -> DataFrame:
     """Daily series: the carry is read over the same partitioning, without a join."""
-    before = Window.partitionBy(*keys).orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
+    # (block, place in block) is the order the rows are in already.
+    by_key = Window.partitionBy(*keys).orderBy("__block", "__p")
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     closing = F.col("__p") == length - 1
     # The first row of a key is its own seed.
-    seed = F.first("__x").over(Window.partitionBy(*keys).orderBy("__pos"))
+    seed = F.first("__x").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
     return local.withColumns(
         {
             f"__carry_{i}": F.coalesce(F.last(F.when(closing, F.col(f"__local_{i}")), True).over(before), seed)

@@ -53,10 +53,13 @@ def join_with_suffix(
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left join of per-group values to rows in which a NULL key meets a NULL key."""
-    renamed = groups.withColumnsRenamed({k: f"__{k}" for k in by})
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by])
-    return rows.join(renamed, match, "left").drop(*[f"__{k}" for k in by])
+    """Left join of per-group values to rows, keeping the column order of ``rows``.
+
+    Plain equality keeps rows that are already partitioned by ``by`` where they are. Rows with a
+    NULL key stay and get NULL values, as they belong to no group.
+    """
+    added = [c for c in groups.columns if c not in by]
+    return rows.join(groups, list(by), "left").select(*rows.columns, *added)
 
 
 def with_global_stats(df: DataFrame, stats: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -66,10 +69,19 @@ def with_global_stats(df: DataFrame, stats: Mapping[str, Column], by: Sequence[s
     single-partition window. With ``by`` it is an aggregate joined back.
     """
     named = [c.alias(n) for n, c in stats.items()]
-    if not by:
-        one = df.agg(F.struct(*named).alias("stats")).scalar()
-        return df.withColumns({n: one.getField(n) for n in stats})
-    return join_groups(df, df.groupBy(*by).agg(*named), by)
+    if by:
+        return join_groups(df, df.groupBy(*by).agg(*named), by)
+    held = with_row(df, df.agg(*named), "__stats")
+    return held.withColumns({n: F.col("__stats").getField(n) for n in stats}).drop("__stats")
+
+
+def with_row(df: DataFrame, row: DataFrame, out: str) -> DataFrame:
+    """Put a one-row table on every row as a struct column.
+
+    It is one scalar subquery however many of its fields are used afterwards; a subquery per
+    field would be optimized and planned once per field.
+    """
+    return df.withColumn(out, row.select(F.struct(*row.columns).alias("row")).scalar())
 
 
 def union_all(*frames: DataFrame, allow_missing: bool = True) -> DataFrame:

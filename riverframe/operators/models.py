@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
@@ -33,7 +34,12 @@ def fit_forest(df: DataFrame, depth: int = 10, trees: int = 100, weight: str | N
 def _fit(estimator, df: DataFrame, weight: str | None):
     if weight:
         estimator = estimator.setWeightCol(weight)
-    return estimator.fit(df)
+    # Fitting reads its rows several times; keep them for as long as it runs.
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def positive_probability(df: DataFrame, c: str = "probability", out: str = "p1") -> DataFrame:

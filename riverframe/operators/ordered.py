@@ -63,7 +63,7 @@ def positions(
     tiebreak: Sequence[str] = (),
     width: int | None = None,
 ) -> DataFrame:
-    """1-based position of each row within its key in ``(ts, tiebreak)`` order.
+    """1-based position of each row within its key in ``(ts, tiebreak)`` order; NULL without a key.
 
     ``width`` is the bucket length in seconds; no sort is larger than one (key, bucket).
     ``total`` adds the row count of the key.
@@ -123,6 +123,6 @@ def add_rows(
     spec = Window.partitionBy(*keys, "__chunk").orderBy("__pos")
     return (
         copied.withColumns({name: e.build(spec) for name, e in exprs.items()})
-        .filter(~F.col("__copy"))
+        .filter(~F.coalesce("__copy", F.lit(False)))
         .drop("__pos", "__chunk", "__copy")
     )

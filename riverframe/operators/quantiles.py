@@ -15,6 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riverframe.functions.columns import nan_to_null
+from riverframe.operators.joins import join_groups, with_row
+
 ACCURACY = 20_000
 SLACK = 4
 SMALL_GROUP = 50_000
@@ -34,46 +37,62 @@ def quantiles_long(
     small, such as the days of one station) or ``approx`` (sketch only).
     """
     ps = [float(p) for p in ps]
-    long = df.select(
-        *by,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in cols])
-        ).alias("__pair"),
-    ).select(*by, "__pair.metric", "__pair.value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    group = [*by, "metric"]
+    known = df.select(*by, *[nan_to_null(F.col(c).cast("double")).alias(f"__{i}") for i, c in enumerate(cols)])
     wanted = F.array(*[F.lit(p) for p in ps])
     if method == "plain":
-        return long.groupBy(*group).agg(F.percentile("value", wanted).alias("q"))
+        return _per_metric(known, cols, by, lambda c: F.percentile(c, wanted), "q")
     if method == "approx":
-        return long.groupBy(*group).agg(F.percentile_approx("value", wanted, accuracy).alias("q"))
+        return _per_metric(known, cols, by, lambda c: F.percentile_approx(c, wanted, accuracy), "q")
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-    return _bracketed(long, group, list(by), ps, accuracy)
+    return _bracketed(known, list(cols), list(by), ps, accuracy)
+
 
+def _per_metric(known: DataFrame, cols: Sequence[str], by: Sequence[str], fn, out: str) -> DataFrame:
+    """One wide aggregate, then one row per column that has any value."""
+    row = known.groupBy(*by).agg(*[fn(F.col(f"__{i}")).alias(f"__{i}") for i in range(len(cols))])
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"__{i}").alias(out)) for i, c in enumerate(cols)])
+    return row.select(*by, F.explode(cells).alias("__cell")).select(*by, "__cell.*").filter(F.col(out).isNotNull())
 
-def _bracketed(long: DataFrame, group: list[str], by: list[str], ps: list[float], accuracy: int) -> DataFrame:
+
+def _bracketed(known: DataFrame, cols: list[str], by: list[str], ps: list[float], accuracy: int) -> DataFrame:
     eps = SLACK / accuracy
     edges = [edge for p in sorted(ps) for edge in (max(p - eps, 0.0), min(p + eps, 1.0))]
-    sketch = F.percentile_approx("value", F.array(*[F.lit(e) for e in edges]), accuracy)
     # A group this small is counted whole; in a larger one SLACK spans several ranks.
     whole = F.array(*[F.lit(float("inf") if i % 2 else float("-inf")) for i in range(len(edges))])
-    brackets = long.groupBy(*group).agg(
-        F.when(F.count("*") <= SMALL_GROUP, whole).otherwise(F.array_sort(sketch)).alias("__edges")
-    )
-    # Without ``by`` there is one bracket row per requested column, a fixed number.
-    side = brackets if by else F.broadcast(brackets)
+
+    def bracket(c: Column) -> Column:
+        sketch = F.percentile_approx(c, F.array(*[F.lit(e) for e in edges]), accuracy)
+        return F.when(F.count(c) <= SMALL_GROUP, whole).otherwise(F.array_sort(sketch))
+
+    brackets = known.groupBy(*by).agg(*[bracket(F.col(f"__{i}")).alias(f"__e{i}") for i in range(len(cols))])
+    if by:
+        held = join_groups(known, brackets, by)
+    else:
+        held = with_row(known, brackets, "__row").select("*", "__row.*")
+    cells = [
+        F.struct(
+            F.lit(c).alias("metric"),
+            _collapse(F.col(f"__{i}"), F.col(f"__e{i}"), len(edges)).alias("value"),
+            *[F.col(f"__e{i}")[k].alias(f"__edge{k}") for k in range(len(edges))],
+        )
+        for i, c in enumerate(cols)
+    ]
+    group = [*by, "metric"]
+    # Edges travel as plain doubles: an array in the aggregation buffer would force a sort.
+    kept = [F.first(f"__edge{k}").alias(f"__edge{k}") for k in range(len(edges))]
     counted = (
-        long.join(side, group)
-        .withColumn("value", _collapse(F.col("value"), F.col("__edges"), len(edges)))
+        held.select(*by, F.explode(F.array(*cells)).alias("__cell"))
+        .select(*by, "__cell.*")
+        .filter(F.col("value").isNotNull())
         .groupBy(*group, "value")
-        .agg(F.count("*").alias("__n"), F.first("__edges").alias("__edges"))
+        .agg(F.count("*").alias("__n"), *kept)
     )
     picked = counted.groupBy(*group).agg(
-        F.percentile("value", F.array(*[F.lit(p) for p in ps]), F.col("__n")).alias("q"),
-        F.first("__edges").alias("__edges"),
+        F.percentile("value", F.array(*[F.lit(p) for p in ps]), F.col("__n")).alias("q"), *kept
     )
     rank = {p: i for i, p in enumerate(sorted(ps))}
-    checked = [_check(F.col("q")[i], F.col("__edges"), 2 * rank[p]) for i, p in enumerate(ps)]
+    checked = [_check(F.col("q")[i], F.col(f"__edge{2 * rank[p]}"), F.col(f"__edge{2 * rank[p] + 1}")) for i, p in enumerate(ps)]
     return picked.select(*group, F.array(*checked).alias("q"))
 
 
@@ -84,11 +103,11 @@ def _collapse(value: Column, edges: Column, n_edges: int) -> Column:
         out = out.when(value <= edges[i + 1], value)
         if i + 2 < n_edges:
             out = out.when(value < edges[i + 2], (edges[i + 1] + edges[i + 2]) / 2)
-    return out.otherwise(F.lit(float("inf")))
+    return F.when(value.isNotNull(), out.otherwise(F.lit(float("inf"))))
 
 
-def _check(answer: Column, edges: Column, at: int) -> Column:
-    inside = (answer >= edges[at]) & (answer <= edges[at + 1])
+def _check(answer: Column, low: Column, high: Column) -> Column:
+    inside = (answer >= low) & (answer <= high)
     broken = F.raise_error(F.lit("quantile sketch broke its error bound; raise the accuracy"))
     return F.when(inside, answer).otherwise(broken.cast("double"))
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riverframe.operators.joins import with_row
+
 STATS_SCHEMA = "feature string, mean double, scale double, var double, n bigint"
 
 
@@ -41,28 +43,26 @@ def apply_scaler(
 
     The statistics (one row per feature) reach the rows as a scalar subquery holding a map.
     """
-    lookup = stats.agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "scale")))).alias("m")
-    ).scalar()
-    return df.withColumns(
-        {
-            c: _scaled(c, lookup[c].getField("mean"), lookup[c].getField("scale"), with_mean, with_std)
-            for c in cols
-        }
-    )
+    lookup = stats.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "scale")))).alias("m"))
+    held = with_row(df, lookup, "__scaler")
+    entry = {c: F.col("__scaler.m")[c] for c in cols}
+    return held.withColumns(
+        {c: _scaled(c, e.getField("mean"), e.getField("scale"), with_mean, with_std) for c, e in entry.items()}
+    ).drop("__scaler")
 
 
 def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Fit and apply in one plan. ``fit_on`` restricts the rows the statistics come from."""
     source = df if fit_on is None else fit_on
-    row = F.struct(
+    row = source.agg(
         *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)],
     )
-    stats = source.agg(row.alias("stats")).scalar()
-    return df.withColumns(
-        {c: _scaled(c, stats.getField(f"m{i}"), stats.getField(f"s{i}"), True, True) for i, c in enumerate(cols)}
-    )
+    held = with_row(df, row, "__scaler")
+    scaled = {
+        c: _scaled(c, F.col(f"__scaler.m{i}"), F.col(f"__scaler.s{i}"), True, True) for i, c in enumerate(cols)
+    }
+    return held.withColumns(scaled).drop("__scaler")
 
 
 def one_hot(df: DataFrame, c: str, categories: Sequence[str] | None = None, prefix: str = "loc") -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riverframe.operators.joins import join_groups
+from riverframe.operators.joins import join_groups, with_row
 from riverframe.operators.quantiles import quantiles_long
 from riverframe.operators.resample import to_long
 
@@ -81,9 +81,9 @@ def label_ratio(df: DataFrame, y: str, by: Sequence[str] = ()) -> DataFrame:
 def class_weights(df: DataFrame, y: str) -> DataFrame:
     """Balanced weights: rows / (classes * rows of the class)."""
     counts = df.groupBy(F.col(y).alias("label")).agg(F.count("*").alias("n"))
-    totals = counts.agg(F.struct(F.sum("n").alias("rows"), F.count("*").alias("classes")).alias("t")).scalar()
-    weight = totals.getField("rows") / (totals.getField("classes") * F.col("n"))
-    return counts.withColumn("weight", weight.cast("double"))
+    held = with_row(counts, counts.agg(F.sum("n").alias("rows"), F.count("*").alias("classes")), "__t")
+    weight = F.col("__t.rows") / (F.col("__t.classes") * F.col("n"))
+    return held.select("label", "n", weight.cast("double").alias("weight"))
 
 
 def min_usable_length(df: DataFrame, keys: Sequence[str], c: str) -> DataFrame:
@@ -107,20 +107,14 @@ def summary_long(df: DataFrame, metrics: Mapping[str, Column], digits: int | Non
 
 def describe(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), method: str = "exact") -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles and max, one row per group and column."""
-    long = df.select(
-        *by,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values])
-        ).alias("__pair"),
-    ).select(*by, "__pair.*")
     group = [*by, "metric"]
-    moments = long.groupBy(*group).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    parts = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = _grouped(df, by).agg(
+        *[F.struct(*[f(F.col(c).cast("double")).alias(n) for n, f in parts.items()]).alias(f"__{i}")
+          for i, c in enumerate(values)]
     )
+    cells = [F.struct(F.lit(c).alias("metric"), *[f"__{i}.{n}" for n in parts]) for i, c in enumerate(values)]
+    moments = row.select(*by, F.explode(F.array(*cells)).alias("__cell")).select(*by, "__cell.*")
     quartiles = quantiles_long(df, values, QUARTILES, by, method)
     joined = join_groups(moments, quartiles, group)
     return joined.select(
@@ -155,19 +149,16 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed; empty bins are kept."""
     value = F.col(c).cast("double")
     known = df.select(value.alias("__v")).filter(F.col("__v").isNotNull())
-    ends = known.agg(F.struct(F.min("__v").alias("lo"), F.max("__v").alias("hi")).alias("ends"))
-    lo, hi = ends.scalar().getField("lo"), ends.scalar().getField("hi")
+    lo, hi = F.min("__v"), F.max("__v")
     # A constant column gets a unit-wide range around its value.
-    low, high = F.when(lo == hi, lo - 0.5).otherwise(lo), F.when(lo == hi, hi + 0.5).otherwise(hi)
-    place = F.least(F.width_bucket(F.col("__v"), low, high, F.lit(bins)), F.lit(bins)).cast("int")
-    counts = known.groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
+    ends = known.agg(
+        F.when(lo == hi, lo - 0.5).otherwise(lo).alias("low"), F.when(lo == hi, hi + 0.5).otherwise(hi).alias("high")
+    )
+    bucket = F.width_bucket(F.col("__v"), F.col("__ends.low"), F.col("__ends.high"), F.lit(bins))
+    place = F.least(bucket, F.lit(bins)).cast("int")
+    counts = with_row(known, ends, "__ends").groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
     step = (F.col("high") - F.col("low")) / bins
-    frame = ends.select(
-        F.when(F.col("ends.lo") == F.col("ends.hi"), F.col("ends.lo") - 0.5).otherwise(F.col("ends.lo")).alias("low"),
-        F.when(F.col("ends.lo") == F.col("ends.hi"), F.col("ends.hi") + 0.5).otherwise(F.col("ends.hi")).alias("high"),
-    ).select(
-        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "low", "high"
-    ).select(
+    frame = ends.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "low", "high").select(
         "bin",
         (F.col("low") + (F.col("bin") - 1) * step).alias("lo"),
         (F.col("low") + F.col("bin") * step).alias("hi"),

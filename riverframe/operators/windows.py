@@ -127,44 +127,49 @@ def fill_gaps(
     """
     if direction not in ("ffill", "bfill", "both"):
         raise ValueError(f"direction must be ffill, bfill or both, not {direction!r}")
-    steps = ["ffill", "bfill"] if direction == "both" else [direction]
     order = [ts, *tiebreak]
     if not use_chunks(df, ts, chunk):
-        spec = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({c: _filled(F.col(c), spec, steps) for c in cols})
+        spec = Window.partitionBy(*keys)
+        return df.withColumns({c: F.coalesce(*_fills(F.col(c), spec, order, direction)) for c in cols})
     tagged = df.withColumn("__bucket", time_bucket(df, ts, width))
     stamp = F.struct(*order)
     edges = tagged.groupBy(*keys, "__bucket").agg(
         *[f(F.col(c), F.when(F.col(c).isNotNull(), stamp)).alias(f"__{n}_{c}")
           for c in cols for n, f in (("last", F.max_by), ("first", F.min_by))]
     )
-    by_bucket = Window.partitionBy(*keys).orderBy("__bucket")
-    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    later = by_bucket.rowsBetween(1, Window.unboundedFollowing)
-    carried = edges.select(
-        *keys,
-        "__bucket",
-        *[F.last(f"__last_{c}", True).over(earlier).alias(f"__before_{c}") for c in cols],
-        *[F.first(f"__first_{c}", True).over(later).alias(f"__after_{c}") for c in cols],
-    )
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
-    up_to = inside.rowsBetween(Window.unboundedPreceding, 0)
-    from_here = inside.rowsBetween(0, Window.unboundedFollowing)
-    # Values inside the bucket first, then the hand-over from the side the fill comes from.
-    reach = {
-        "ffill": lambda c: [F.last(c, True).over(up_to), F.col(f"__before_{c}")],
-        "bfill": lambda c: [F.first(c, True).over(from_here), F.col(f"__after_{c}")],
-    }
-    filled = {c: F.coalesce(*[e for s in steps for e in reach[s](c)]) for c in cols}
-    helpers = [f"__{side}_{c}" for side in ("before", "after") for c in cols]
+    by_key = Window.partitionBy(*keys)
+    earlier = by_key.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    later = by_key.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    def handed(c: str) -> Column:
+        if direction == "bfill":
+            return F.last(f"__first_{c}", True).over(later)
+        before = F.last(f"__last_{c}", True).over(earlier)
+        if direction == "ffill":
+            return before
+        return F.coalesce(before, _first_known(F.col(f"__first_{c}"), by_key, ["__bucket"]))
+
+    carried = edges.select(*keys, "__bucket", *[handed(c).alias(f"__carry_{c}") for c in cols])
+    inside = Window.partitionBy(*keys, "__bucket")
+    local = "ffill" if direction == "both" else direction
+    filled = {c: F.coalesce(*_fills(F.col(c), inside, order, local), F.col(f"__carry_{c}")) for c in cols}
+    helpers = [f"__carry_{c}" for c in cols]
     return join_groups(tagged, carried, [*keys, "__bucket"]).withColumns(filled).drop("__bucket", *helpers)
 
 
-def _filled(c: Column, spec, steps: Sequence[str]) -> Column:
-    forward = F.last(c, True).over(spec.rowsBetween(Window.unboundedPreceding, 0))
-    backward = F.first(c, True).over(spec.rowsBetween(0, Window.unboundedFollowing))
-    # After a forward fill only the leading gap is open, and the first known value closes it.
-    return F.coalesce(*[{"ffill": forward, "bfill": backward}[s] for s in steps])
+def _first_known(c: Column, spec, order: Sequence[str]) -> Column:
+    return F.first(c, True).over(spec.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
+
+def _fills(c: Column, spec, order: Sequence[str], direction: str) -> list[Column]:
+    """Growing frames only: a frame that ends at the partition's end is read anew for every row,
+    so a backward fill is a forward fill in descending order, and after a forward fill the
+    leading gap is closed by the first known value of the key."""
+    forward = F.last(c, True).over(spec.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    if direction == "ffill":
+        return [forward]
+    if direction == "both":
+        return [forward, _first_known(c, spec, order)]
+    return [F.last(c, True).over(spec.orderBy(*[F.desc(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0))]
 
 
 # -- ends of a series -------------------------------------------------------

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverframe.functions.columns import all_flags, flag, relabel
+from riverframe.operators.joins import with_row
 from riverframe.operators.quantiles import quantiles
 from riverframe.operators.resample import to_long
+from riverframe.operators.settle import settle
 from riverframe.operators.stats import corr_of, flag_sums, summary_long
 
 FLAGS = ("extreme_rain", "extreme_discharge", "extreme_both")
@@ -30,21 +32,26 @@ def concurrent_extremes(
     discharge_col: str = "river_discharge_m3s",
     thresholds: str = "separate",
     method: str = "exact",
+    settled: bool = False,
 ) -> DataFrame:
     """Joined days with three flags.
 
     ``separate`` takes each threshold from its own table before the join; ``joined`` takes both
-    from the days the tables share.
+    from the days the tables share. ``settled`` says that both tables are stored already;
+    otherwise they are written once, as thresholds and join both read them.
     """
-    both = rain.select(*on, rain_col).join(discharge.select(*on, discharge_col), list(on), "inner")
+    rain, discharge = rain.select(*on, rain_col), discharge.select(*on, discharge_col)
+    if not settled and thresholds == "separate":
+        rain, discharge = settle(rain, "rain"), settle(discharge, "discharge")
+    both = rain.join(discharge, list(on), "inner")
     if thresholds == "separate":
         rain_limit = quantiles(rain, {rain_col: p}, method=method).scalar()
         discharge_limit = quantiles(discharge, {discharge_col: p}, method=method).scalar()
     elif thresholds == "joined":
         both = both.dropna(subset=[rain_col, discharge_col])
-        q = quantiles(both, {rain_col: p, discharge_col: p}, method=method)
-        limits = q.select(F.struct(*q.columns).alias("limits")).scalar()
-        rain_limit, discharge_limit = limits.getField(rain_col), limits.getField(discharge_col)
+        both = both if settled else settle(both, "days")
+        both = with_row(both, quantiles(both, {rain_col: p, discharge_col: p}, method=method), "__limits")
+        rain_limit, discharge_limit = F.col(f"__limits.{rain_col}"), F.col(f"__limits.{discharge_col}")
     else:
         raise ValueError(f"thresholds must be separate or joined, not {thresholds!r}")
     flagged = both.withColumns(
@@ -52,7 +59,7 @@ def concurrent_extremes(
             "extreme_rain": flag(rain_col, ">=", rain_limit),
             "extreme_discharge": flag(discharge_col, ">=", discharge_limit),
         }
-    )
+    ).drop("__limits")
     return flagged.withColumn("extreme_both", all_flags("extreme_rain", "extreme_discharge"))
 
 

@@ -17,12 +17,13 @@ from riverframe.functions.columns import (
     HEAVY_RAIN_MM, any_flag, calendar_parts, composite, flag, interaction, safe_ratio, season_flag, spread,
 )
 from riverframe.operators.ema import alpha_of, emas
-from riverframe.operators.joins import join_with_suffix, union_all
+from riverframe.operators.joins import join_with_suffix, union_all, with_row
 from riverframe.operators.ordered import add_rows
 from riverframe.operators.quantiles import quantiles
 from riverframe.operators.resample import resample
 from riverframe.operators.scaling import one_hot, standardize
 from riverframe.operators.select import require_columns
+from riverframe.operators.settle import settle
 from riverframe.operators.windows import anomaly_of, delta_of, fill_gaps, lag_of, pct_change_of, rolling_of, zscore
 
 KEY, DAY, TARGET, KIND = "location", "date", "river_discharge_m3s", "data_type"
@@ -152,13 +153,19 @@ def build_features_wide(hourly: DataFrame, daily: DataFrame) -> DataFrame:
     return table.dropna()
 
 
-def discharge_features(discharge: DataFrame, p: float = 0.95, method: str = "exact", fill: bool = True) -> DataFrame:
+def discharge_features(
+    discharge: DataFrame, p: float = 0.95, method: str = "exact", fill: bool = True, settled: bool = False
+) -> DataFrame:
     """Lag, rolling, change, anomaly, extreme, z-score and calendar features of daily discharge.
 
     ``fill`` closes gaps forward and then backward. That also fills the first lags of a key from
-    later days, which a strictly causal model must not see; turn it off for one.
+    later days, which a strictly causal model must not see; turn it off for one. ``settled`` says
+    that ``discharge`` is a stored table already; otherwise it is written once, as it is read by
+    the threshold, the z-score and the windows.
     """
     c = TARGET
+    discharge = discharge.select(KEY, DAY, c)
+    discharge = discharge if settled else settle(discharge, "discharge")
     rows = {f"discharge_lag_{k}d": lag_of(c, k) for k in (1, 3, 7)}
     rows |= {
         "discharge_rolling_3d": rolling_of(c, 3, "mean"),
@@ -167,7 +174,7 @@ def discharge_features(discharge: DataFrame, p: float = 0.95, method: str = "exa
         "discharge_change_pct": pct_change_of(c),
         "discharge_anomaly": anomaly_of(c, 3),
     }
-    table = add_rows(discharge.select(KEY, DAY, c), [KEY], DAY, rows)
+    table = add_rows(discharge, [KEY], DAY, rows)
     threshold = quantiles(discharge, {c: p}, method=method).scalar()
     table = zscore(table.withColumn("is_extreme_river_discharge", flag(c, ">=", threshold)), [c], names={c: "discharge_zscore"})
     table = _with_calendar(table)
@@ -176,8 +183,13 @@ def discharge_features(discharge: DataFrame, p: float = 0.95, method: str = "exa
     return table.dropna(subset=[c])
 
 
-def weather_features(weather: DataFrame, p: float = 0.95, method: str = "exact", fill: bool = True) -> DataFrame:
-    """Lag, rolling, composite, extreme, z-score and calendar features of daily weather."""
+def weather_features(
+    weather: DataFrame, p: float = 0.95, method: str = "exact", fill: bool = True, settled: bool = False
+) -> DataFrame:
+    """Lag, rolling, composite, extreme, z-score and calendar features of daily weather.
+
+    ``fill`` and ``settled`` as in :func:`discharge_features`.
+    """
     rain, temp, wind = "rain_sum_mm", "temperature_mean_c", "wind_speed_max_mps"
     measured = [rain, "precipitation_sum_mm", temp, wind, "wind_gust_max_mps"]
     rows = {}
@@ -186,18 +198,20 @@ def weather_features(weather: DataFrame, p: float = 0.95, method: str = "exact",
         rows[f"temp_lag_{k}d"] = lag_of(temp, k)
     rows["rain_rolling_3d"] = rolling_of(rain, 3, "mean")
     rows["rain_cum_7d"] = rolling_of(rain, 7, "sum")
-    table = _with_calendar(add_rows(weather.select(KEY, DAY, *measured), [KEY], DAY, rows))
-    q = quantiles(weather, {rain: p, temp: p, wind: p}, method=method)
-    limits = q.select(F.struct(*q.columns).alias("limits")).scalar()
+    weather = weather.select(KEY, DAY, *measured)
+    weather = weather if settled else settle(weather, "weather")
+    table = _with_calendar(add_rows(weather, [KEY], DAY, rows))
+    table = with_row(table, quantiles(weather, {rain: p, temp: p, wind: p}, method=method), "__limits")
     table = table.withColumns(
         {
             "atmo_index": composite({rain: 1.0, "precipitation_sum_mm": 1.0, wind: 0.5}),
             "temp_wind_interaction": interaction(temp, wind),
-            "extreme_rain": flag(rain, ">=", limits.getField(rain)),
-            "extreme_temp": flag(temp, ">=", limits.getField(temp)),
-            "extreme_wind": flag(wind, ">=", limits.getField(wind)),
+            "extreme_rain": flag(rain, ">=", F.col(f"__limits.{rain}")),
+            "extreme_temp": flag(temp, ">=", F.col(f"__limits.{temp}")),
+            "extreme_wind": flag(wind, ">=", F.col(f"__limits.{wind}")),
         }
-    ).withColumn("is_extreme_weather", any_flag("extreme_rain", "extreme_temp", "extreme_wind"))
+    ).drop("__limits")
+    table = table.withColumn("is_extreme_weather", any_flag("extreme_rain", "extreme_temp", "extreme_wind"))
     scores = {rain: "rain_sum_zscore", temp: "temperature_mean_zscore", wind: "wind_speed_max_zscore"}
     table = zscore(table, list(scores), names=scores)
     if fill:

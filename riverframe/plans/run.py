@@ -56,7 +56,7 @@ def run(spark: SparkSession, cfg: RunConfig, make_model: Callable | None = None)
     table = spark.read.schema(table.schema).parquet(f"{cfg.out}/features_daily")
 
     features = feature_names(cfg.locations)
-    training = make_training_set(table, features, TARGET, n=cfg.sequence_length)
+    training = make_training_set(table, features, TARGET, n=cfg.sequence_length, settled=True)
     tables.save_stats(training.scaler, f"{cfg.out}/scaler_stats")
     tables.write_feature_list(spark, features, f"{cfg.out}/feature_columns")
     tables.write_metadata(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riverframe.operators.scaling import apply_scaler, fit_scaler
 from riverframe.operators.select import require_columns
+from riverframe.operators.settle import settle
 from riverframe.operators.sequences import chrono_split, sequence_counts, sequences
 
 
@@ -33,14 +34,18 @@ def make_training_set(
     history: tuple[str, str] | None = ("data_type", "historical"),
     rounding: str = "floor",
     fit_on_train: bool = False,
+    settled: bool = False,
 ) -> TrainingSet:
     """Complete historical rows, scaled, cut into sequences per key and split by time.
 
-    ``fit_on_train`` fits the scaler on the oldest share of each key only.
+    ``fit_on_train`` fits the scaler on the oldest share of each key only. Unless ``settled``
+    (``table`` is stored already), the rows are written once: the scaler, the counts and the
+    sequences all read them.
     """
     require_columns(table, [*keys, ts, target, *features, *([history[0]] if history else [])])
     rows = table.filter(F.col(history[0]) == history[1]) if history else table
     rows = rows.select(*keys, ts, target, *features).dropna()
+    rows = rows if settled else settle(rows, "training")
     fit_rows = rows
     if fit_on_train:
         fit_rows = chrono_split(rows, keys, ts, ratios, rounding=rounding).filter(F.col("split") == "train")

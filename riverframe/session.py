@@ -15,6 +15,8 @@ def local_session(cores: int | str = 8, app: str = "riverframe", shuffle_partiti
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Recording the call site of every column costs more than planning on small data.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("RIVERFRAME_DRIVER_MEMORY", "12g"))

@@ -6,26 +6,26 @@ from __future__ import annotations
 
 RAIN = """rain AS (
   SELECT o_orderpriority AS location, CAST(o_orderdate AS DATE) AS date,
-         round(sum(o_totalprice / 9973.0), 9) AS rain_sum_mm, max(o_totalprice / 9973.0) AS rain_max_1h
+         round(sum(o_totalprice / 9973.0), 11) AS rain_sum_mm, max(o_totalprice / 9973.0) AS rain_max_1h
   FROM orders GROUP BY 1, 2)"""
 SHIP = """ship AS (
   SELECT o_orderpriority AS location, l_shipdate AS datetime, l_extendedprice
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 FLOW = SHIP + """, flow AS (
-  SELECT location, CAST(datetime AS DATE) AS date, round(sum(l_extendedprice / 997.0), 9) AS river_discharge_m3s
+  SELECT location, CAST(datetime AS DATE) AS date, round(sum(l_extendedprice / 997.0), 11) AS river_discharge_m3s
   FROM ship GROUP BY 1, 2)"""
 BOTH = f"{RAIN}, {FLOW}, days AS (SELECT * FROM rain LEFT JOIN flow USING (location, date))"
 PAIRED = f"{RAIN}, {FLOW}, days AS (SELECT * FROM rain JOIN flow USING (location, date))"
 WEATHER = """weather AS (
   SELECT l_returnflag AS location, CAST(l_shipdate AS DATE) AS date,
-         round(sum(l_extendedprice / 9973.0), 9) AS rain_sum_mm,
-         round(sum(l_quantity), 9) AS precipitation_sum_mm,
-         round(avg(l_quantity), 9) AS temperature_mean_c,
+         round(sum(l_extendedprice / 9973.0), 11) AS rain_sum_mm,
+         round(sum(l_quantity), 11) AS precipitation_sum_mm,
+         round(avg(l_quantity), 11) AS temperature_mean_c,
          max(l_tax * 100.0) AS wind_speed_max_mps, max(l_discount * 100.0) AS wind_gust_max_mps
   FROM lineitem GROUP BY 1, 2)"""
 FLAG_FLOW = """flag_flow AS (
   SELECT l_returnflag AS location, CAST(l_shipdate AS DATE) AS date,
-         round(sum(l_extendedprice * (1 - l_discount) / 997.0), 9) AS river_discharge_m3s
+         round(sum(l_extendedprice * (1 - l_discount) / 997.0), 11) AS river_discharge_m3s
   FROM lineitem GROUP BY 1, 2)"""
 READINGS = """readings AS (
   SELECT event_type AS location, ts AS datetime, value AS rain, event_id FROM events)"""
@@ -37,7 +37,7 @@ WIDE = """wide AS (
   FROM events)"""
 TARGET = """target AS (
   SELECT o_orderpriority AS location, CAST(o_orderdate AS DATE) AS date,
-         round(avg(o_totalprice / 9973.0 * 10.0), 9) AS river_discharge_m3s
+         round(avg(o_totalprice / 9973.0 * 10.0), 11) AS river_discharge_m3s
   FROM orders GROUP BY 1, 2)"""
 LABELS = "p AS (SELECT quality AS label, toxic AS predicted FROM labels)"
 W = "(PARTITION BY location ORDER BY date)"
@@ -135,7 +135,8 @@ SELECT location, date, 'forecast', NULL, NULL, round(river_discharge_m3s, 6) FRO
 
 ORACLES["lag_features"] = f"""
 WITH {RAIN}
-SELECT location, date, rain_sum_mm, {", ".join(f"lag(rain_sum_mm, {k}) OVER {W} AS rain_sum_mm_lag_{k}" for k in (1, 2, 3, 7))}
+SELECT location, date, round(rain_sum_mm, 6) AS rain_sum_mm,
+       {", ".join(f"round(lag(rain_sum_mm, {k}) OVER {W}, 6) AS rain_sum_mm_lag_{k}" for k in (1, 2, 3, 7))}
 FROM rain"""
 ORACLES["rolling_min1"] = f"""
 WITH {RAIN}
@@ -202,8 +203,8 @@ SELECT location, hour, round(rain, 6) AS rain, round(coalesce(
 FROM g"""
 ORACLES["fill_forward_daily"] = f"""
 WITH {BOTH}
-SELECT location, date, last_value(river_discharge_m3s IGNORE NULLS) OVER (PARTITION BY location ORDER BY date
-  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS river_discharge_m3s FROM days"""
+SELECT location, date, round(last_value(river_discharge_m3s IGNORE NULLS) OVER (PARTITION BY location ORDER BY date
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS river_discharge_m3s FROM days"""
 ORACLES["last_n_per_key"] = f"""
 WITH {READINGS}
 SELECT * FROM readings QUALIFY row_number() OVER (PARTITION BY location ORDER BY datetime DESC, event_id DESC) <= 14"""
@@ -266,9 +267,9 @@ def extreme_cte(separate: bool = True) -> str:
 x AS (SELECT *, extreme_rain * extreme_discharge AS extreme_both FROM flagged)"""
 
 
-ORACLES["extreme_days"] = f"WITH {extreme_cte()} SELECT * FROM x"
-ORACLES["extreme_days_joined"] = f"WITH {extreme_cte(False)} SELECT * FROM x"
-ORACLES["concurrent_events"] = f"WITH {extreme_cte()} SELECT * FROM x WHERE extreme_both = 1"
+ORACLES["extreme_days"] = f"WITH {extreme_cte()} SELECT * REPLACE (round(rain_sum_mm, 6) AS rain_sum_mm, round(river_discharge_m3s, 6) AS river_discharge_m3s) FROM x"
+ORACLES["extreme_days_joined"] = f"WITH {extreme_cte(False)} SELECT * REPLACE (round(rain_sum_mm, 6) AS rain_sum_mm, round(river_discharge_m3s, 6) AS river_discharge_m3s) FROM x"
+ORACLES["concurrent_events"] = f"WITH {extreme_cte()} SELECT * REPLACE (round(rain_sum_mm, 6) AS rain_sum_mm, round(river_discharge_m3s, 6) AS river_discharge_m3s) FROM x WHERE extreme_both = 1"
 ORACLES["extreme_summary"] = f"""
 WITH {extreme_cte()}
 SELECT 'Total Records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM x
@@ -351,7 +352,7 @@ ORACLES["count_flags"] = f"""
 WITH {BOTH}
 SELECT location, count(*) FILTER (WHERE rain_sum_mm > 0) AS rainy, count(*) FILTER (WHERE rain_sum_mm > 50) AS heavy,
        count(*) FILTER (WHERE river_discharge_m3s >= 100) AS flood FROM days GROUP BY 1"""
-ORACLES["topk_days"] = f"WITH {RAIN} SELECT * FROM rain ORDER BY rain_sum_mm DESC, date DESC, location DESC LIMIT 10"
+ORACLES["topk_days"] = f"WITH {RAIN} SELECT location, date, {r('rain_sum_mm', 'rain_max_1h')} FROM (FROM rain ORDER BY rain_sum_mm DESC, date DESC, location DESC LIMIT 10)"
 
 # -- reshaping --------------------------------------------------------------
 
@@ -414,8 +415,9 @@ def sequence_sql(source: str, features: tuple[str, ...], n: int, extra: str = ""
        QUALIFY count(*) OVER {frame} = {n}"""
 
 
+LABEL = ", round(river_discharge_m3s, 6) AS river_discharge_m3s"
 ORACLES["sequences"] = f"""
-WITH {PAIRED} {sequence_sql('days', ('rain_sum_mm', 'river_discharge_m3s'), 14, ', river_discharge_m3s')}"""
+WITH {PAIRED} {sequence_sql('days', ('rain_sum_mm', 'river_discharge_m3s'), 14, LABEL)}"""
 ORACLES["sequence_counts"] = f"""
 WITH {PAIRED} SELECT location, count(*) AS n_rows, greatest(count(*) - 14, 0) AS n_sequences FROM days GROUP BY 1"""
 
@@ -435,10 +437,11 @@ CEIL = "CASE WHEN pos <= n - ceil(n * 0.2::DOUBLE) THEN 'train' ELSE 'test' END"
 ORACLES["split_ceil_test"] = f"WITH {PAIRED}, k AS (SELECT location, date FROM days) {split_sql('k', CEIL, True)}"
 ORACLES["label_by_quantile"] = f"""
 WITH {FLOW}
-SELECT *, CAST(river_discharge_m3s >= (SELECT quantile_cont(river_discharge_m3s, 0.8) FROM flow) AS INTEGER) AS label FROM flow"""
+SELECT location, date, round(river_discharge_m3s, 6) AS river_discharge_m3s,
+       CAST(river_discharge_m3s >= (SELECT quantile_cont(river_discharge_m3s, 0.8) FROM flow) AS INTEGER) AS label FROM flow"""
 TRAIN = f"""{PAIRED}, t AS (SELECT location, date, river_discharge_m3s,
   {z('rain_sum_mm', 'stddev_pop')} AS a, {z('rain_max_1h', 'stddev_pop')} AS b FROM days),
-s AS ({sequence_sql('t', ('a', 'b'), 14, ', river_discharge_m3s')})"""
+s AS ({sequence_sql('t', ('a', 'b'), 14, LABEL)})"""
 ORACLES["training_set"] = f"WITH {TRAIN} {split_sql('s', TWO, True)}"
 ORACLES["training_metadata"] = f"""
 WITH {TRAIN}, c AS (SELECT count(*) AS n FROM s)
@@ -586,7 +589,7 @@ WIDE_OUT = [*WIDE_COLS, "temp_diurnal_range", *[f"rain_sum_lag_{k}" for k in (1,
             "rain_ema_3", "rain_ema_7", "river_discharge_m3s"]
 ORACLES["feature_table_wide"] = f"""
 WITH RECURSIVE {WIDE}, {WIDE_DAYS},
-goal AS (SELECT location, CAST(datetime AS DATE) AS date, round(avg(wind_speed_10m), 9) AS river_discharge_m3s FROM wide GROUP BY 1, 2),
+goal AS (SELECT location, CAST(datetime AS DATE) AS date, round(avg(wind_speed_10m), 11) AS river_discharge_m3s FROM wide GROUP BY 1, 2),
 {ema_cte('wide_days', 'rain_sum_mm', {'rain_ema_3': 0.5, 'rain_ema_7': 0.25}, 'date')},
 win AS (SELECT *, temp_max - temp_min AS temp_diurnal_range, {WIDE_LAGS}, {WIDE_ROLLS},
         coalesce(rain_sum_mm - lag(rain_sum_mm) OVER {W}, 0) AS rain_change_1d FROM numbered)

@@ -17,6 +17,7 @@ from riverframe.operators.joins import (
 from riverframe.operators.ordered import add_rows, positions
 from riverframe.operators.quantiles import quantiles, quantiles_long
 from riverframe.operators.resample import mean_by, month_means, pivot_first, resample, to_long
+from riverframe.operators.settle import settle
 from riverframe.plans import dashboard, evaluate, extremes, features, profile, scoring, training
 from riverframe.plans.combine import combine_hourly_daily
 from riverframe.sources import payloads as P
@@ -117,7 +118,8 @@ def union_tagged(spark, sf):
 
 @query
 def lag_features(spark, sf):
-    return W.lags(T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm"), KEYS, "date", "rain_sum_mm", (1, 2, 3, 7))
+    days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
+    return rounded(W.lags(days, KEYS, "date", "rain_sum_mm", (1, 2, 3, 7)))
 
 
 @query
@@ -211,7 +213,7 @@ def fill_both(spark, sf):
 @query
 def fill_forward_daily(spark, sf):
     days = T.rain_and_flow(spark, sf).select("location", "date", "river_discharge_m3s")
-    return W.fill_gaps(days, KEYS, "date", ["river_discharge_m3s"], "ffill")
+    return rounded(W.fill_gaps(days, KEYS, "date", ["river_discharge_m3s"], "ffill"))
 
 
 @query
@@ -253,7 +255,7 @@ def scaler_fit(spark, sf):
 
 @query
 def scaler_apply(spark, sf):
-    days = T.rain_and_flow(spark, sf)
+    days = settle(T.rain_and_flow(spark, sf))
     cols = ["rain_sum_mm", "rain_max_1h", "river_discharge_m3s"]
     return rounded(scaling.apply_scaler(days, scaling.fit_scaler(days, cols), cols))
 
@@ -285,17 +287,17 @@ def _extremes(spark, sf, thresholds="separate"):
 
 @query
 def extreme_days(spark, sf):
-    return _extremes(spark, sf)
+    return rounded(_extremes(spark, sf))
 
 
 @query
 def extreme_days_joined(spark, sf):
-    return _extremes(spark, sf, "joined")
+    return rounded(_extremes(spark, sf, "joined"))
 
 
 @query
 def concurrent_events(spark, sf):
-    return extremes.concurrent_events(_extremes(spark, sf))
+    return rounded(extremes.concurrent_events(_extremes(spark, sf)))
 
 
 @query
@@ -338,7 +340,7 @@ def describe_global(spark, sf):
 
 @query
 def describe_by_key(spark, sf):
-    return rounded(stats.describe(T.rain_and_flow(spark, sf), ["rain_sum_mm", "river_discharge_m3s"], KEYS), 5)
+    return rounded(stats.describe(settle(T.rain_and_flow(spark, sf)), ["rain_sum_mm", "river_discharge_m3s"], KEYS), 5)
 
 
 @query
@@ -402,7 +404,7 @@ def count_flags(spark, sf):
 
 @query
 def topk_days(spark, sf):
-    return stats.top_k(T.rain_daily(spark, sf), ["rain_sum_mm", "date", "location"], 10)
+    return rounded(stats.top_k(T.rain_daily(spark, sf), ["rain_sum_mm", "date", "location"], 10))
 
 
 # -- reshaping --------------------------------------------------------------
@@ -503,7 +505,7 @@ def _paired_days(spark, sf):
 
 
 def _sequence_facts(df):
-    return df.withColumns({
+    return rounded(df).withColumns({
         "n_values": F.size(F.flatten("sequence")),
         "first_value": F.round(F.col("sequence")[0][0], 6),
         "last_value": F.round(F.element_at(F.element_at("sequence", -1), 1), 6),
@@ -529,7 +531,8 @@ def split_per_key(spark, sf):
 
 @query
 def split_concat(spark, sf):
-    return S.chrono_split(_paired_days(spark, sf).select("location", "date"), KEYS, "date", mode="concat")
+    days = settle(_paired_days(spark, sf).select("location", "date"))
+    return S.chrono_split(days, KEYS, "date", mode="concat")
 
 
 @query
@@ -539,12 +542,14 @@ def split_three_way(spark, sf):
 
 @query
 def split_ceil_test(spark, sf):
-    return S.chrono_split(_paired_days(spark, sf).select("location", "date"), KEYS, "date", rounding="ceil_test", mode="concat")
+    days = settle(_paired_days(spark, sf).select("location", "date"))
+    return S.chrono_split(days, KEYS, "date", rounding="ceil_test", mode="concat")
 
 
 @query
 def label_by_quantile(spark, sf):
-    return S.label_quantile(T.flow_daily(spark, sf), "river_discharge_m3s", 0.8, prefer="is_extreme_flood")
+    days = settle(T.flow_daily(spark, sf))
+    return rounded(S.label_quantile(days, "river_discharge_m3s", 0.8, prefer="is_extreme_flood"))
 
 
 @query
@@ -673,7 +678,7 @@ def feature_table_overlapping(spark, sf):
 @query
 def feature_table_wide(spark, sf):
     readings = T.readings_wide(spark, sf)
-    target = resample(readings, KEYS, "datetime", {"river_discharge_m3s": ("mean", "wind_speed_10m")}, n_obs=None, digits=9)
+    target = resample(readings, KEYS, "datetime", {"river_discharge_m3s": ("mean", "wind_speed_10m")}, n_obs=None, digits=T.DIGITS)
     return rounded(features.build_features_wide(readings, target))
 
 
@@ -781,7 +786,7 @@ def overlay_all(spark, sf):
 def _tree_rows(spark, sf):
     from riverframe.operators import models as M
 
-    days = S.label_quantile(_paired_days(spark, sf), "river_discharge_m3s", 0.8)
+    days = S.label_quantile(settle(_paired_days(spark, sf)), "river_discharge_m3s", 0.8)
     cut = S.sequences(days, KEYS, "date", ["rain_sum_mm", "river_discharge_m3s"], 7, "label")
     split = S.chrono_split(cut, KEYS, "date")
     rows = S.with_vector(S.flatten_sequences(split)).select("location", "date", "label", "split", "features")
