@@ -44,14 +44,15 @@ def make_training_set(
     """
     require_columns(table, [*keys, ts, target, *features, *([history[0]] if history else [])])
     rows = table.filter(F.col(history[0]) == history[1]) if history else table
-    rows = rows.select(*keys, ts, target, *features).dropna()
+    rows = rows.select(*dict.fromkeys([*keys, ts, target, *features])).dropna()
     rows = rows if settled else settle(rows, "training")
     fit_rows = rows
     if fit_on_train:
         fit_rows = chrono_split(rows, keys, ts, ratios, rounding=rounding).filter(F.col("split") == "train")
     scaler = fit_scaler(fit_rows, features)
-    scaled = apply_scaler(rows, scaler, features)
-    cut = sequences(scaled, keys, ts, features, n, target)
+    # The label keeps its own scale, also where the target is one of the features.
+    scaled = apply_scaler(rows.withColumn("__label", F.col(target)), scaler, features)
+    cut = sequences(scaled, keys, ts, features, n, "__label").withColumnRenamed("__label", target)
     return TrainingSet(rows, chrono_split(cut, keys, ts, ratios, mode, rounding), scaler, sequence_counts(rows, keys, n))
 
 

@@ -711,14 +711,21 @@ JOINED_COLUMNS = [
 # -- forecasts --------------------------------------------------------------
 
 
-def mean_of_first_feature():
-    """A stand-in model: the mean of the first feature over the sequence."""
-    return lambda x: np.mean(x[:, :, 0], axis=1)
+def mean_model():
+    """A stand-in model: the mean of the first feature over the sequence.
+
+    An inner function travels to the workers by value, so they need not have this package.
+    """
+
+    def make():
+        return lambda x: np.mean(x[:, :, 0], axis=1)
+
+    return make
 
 
 @query
 def score_forecast(spark, sf):
-    scored = scoring.score_forecast(T.flow_daily(spark, sf), ["river_discharge_m3s"], None, mean_of_first_feature, 14)
+    scored = scoring.score_forecast(T.flow_daily(spark, sf), ["river_discharge_m3s"], None, mean_model(), 14)
     return rounded(scored)
 
 
@@ -751,7 +758,7 @@ def horizon_per_key(spark, sf):
 @query
 def horizon_forecast(spark, sf):
     scored, _ = scoring.forecast_horizon(
-        T.rain_daily(spark, sf), ["rain_sum_mm"], None, mean_of_first_feature, HORIZON_END, 14, target=None
+        T.rain_daily(spark, sf), ["rain_sum_mm"], None, mean_model(), HORIZON_END, 14, target=None
     )
     return rounded(scored)
 
@@ -759,7 +766,7 @@ def horizon_forecast(spark, sf):
 @query
 def actual_and_forecast(spark, sf):
     days = T.flow_daily(spark, sf)
-    scored = scoring.score_forecast(days, ["river_discharge_m3s"], None, mean_of_first_feature, 7)
+    scored = scoring.score_forecast(days, ["river_discharge_m3s"], None, mean_model(), 7)
     return rounded(S.actual_vs_forecast(days, scored, KEYS, "date", "river_discharge_m3s", "predicted_discharge"))
 
 
