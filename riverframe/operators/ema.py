@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverframe.operators.joins import join_groups
-from riverframe.operators.ordered import positions, use_chunks
+from riverframe.operators.ordered import HOT_ROWS, positions, use_chunks
 
 MAX_BLOCK = 50_000
 SAFE_EXPONENT = 600.0
@@ -64,6 +64,7 @@ def emas(
     chunk: int | None = None,
     width: int | None = None,
     block: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Several averages of one column in a single pass. A missing value is an error: fill first."""
     plain = {n: a for n, a in alphas.items() if a < 1.0}
@@ -72,7 +73,7 @@ def emas(
         return out
     length = block or _block_length(list(plain.values()))
     if use_chunks(df, ts, chunk):
-        numbered = positions(out, keys, ts, "__pos", tiebreak=tiebreak, width=width)
+        numbered = positions(out, keys, ts, "__pos", tiebreak=tiebreak, width=width, hot_rows=hot_rows)
     else:
         numbered = out.withColumn("__pos", F.row_number().over(Window.partitionBy(*keys).orderBy(ts, *tiebreak)))
     missing = F.raise_error(F.lit(f"column {c} has missing values; fill them before averaging"))

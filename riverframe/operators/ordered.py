@@ -4,7 +4,8 @@ A series at daily grain is bounded by the calendar (about 366 rows a year and ke
 ordinary ``partitionBy(key)`` window is safe there. A series of raw stamps has no such bound:
 one sensor may hold a third of all readings. For those the functions here
 
-1. count rows per (key, time bucket), which partial aggregation makes small,
+1. count rows per (key, time bucket), which partial aggregation makes small, and cut buckets
+   that are still too large,
 2. turn the counts into a running offset per key: one row per bucket, not per reading,
 3. number the rows inside each bucket and add the offset: exact global positions per key,
 4. cut each key into chunks of equal length by position and copy the last ``back`` rows of a
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverframe.operators.joins import join_groups
+from riverframe.operators.settle import settle
 
 CHUNK_ROWS = 50_000
 DAY = 86_400
 DATE_BUCKET = 64 * DAY
 STAMP_BUCKET = 3_600
+HOT_ROWS = 2_000_000
 
 
 def calendar_bounded(df: DataFrame, ts: str) -> bool:
@@ -42,16 +45,45 @@ def use_chunks(df: DataFrame, ts: str, chunk: int | None) -> int:
     return 0 if calendar_bounded(df, ts) else CHUNK_ROWS
 
 
-def seconds_of(df: DataFrame, ts: str) -> Column:
-    """Whole seconds on the wall clock; the zone does not matter for cutting buckets."""
+def micros_of(df: DataFrame, ts: str) -> Column:
+    """Microseconds on the wall clock; the zone does not matter for cutting buckets."""
     if calendar_bounded(df, ts):
-        return F.unix_date(F.col(ts)).cast("bigint") * DAY
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000)
+        return F.unix_date(F.col(ts)).cast("bigint") * (DAY * 1_000_000)
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
 def time_bucket(df: DataFrame, ts: str, width: int | None = None) -> Column:
     width = width or (DATE_BUCKET if calendar_bounded(df, ts) else STAMP_BUCKET)
-    return F.floor(seconds_of(df, ts) / width)
+    return F.floor(micros_of(df, ts) / (width * 1_000_000))
+
+
+def cells(
+    df: DataFrame, keys: Sequence[str], ts: str, width: int | None = None, hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Cut every key into time cells that one task can sort.
+
+    Returns the rows with ``__bucket`` and ``__piece``, and the row count of each cell. The
+    counts per bucket are written once and looked at: only if some bucket holds more than
+    ``hot_rows`` rows of a key (a burst, or one bucket with a third of all data) are such
+    buckets cut further, each into equal spans of its own first to last stamp.
+    """
+    tagged = df.withColumns({"__bucket": time_bucket(df, ts, width), "__piece": F.lit(0).cast("bigint")})
+    at = micros_of(df, ts)
+    sizes = settle(
+        tagged.groupBy(*keys, "__bucket").agg(
+            F.count("*").alias("__rows"), F.min(at).alias("__first"), F.max(at).alias("__final")
+        ),
+        "cells",
+    )
+    hot = sizes.filter(F.col("__rows") > hot_rows)
+    if hot.isEmpty():
+        return tagged, sizes.select(*keys, "__bucket", F.lit(0).cast("bigint").alias("__piece"), "__rows")
+    span = (F.col("__final") - F.col("__first") + 1) * (F.lit(hot_rows) / F.col("__rows"))
+    cuts = hot.select(*keys, "__bucket", "__first", F.greatest(F.ceil(span), F.lit(1)).alias("__span"))
+    piece = F.coalesce(F.floor((at - F.col("__first")) / F.col("__span")), F.lit(0))
+    cut = join_groups(tagged, cuts, [*keys, "__bucket"]).withColumn("__piece", piece).drop("__first", "__span")
+    counted = cut.groupBy(*keys, "__bucket", "__piece").agg(F.count("*").alias("__rows"))
+    return cut, counted
 
 
 def positions(
@@ -62,28 +94,28 @@ def positions(
     total: str | None = None,
     tiebreak: Sequence[str] = (),
     width: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """1-based position of each row within its key in ``(ts, tiebreak)`` order; NULL without a key.
 
-    ``width`` is the bucket length in seconds; no sort is larger than one (key, bucket).
-    ``total`` adds the row count of the key.
+    ``width`` is the bucket length in seconds. ``total`` adds the row count of the key.
     """
-    tagged = df.withColumn("__bucket", time_bucket(df, ts, width))
-    counts = tagged.groupBy(*keys, "__bucket").agg(F.count("*").alias("__rows"))
+    cell = ["__bucket", "__piece"]
+    tagged, counts = cells(df, keys, ts, width, hot_rows)
     by_key = Window.partitionBy(*keys)
-    before = F.sum("__rows").over(by_key.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("__rows").over(by_key.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(
         *keys,
-        "__bucket",
+        *cell,
         F.coalesce(before, F.lit(0)).alias("__before"),
         *([F.sum("__rows").over(by_key).alias(total)] if total else []),
     )
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(ts, *tiebreak)
+    inside = Window.partitionBy(*keys, *cell).orderBy(ts, *tiebreak)
     numbered = tagged.withColumn("__inside", F.row_number().over(inside))
     return (
-        join_groups(numbered, offsets, [*keys, "__bucket"])
+        join_groups(numbered, offsets, [*keys, *cell])
         .withColumn(out, F.col("__before") + F.col("__inside"))
-        .drop("__bucket", "__before", "__inside")
+        .drop(*cell, "__before", "__inside")
     )
 
 
@@ -103,6 +135,7 @@ def add_rows(
     tiebreak: Sequence[str] = (),
     chunk: int | None = None,
     width: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add window columns over one shared window: one shuffle and one sort for all of them.
 
@@ -115,7 +148,7 @@ def add_rows(
         return df.withColumns({name: e.build(spec) for name, e in exprs.items()})
     back = max(e.back for e in exprs.values())
     size = max(size, back, 1)
-    placed = positions(df, keys, ts, "__pos", tiebreak=tiebreak, width=width)
+    placed = positions(df, keys, ts, "__pos", tiebreak=tiebreak, width=width, hot_rows=hot_rows)
     home = F.floor((F.col("__pos") - 1) / size)
     in_chunk = (F.col("__pos") - 1) % size
     cells = F.when(in_chunk >= size - back, F.array(home, home + 1)).otherwise(F.array(home))

@@ -1,25 +1,25 @@
 """Exact quantiles with linear interpolation that survive one huge group.
 
-Spark's ``percentile`` keeps every distinct value of a group in one reducer. Here a sketch
-first brackets each wanted quantile, values outside the brackets collapse to one stand-in per
-gap, equal values are counted in parallel, and ``percentile`` then sees only the counted
-values inside the brackets (about ``2 * SLACK / accuracy`` of the rows). Collapsing keeps the
-order and the row count, so the answer is the exact one. An answer outside its bracket would
-mean the sketch broke its error bound; that raises instead of returning a wrong value.
+Spark's ``percentile`` keeps every distinct value of a group in one reducer, and a sketch of a
+huge group is merged by one reducer. Here a histogram, counted in parallel, tells which bins
+hold the wanted ranks; values outside those bins collapse to one stand-in per gap; equal values
+are counted in parallel; and ``percentile`` then sees only the counted values inside the bins,
+about one row in ``BINS``. Collapsing keeps the order and the row count, so the answer is the
+exact one. An answer outside its bin would be a stand-in; that raises instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverframe.functions.columns import nan_to_null
 from riverframe.operators.joins import join_groups, with_row
 
 ACCURACY = 20_000
-SLACK = 4
+BINS = 65_536
 SMALL_GROUP = 50_000
 
 
@@ -33,7 +33,7 @@ def quantiles_long(
 ) -> DataFrame:
     """One row per group and column: ``(by..., metric, q ARRAY<DOUBLE>)`` in the order of ``ps``.
 
-    ``method``: ``exact`` (bracketed), ``plain`` (Spark's percentile; for groups known to be
+    ``method``: ``exact`` (binned), ``plain`` (Spark's percentile; for groups known to be
     small, such as the days of one station) or ``approx`` (sketch only).
     """
     ps = [float(p) for p in ps]
@@ -45,7 +45,7 @@ def quantiles_long(
         return _per_metric(known, cols, by, lambda c: F.percentile_approx(c, wanted, accuracy), "q")
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-    return _bracketed(known, list(cols), list(by), ps, accuracy)
+    return _binned(known, list(cols), list(by), ps)
 
 
 def _per_metric(known: DataFrame, cols: Sequence[str], by: Sequence[str], fn, out: str) -> DataFrame:
@@ -55,36 +55,19 @@ def _per_metric(known: DataFrame, cols: Sequence[str], by: Sequence[str], fn, ou
     return row.select(*by, F.explode(cells).alias("__cell")).select(*by, "__cell.*").filter(F.col(out).isNotNull())
 
 
-def _bracketed(known: DataFrame, cols: list[str], by: list[str], ps: list[float], accuracy: int) -> DataFrame:
-    eps = SLACK / accuracy
-    edges = [edge for p in sorted(ps) for edge in (max(p - eps, 0.0), min(p + eps, 1.0))]
-    # A group this small is counted whole; in a larger one SLACK spans several ranks.
-    whole = F.array(*[F.lit(float("inf") if i % 2 else float("-inf")) for i in range(len(edges))])
-
-    def bracket(c: Column) -> Column:
-        sketch = F.percentile_approx(c, F.array(*[F.lit(e) for e in edges]), accuracy)
-        return F.when(F.count(c) <= SMALL_GROUP, whole).otherwise(F.array_sort(sketch))
-
-    brackets = known.groupBy(*by).agg(*[bracket(F.col(f"__{i}")).alias(f"__e{i}") for i in range(len(cols))])
-    if by:
-        held = join_groups(known, brackets, by)
-    else:
-        held = with_row(known, brackets, "__row").select("*", "__row.*")
-    cells = [
-        F.struct(
-            F.lit(c).alias("metric"),
-            _collapse(F.col(f"__{i}"), F.col(f"__e{i}"), len(edges)).alias("value"),
-            *[F.col(f"__e{i}")[k].alias(f"__edge{k}") for k in range(len(edges))],
-        )
-        for i, c in enumerate(cols)
-    ]
+def _binned(known: DataFrame, cols: list[str], by: list[str], ps: list[float]) -> DataFrame:
     group = [*by, "metric"]
-    # Edges travel as plain doubles: an array in the aggregation buffer would force a sort.
-    kept = [F.first(f"__edge{k}").alias(f"__edge{k}") for k in range(len(edges))]
+    long = _with_range(known, cols, by)
+    brackets = _brackets(long.filter(F.col("n") > SMALL_GROUP), group, sorted(ps))
+    edges = [f"__edge{k}" for k in range(2 * len(ps))]
+    # Without ``by`` there is one bracket row per requested column, a fixed number.
+    placed = long.join(brackets if by else F.broadcast(brackets), group, "left")
+    # A group without brackets is small and is counted whole.
+    open_ends = {e: F.coalesce(e, F.lit(float("inf") if k % 2 else float("-inf"))) for k, e in enumerate(edges)}
+    kept = [F.first(e).alias(e) for e in edges]
     counted = (
-        held.select(*by, F.explode(F.array(*cells)).alias("__cell"))
-        .select(*by, "__cell.*")
-        .filter(F.col("value").isNotNull())
+        placed.withColumns(open_ends)
+        .withColumn("value", _collapse(F.col("value"), [F.col(e) for e in edges]))
         .groupBy(*group, "value")
         .agg(F.count("*").alias("__n"), *kept)
     )
@@ -92,23 +75,72 @@ def _bracketed(known: DataFrame, cols: list[str], by: list[str], ps: list[float]
         F.percentile("value", F.array(*[F.lit(p) for p in ps]), F.col("__n")).alias("q"), *kept
     )
     rank = {p: i for i, p in enumerate(sorted(ps))}
-    checked = [_check(F.col("q")[i], F.col(f"__edge{2 * rank[p]}"), F.col(f"__edge{2 * rank[p] + 1}")) for i, p in enumerate(ps)]
+    checked = [
+        _check(F.col("q")[i], F.col(edges[2 * rank[p]]), F.col(edges[2 * rank[p] + 1])) for i, p in enumerate(ps)
+    ]
     return picked.select(*group, F.array(*checked).alias("q"))
 
 
-def _collapse(value: Column, edges: Column, n_edges: int) -> Column:
+def _with_range(known: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    """``(by..., metric, value, n, lo, hi)``: each value with the size and range of its group."""
+    facts = {"n": F.count, "lo": F.min, "hi": F.max}
+    ranges = known.groupBy(*by).agg(
+        *[f(F.col(f"__{i}")).alias(f"__{name}{i}") for i in range(len(cols)) for name, f in facts.items()]
+    )
+    held = join_groups(known, ranges, by) if by else with_row(known, ranges, "__row").select("*", "__row.*")
+    cells = [
+        F.struct(
+            F.lit(c).alias("metric"),
+            F.col(f"__{i}").alias("value"),
+            *[F.col(f"__{name}{i}").alias(name) for name in facts],
+        )
+        for i, c in enumerate(cols)
+    ]
+    long = held.select(*by, F.explode(F.array(*cells)).alias("__cell")).select(*by, "__cell.*")
+    return long.filter(F.col("value").isNotNull())
+
+
+def _brackets(long: DataFrame, group: list[str], ps: list[float]) -> DataFrame:
+    """Smallest and largest value of the bins that hold the ranks around each quantile.
+
+    Bins are equal in the fourth root of the distance to the minimum, which suits readings with
+    a long upper tail. Subtraction and square root round monotonically, so bins follow values.
+    """
+    def root(c: Column) -> Column:
+        return F.sqrt(F.sqrt(c - F.col("lo")))
+
+    place = F.coalesce(F.width_bucket(root(F.col("value")), F.lit(0.0), root(F.col("hi")), F.lit(BINS)), F.lit(0))
+    bins = long.groupBy(*group, place.alias("__bin")).agg(
+        F.count("*").alias("__rows"), F.min("value").alias("__min"), F.max("value").alias("__max"),
+        F.first("n").alias("__n"),
+    )
+    upto = F.sum("__rows").over(Window.partitionBy(*group).orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = bins.withColumn("__upto", upto)
+
+    def holds(rank: Column) -> Column:
+        return (rank < F.col("__upto")) & (rank >= F.col("__upto") - F.col("__rows"))
+
+    edges = []
+    for i, p in enumerate(ps):
+        rank = F.lit(p) * (F.col("__n") - 1)
+        edges.append(F.min(F.when(holds(F.floor(rank)), F.col("__min"))).alias(f"__edge{2 * i}"))
+        edges.append(F.max(F.when(holds(F.ceil(rank)), F.col("__max"))).alias(f"__edge{2 * i + 1}"))
+    return ranked.groupBy(*group).agg(*edges)
+
+
+def _collapse(value: Column, edges: Sequence[Column]) -> Column:
     """Keep values inside a bracket; values in a gap share one stand-in inside that gap."""
     out = F.when(value < edges[0], F.lit(float("-inf")))
-    for i in range(0, n_edges, 2):
+    for i in range(0, len(edges), 2):
         out = out.when(value <= edges[i + 1], value)
-        if i + 2 < n_edges:
+        if i + 2 < len(edges):
             out = out.when(value < edges[i + 2], (edges[i + 1] + edges[i + 2]) / 2)
-    return F.when(value.isNotNull(), out.otherwise(F.lit(float("inf"))))
+    return out.otherwise(F.lit(float("inf")))
 
 
 def _check(answer: Column, low: Column, high: Column) -> Column:
     inside = (answer >= low) & (answer <= high)
-    broken = F.raise_error(F.lit("quantile sketch broke its error bound; raise the accuracy"))
+    broken = F.raise_error(F.lit("quantile fell outside its bins"))
     return F.when(inside, answer).otherwise(broken.cast("double"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riverframe.functions.columns import as_column
 from riverframe.operators.joins import join_groups, with_global_stats
-from riverframe.operators.ordered import RowExpr, add_rows, calendar_bounded, time_bucket, use_chunks
+from riverframe.operators.ordered import HOT_ROWS, RowExpr, add_rows, calendar_bounded, cells, use_chunks
 
 FRAME_FUNCTIONS = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min}
 
@@ -119,11 +119,12 @@ def fill_gaps(
     tiebreak: Sequence[str] = (),
     chunk: int | None = None,
     width: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Carry values forward, backward, or forward and then backward, per key.
 
-    A fill may reach over any distance, so raw series are cut by time bucket: each bucket hands
-    its last (first) known value to the later (earlier) buckets of its key.
+    A fill may reach over any distance, so raw series are cut into time cells: each cell hands its
+    last (first) known value to the later (earlier) cells of its key.
     """
     if direction not in ("ffill", "bfill", "both"):
         raise ValueError(f"direction must be ffill, bfill or both, not {direction!r}")
@@ -131,29 +132,30 @@ def fill_gaps(
     if not use_chunks(df, ts, chunk):
         spec = Window.partitionBy(*keys)
         return df.withColumns({c: F.coalesce(*_fills(F.col(c), spec, order, direction)) for c in cols})
-    tagged = df.withColumn("__bucket", time_bucket(df, ts, width))
+    cell = ["__bucket", "__piece"]
+    tagged, _ = cells(df, keys, ts, width, hot_rows)
     stamp = F.struct(*order)
-    edges = tagged.groupBy(*keys, "__bucket").agg(
+    edges = tagged.groupBy(*keys, *cell).agg(
         *[f(F.col(c), F.when(F.col(c).isNotNull(), stamp)).alias(f"__{n}_{c}")
           for c in cols for n, f in (("last", F.max_by), ("first", F.min_by))]
     )
     by_key = Window.partitionBy(*keys)
-    earlier = by_key.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    later = by_key.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = by_key.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
+    later = by_key.orderBy(*[F.desc(c) for c in cell]).rowsBetween(Window.unboundedPreceding, -1)
     def handed(c: str) -> Column:
         if direction == "bfill":
             return F.last(f"__first_{c}", True).over(later)
         before = F.last(f"__last_{c}", True).over(earlier)
         if direction == "ffill":
             return before
-        return F.coalesce(before, _first_known(F.col(f"__first_{c}"), by_key, ["__bucket"]))
+        return F.coalesce(before, _first_known(F.col(f"__first_{c}"), by_key, cell))
 
-    carried = edges.select(*keys, "__bucket", *[handed(c).alias(f"__carry_{c}") for c in cols])
-    inside = Window.partitionBy(*keys, "__bucket")
+    carried = edges.select(*keys, *cell, *[handed(c).alias(f"__carry_{c}") for c in cols])
+    inside = Window.partitionBy(*keys, *cell)
     local = "ffill" if direction == "both" else direction
     filled = {c: F.coalesce(*_fills(F.col(c), inside, order, local), F.col(f"__carry_{c}")) for c in cols}
     helpers = [f"__carry_{c}" for c in cols]
-    return join_groups(tagged, carried, [*keys, "__bucket"]).withColumns(filled).drop("__bucket", *helpers)
+    return join_groups(tagged, carried, [*keys, *cell]).withColumns(filled).drop(*cell, *helpers)
 
 
 def _first_known(c: Column, spec, order: Sequence[str]) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riverframe.operators import windows as W
 from riverframe.operators.ema import ema, emas
-from riverframe.operators.ordered import add_rows, positions
+from riverframe.operators.ordered import add_rows, cells, positions
 
 K = ["location"]
 
@@ -103,6 +103,20 @@ def test_positions(noisy):
     assert got.groupby("location").n.first().to_dict() == {"hot": 900, "cold": 40, "one": 1}
 
 
+def test_hot_buckets_are_cut(noisy):
+    """One bucket holds everything; it has to fall into pieces and give the same positions."""
+    tagged, counts = cells(noisy, K, "datetime", width=10_000_000, hot_rows=50)
+    assert counts.agg(F.max("__rows")).first()[0] < 200 and counts.count() > 10
+    assert tagged.count() == noisy.count()
+    got = frame(positions(noisy, K, "datetime", "p", width=10_000_000, hot_rows=50), "p")
+    assert (got.p == got.id + 1).all()
+    gappy = noisy.withColumn("x", F.when(F.col("id") % 7 == 3, F.col("x")))
+    for direction in ("ffill", "bfill", "both"):
+        plain = frame(W.fill_gaps(gappy, K, "datetime", ["x"], direction, chunk=0), "x")
+        cut = frame(W.fill_gaps(gappy, K, "datetime", ["x"], direction, width=10_000_000, hot_rows=50), "x")
+        pd.testing.assert_frame_equal(plain, cut)
+
+
 @pytest.mark.parametrize("chunk", [1, 14, 64, 5000])
 def test_chunked_windows_equal_plain_ones(noisy, chunk):
     exprs = {"l7": W.lag_of("x", 7), "m5": W.rolling_of("x", 5, "mean"), "s3": W.rolling_of("x", 3, "sum", 1),
