@@ -86,7 +86,8 @@ def tune(
 
     from riverframe.operators.metrics import binary_metrics
 
-    train, held_out = df.filter(F.col(split_col) == "train"), df.filter(F.col(split_col) != "train")
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    train, held_out = kept.filter(F.col(split_col) == "train"), kept.filter(F.col(split_col) != "train")
 
     def trial(params: dict):
         model = estimator.copy({estimator.getParam(k): v for k, v in params.items()}).fit(train)
@@ -94,7 +95,10 @@ def tune(
         return model, {**params, "f1": f1}
 
     spark = df.sparkSession
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        trials = list(pool.map(inheritable_thread_target(spark)(trial), grid))
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            trials = list(pool.map(inheritable_thread_target(spark)(trial), grid))
+    finally:
+        kept.unpersist()
     best = max(trials, key=lambda t: t[1]["f1"])
     return best[0], [t[1] for t in trials]

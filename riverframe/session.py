@@ -25,10 +25,16 @@ def local_session(cores: int | str = 8, app: str = "riverframe", shuffle_partiti
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a private one only where none is set."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is set, a local session gets a private one; on a cluster that is an error, as
+    executors could not see a folder of the driver's machine.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="riverframe-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    spark.sparkContext.setCheckpointDir(named)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    named = tempfile.mkdtemp(prefix="riverframe-checkpoint-")
+    spark.conf.set("spark.checkpoint.dir", named)
     return named

@@ -701,6 +701,15 @@ ORACLES["horizon_forecast"] = f"""
 WITH {horizon_cte(14, "DATE '2001-12-31'")}, f AS (SELECT location, date, step, list_avg(s) AS predicted_discharge FROM seq)
 SELECT location, date, step, round(predicted_discharge, 6) AS predicted_discharge, {PREDICTED_RISK} AS flood_risk FROM f"""
 
+ORACLES["forecast_driver"] = f"""
+WITH {RAIN}, {FLOW}, {scored_cte(7)}
+SELECT location, date, {r('predicted_discharge', 'rain_sum_mm', 'rain_max_1h')}, {PREDICTED_RISK} AS flood_risk
+FROM scored LEFT JOIN rain USING (location, date)"""
+ORACLES["aligned_features"] = f"""
+WITH {RAIN} SELECT location, date, {r('rain_max_1h', 'rain_sum_mm')}, CAST(0 AS DOUBLE) AS rain_mean FROM rain"""
+ORACLES["filled_and_dropped"] = f"""
+WITH {BOTH} SELECT location, date, {r(*SCALED)} FROM days WHERE coalesce(river_discharge_m3s, 0) > 0"""
+
 # -- dashboard --------------------------------------------------------------
 
 ORACLES["dashboard_overlay"] = f"""

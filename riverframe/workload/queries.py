@@ -12,7 +12,7 @@ from riverframe.functions import columns as C
 from riverframe.operators import metrics, scaling, select, sequences as S, stats, windows as W
 from riverframe.operators.ema import emas
 from riverframe.operators.joins import (
-    attach_target, join_with_suffix, spread_daily, union_all, with_global_stats,
+    attach_forecast_driver, attach_target, join_with_suffix, spread_daily, union_all, with_global_stats,
 )
 from riverframe.operators.ordered import add_rows, positions
 from riverframe.operators.quantiles import quantiles, quantiles_long
@@ -770,6 +770,29 @@ def actual_and_forecast(spark, sf):
     return rounded(S.actual_vs_forecast(days, scored, KEYS, "date", "river_discharge_m3s", "predicted_discharge"))
 
 
+@query
+def forecast_driver(spark, sf):
+    """The rain behind each prediction; days without rain keep their prediction."""
+    days = T.flow_daily(spark, sf)
+    scored = scoring.score_forecast(days, ["river_discharge_m3s"], None, mean_model(), 7)
+    return rounded(attach_forecast_driver(scored, T.rain_daily(spark, sf), ["location", "date"]))
+
+
+@query
+def aligned_features(spark, sf):
+    """Columns in model order; a feature the table lacks is zero because the caller says so."""
+    days = T.rain_daily(spark, sf)
+    return rounded(select.align_columns(days, ["rain_max_1h", "rain_mean", "rain_sum_mm"], "zero", keep=["location", "date"]))
+
+
+@query
+def filled_and_dropped(spark, sf):
+    """Days with rain known, missing discharge as zero, and only the days above zero."""
+    days = select.drop_null(T.rain_and_flow(spark, sf), ["rain_sum_mm"])
+    known = select.fill_null(days, {"river_discharge_m3s": 0.0})
+    return rounded(known.filter(C.is_in("location", PRIORITIES) & (F.col("river_discharge_m3s") > 0)))
+
+
 # -- dashboard --------------------------------------------------------------
 
 
@@ -823,3 +846,17 @@ def forest_scores(spark, sf):
 
     train, test = _tree_rows(spark, sf)
     return _tree_scores(M.fit_forest(train, depth=5, trees=20), test, 0.4)
+
+
+@query
+def tuned_tree(spark, sf):
+    """F1 on the newer part of each key for several tree depths, fitted on the older part."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    from riverframe.operators import models as M
+
+    train, test = _tree_rows(spark, sf)
+    rows = train.unionByName(test.withColumn("weight", F.lit(1.0)))
+    _, table = M.tune(rows, DecisionTreeClassifier(weightCol="weight", seed=42), [{"maxDepth": d} for d in (2, 5)])
+    cells = ", ".join(f"({t['maxDepth']}, {t['f1']!r}D)" for t in table)
+    return spark.sql(f"SELECT * FROM VALUES {cells} AS t(max_depth, f1)")

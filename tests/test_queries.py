@@ -12,7 +12,7 @@ from compare import difference, duck
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
-WITHOUT_SQL = {"tree_scores", "forest_scores"}
+WITHOUT_SQL = {"tree_scores", "forest_scores", "tuned_tree"}
 
 
 @pytest.fixture(scope="module")
