@@ -72,10 +72,8 @@ def emas(
     if not plain:
         return out
     length = block or _block_length(list(plain.values()))
-    if use_chunks(df, ts, chunk):
-        numbered = positions(out, keys, ts, "__pos", tiebreak=tiebreak, width=width, hot_rows=hot_rows)
-    else:
-        numbered = out.withColumn("__pos", F.row_number().over(Window.partitionBy(*keys).orderBy(ts, *tiebreak)))
+    size = use_chunks(df, keys, ts, chunk, hot_rows)
+    numbered = positions(out, keys, ts, "__pos", None, tiebreak, width, hot_rows, size)
     missing = F.raise_error(F.lit(f"column {c} has missing values; fill them before averaging"))
     placed = numbered.withColumns(
         {
@@ -86,7 +84,7 @@ def emas(
     )
     in_block = Window.partitionBy(*keys, "__block").orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumns({f"__local_{i}": _local(a, in_block) for i, a in enumerate(plain.values())})
-    carried = _carry_by_window if not use_chunks(df, ts, chunk) and _one_block_back(plain, length) else _carry_by_join
+    carried = _carry_by_window if not size and _one_block_back(plain, length) else _carry_by_join
     helpers = [f"__{k}_{i}" for k in ("local", "carry") for i in range(len(plain))]
     return (
         carried(local, keys, list(plain.values()), length)

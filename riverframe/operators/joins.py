@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riverframe.operators.settle import settle
+
 
 def spread_daily(
     hourly: DataFrame,
@@ -52,12 +54,18 @@ def join_with_suffix(
     return l_side.join(r_side, list(on), how)
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str], measured: bool = False) -> DataFrame:
     """Left join of per-group values to rows, keeping the column order of ``rows``.
 
+    ``measured`` writes the groups first, so that Spark plans with their real size: a small
+    table is broadcast, and the rows of a hot group stay spread instead of meeting in one task.
+    A large one is joined by shuffle, where AQE splits the hot group.
+
     Plain equality keeps rows that are already partitioned by ``by`` where they are. Rows with a
     NULL key stay and get NULL values, as they belong to no group.
     """
+    if measured:
+        groups = settle(groups, "groups")
     added = [c for c in groups.columns if c not in by]
     return rows.join(groups, list(by), "left").select(*rows.columns, *added)
 
@@ -70,7 +78,7 @@ def with_global_stats(df: DataFrame, stats: Mapping[str, Column], by: Sequence[s
     """
     named = [c.alias(n) for n, c in stats.items()]
     if by:
-        return join_groups(df, df.groupBy(*by).agg(*named), by)
+        return join_groups(df, df.groupBy(*by).agg(*named), by, measured=True)
     held = with_row(df, df.agg(*named), "__stats")
     return held.withColumns({n: F.col("__stats").getField(n) for n in stats}).drop("__stats")
 

@@ -20,7 +20,7 @@ from riverframe.operators.stats import class_weights
 def with_class_weights(df: DataFrame, y: str = "label", out: str = "weight") -> DataFrame:
     """Balanced weight of each row's class. There is one weight row per class, so Spark broadcasts it."""
     weights = class_weights(df, y).select(F.col("label").alias(y), F.col("weight").alias(out))
-    return join_groups(df, weights, [y])
+    return join_groups(df, weights, [y], measured=True)
 
 
 def fit_tree(df: DataFrame, depth: int = 10, weight: str | None = "weight", seed: int = 42, **params):

@@ -2,7 +2,8 @@
 
 A series at daily grain is bounded by the calendar (about 366 rows a year and key), so an
 ordinary ``partitionBy(key)`` window is safe there. A series of raw stamps has no such bound:
-one sensor may hold a third of all readings. For those the functions here
+one sensor may hold a third of all readings. There the rows of the largest key are counted
+first; if one task can sort them, an ordinary window is used, and otherwise the functions here
 
 1. count rows per (key, time bucket), which partial aggregation makes small, and cut buckets
    that are still too large,
@@ -31,6 +32,7 @@ DAY = 86_400
 DATE_BUCKET = 64 * DAY
 STAMP_BUCKET = 3_600
 HOT_ROWS = 2_000_000
+FINER = 256
 
 
 def calendar_bounded(df: DataFrame, ts: str) -> bool:
@@ -38,11 +40,14 @@ def calendar_bounded(df: DataFrame, ts: str) -> bool:
     return isinstance(df.schema[ts].dataType, T.DateType)
 
 
-def use_chunks(df: DataFrame, ts: str, chunk: int | None) -> int:
-    """Chunk length to use, 0 for an ordinary window."""
+def use_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk: int | None, hot_rows: int = HOT_ROWS) -> int:
+    """Chunk length to use, 0 for an ordinary window. For raw stamps this counts rows per key."""
     if chunk is not None:
         return chunk
-    return 0 if calendar_bounded(df, ts) else CHUNK_ROWS
+    if calendar_bounded(df, ts):
+        return 0
+    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return CHUNK_ROWS if (largest or 0) > hot_rows else 0
 
 
 def micros_of(df: DataFrame, ts: str) -> Column:
@@ -65,7 +70,9 @@ def cells(
     Returns the rows with ``__bucket`` and ``__piece``, and the row count of each cell. The
     counts per bucket are written once and looked at: only if some bucket holds more than
     ``hot_rows`` rows of a key (a burst, or one bucket with a third of all data) are such
-    buckets cut further, each into equal spans of its own first to last stamp.
+    buckets cut further, each into equal spans of its own first to last stamp. The spans are
+    ``FINER`` times shorter than evenly spread rows would need, so that a burst inside the
+    bucket is cut too.
     """
     tagged = df.withColumns({"__bucket": time_bucket(df, ts, width), "__piece": F.lit(0).cast("bigint")})
     at = micros_of(df, ts)
@@ -78,10 +85,10 @@ def cells(
     hot = sizes.filter(F.col("__rows") > hot_rows)
     if hot.isEmpty():
         return tagged, sizes.select(*keys, "__bucket", F.lit(0).cast("bigint").alias("__piece"), "__rows")
-    span = (F.col("__final") - F.col("__first") + 1) * (F.lit(hot_rows) / F.col("__rows"))
+    span = (F.col("__final") - F.col("__first") + 1) * (F.lit(hot_rows / FINER) / F.col("__rows"))
     cuts = hot.select(*keys, "__bucket", "__first", F.greatest(F.ceil(span), F.lit(1)).alias("__span"))
     piece = F.coalesce(F.floor((at - F.col("__first")) / F.col("__span")), F.lit(0))
-    cut = join_groups(tagged, cuts, [*keys, "__bucket"]).withColumn("__piece", piece).drop("__first", "__span")
+    cut = join_groups(tagged, cuts, [*keys, "__bucket"], measured=True).withColumn("__piece", piece).drop("__first", "__span")
     counted = cut.groupBy(*keys, "__bucket", "__piece").agg(F.count("*").alias("__rows"))
     return cut, counted
 
@@ -95,11 +102,17 @@ def positions(
     tiebreak: Sequence[str] = (),
     width: int | None = None,
     hot_rows: int = HOT_ROWS,
+    chunk: int | None = None,
 ) -> DataFrame:
     """1-based position of each row within its key in ``(ts, tiebreak)`` order; NULL without a key.
 
     ``width`` is the bucket length in seconds. ``total`` adds the row count of the key.
+    ``chunk`` as in :func:`add_rows`; any number but 0 numbers by cells.
     """
+    if not use_chunks(df, keys, ts, chunk, hot_rows):
+        by_key = Window.partitionBy(*keys)
+        plain = {out: F.row_number().over(by_key.orderBy(ts, *tiebreak))}
+        return df.withColumns(plain | ({total: F.count("*").over(by_key)} if total else {}))
     cell = ["__bucket", "__piece"]
     tagged, counts = cells(df, keys, ts, width, hot_rows)
     by_key = Window.partitionBy(*keys)
@@ -139,16 +152,16 @@ def add_rows(
 ) -> DataFrame:
     """Add window columns over one shared window: one shuffle and one sort for all of them.
 
-    ``chunk=None`` picks an ordinary window at daily grain and chunks otherwise; a number
-    forces chunks of that many rows.
+    ``chunk=None`` picks an ordinary window at daily grain or where the largest key has at most
+    ``hot_rows`` rows, and chunks otherwise; 0 forces the window, a number chunks of that many rows.
     """
-    size = use_chunks(df, ts, chunk)
+    size = use_chunks(df, keys, ts, chunk, hot_rows)
     if not size:
         spec = Window.partitionBy(*keys).orderBy(ts, *tiebreak)
         return df.withColumns({name: e.build(spec) for name, e in exprs.items()})
     back = max(e.back for e in exprs.values())
     size = max(size, back, 1)
-    placed = positions(df, keys, ts, "__pos", tiebreak=tiebreak, width=width, hot_rows=hot_rows)
+    placed = positions(df, keys, ts, "__pos", None, tiebreak, width, hot_rows, size)
     home = F.floor((F.col("__pos") - 1) / size)
     in_chunk = (F.col("__pos") - 1) % size
     cells = F.when(in_chunk >= size - back, F.array(home, home + 1)).otherwise(F.array(home))

@@ -61,7 +61,7 @@ def _binned(known: DataFrame, cols: list[str], by: list[str], ps: list[float]) -
     brackets = _brackets(long.filter(F.col("n") > SMALL_GROUP), group, sorted(ps))
     edges = [f"__edge{k}" for k in range(2 * len(ps))]
     # Without ``by`` there is one bracket row per requested column, a fixed number.
-    placed = long.join(brackets if by else F.broadcast(brackets), group, "left")
+    placed = join_groups(long, brackets, group, measured=True) if by else long.join(F.broadcast(brackets), group, "left")
     # A group without brackets is small and is counted whole.
     open_ends = {e: F.coalesce(e, F.lit(float("inf") if k % 2 else float("-inf"))) for k, e in enumerate(edges)}
     kept = [F.first(e).alias(e) for e in edges]
@@ -87,7 +87,7 @@ def _with_range(known: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
     ranges = known.groupBy(*by).agg(
         *[f(F.col(f"__{i}")).alias(f"__{name}{i}") for i in range(len(cols)) for name, f in facts.items()]
     )
-    held = join_groups(known, ranges, by) if by else with_row(known, ranges, "__row").select("*", "__row.*")
+    held = join_groups(known, ranges, by, measured=True) if by else with_row(known, ranges, "__row").select("*", "__row.*")
     cells = [
         F.struct(
             F.lit(c).alias("metric"),

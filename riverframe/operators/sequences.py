@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from riverframe.functions.columns import flag
 from riverframe.operators.joins import join_groups
-from riverframe.operators.ordered import RowExpr, add_rows, positions, use_chunks
+from riverframe.operators.ordered import RowExpr, add_rows, positions
 from riverframe.operators.quantiles import quantiles
 from riverframe.operators.windows import last_n
 
@@ -84,13 +84,7 @@ def chrono_split(
     one row per key.
     """
     names = list(names or {2: ("train", "test"), 3: ("train", "val", "test")}[len(ratios)])
-    if use_chunks(df, ts, chunk):
-        placed = positions(df, keys, ts, "__pos", total="__total")
-    else:
-        by_key = Window.partitionBy(*keys)
-        placed = df.withColumns(
-            {"__pos": F.row_number().over(by_key.orderBy(ts)), "__total": F.count("*").over(by_key)}
-        )
+    placed = positions(df, keys, ts, "__pos", total="__total", chunk=chunk)
     if mode == "concat":
         offsets, rows = _key_offsets(df, keys)
         placed = join_groups(placed.drop("__total"), offsets, keys).withColumns(

@@ -132,7 +132,7 @@ def box_stats(df: DataFrame, c: str, by: Sequence[str], method: str = "exact") -
     inside = F.col(c).between(F.col("q1") - reach, F.col("q3") + reach)
     known = df.select(*by, c).filter(F.col(c).isNotNull())
     return (
-        join_groups(known, quartiles, by)
+        join_groups(known, quartiles, by, measured=True)
         .groupBy(*by)
         .agg(
             F.first("q1").alias("q1"),

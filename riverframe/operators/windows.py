@@ -129,7 +129,7 @@ def fill_gaps(
     if direction not in ("ffill", "bfill", "both"):
         raise ValueError(f"direction must be ffill, bfill or both, not {direction!r}")
     order = [ts, *tiebreak]
-    if not use_chunks(df, ts, chunk):
+    if not use_chunks(df, keys, ts, chunk, hot_rows):
         spec = Window.partitionBy(*keys)
         return df.withColumns({c: F.coalesce(*_fills(F.col(c), spec, order, direction)) for c in cols})
     cell = ["__bucket", "__piece"]

@@ -229,6 +229,10 @@ SELECT location, date, round(river_discharge_m3s, 6) AS river_discharge_m3s,
        round(avg(river_discharge_m3s) OVER (), 6) AS mean_flow, round(max(river_discharge_m3s) OVER (), 6) AS max_flow,
        count(river_discharge_m3s) OVER () AS n_flow FROM flow"""
 
+for chunked in ("reading_windows", "ema_readings"):
+    ORACLES[f"{chunked}_chunked"] = ORACLES[chunked]
+ORACLES["fill_both_by_cells"] = ORACLES["fill_both"]
+
 # -- scaling ----------------------------------------------------------------
 
 SCALED = ("rain_sum_mm", "rain_max_1h", "river_discharge_m3s")

@@ -174,9 +174,17 @@ def reading_windows(spark, sf):
     return rounded(add_rows(T.readings(spark, sf), KEYS, "datetime", rows, tiebreak=["event_id"]))
 
 
+@query
+def reading_windows_chunked(spark, sf):
+    """The same in chunks of 512 rows, the way a key too large for one task is worked on."""
+    rows = {"lag2": W.lag_of("rain", 2), "mean7": W.rolling_of("rain", 7, "mean"), "sum3": W.rolling_of("rain", 3, "sum", 1),
+            "change": W.delta_of("rain")}
+    return rounded(add_rows(T.readings(spark, sf), KEYS, "datetime", rows, ["event_id"], chunk=512))
+
+
 @query
 def reading_positions(spark, sf):
-    return positions(T.readings(spark, sf), KEYS, "datetime", "position", total="n_key", tiebreak=["event_id"])
+    return positions(T.readings(spark, sf), KEYS, "datetime", "position", total="n_key", tiebreak=["event_id"], chunk=512)
 
 
 @query
@@ -204,6 +212,18 @@ def hourly_grid(spark, sf):
     return span.select("location", hour.alias("hour")).join(hours, ["location", "hour"], "left")
 
 
+@query
+def ema_readings_chunked(spark, sf):
+    averages = {"ema4": 0.4, "api": 0.2}
+    return rounded(emas(T.readings(spark, sf), KEYS, "datetime", "rain", averages, ["event_id"], chunk=512))
+
+
+@query
+def fill_both_by_cells(spark, sf):
+    grid = hourly_grid(spark, sf).withColumn("filled", F.col("rain"))
+    return rounded(W.fill_gaps(grid, KEYS, "hour", ["filled"], "both", chunk=512, width=86_400))
+
+
 @query
 def fill_both(spark, sf):
     grid = hourly_grid(spark, sf).withColumn("filled", F.col("rain"))

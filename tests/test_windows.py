@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riverframe.operators import windows as W
 from riverframe.operators.ema import ema, emas
-from riverframe.operators.ordered import add_rows, cells, positions
+from riverframe.operators.ordered import add_rows, cells, positions, use_chunks
 
 K = ["location"]
 
@@ -98,7 +98,7 @@ def frame(df, *cols):
 
 
 def test_positions(noisy):
-    got = frame(positions(noisy, K, "datetime", "p", total="n"), "p", "n")
+    got = frame(positions(noisy, K, "datetime", "p", total="n", chunk=1), "p", "n")
     assert (got.p == got.id + 1).all()
     assert got.groupby("location").n.first().to_dict() == {"hot": 900, "cold": 40, "one": 1}
 
@@ -108,12 +108,12 @@ def test_hot_buckets_are_cut(noisy):
     tagged, counts = cells(noisy, K, "datetime", width=10_000_000, hot_rows=50)
     assert counts.agg(F.max("__rows")).first()[0] < 200 and counts.count() > 10
     assert tagged.count() == noisy.count()
-    got = frame(positions(noisy, K, "datetime", "p", width=10_000_000, hot_rows=50), "p")
+    got = frame(positions(noisy, K, "datetime", "p", width=10_000_000, hot_rows=50, chunk=1), "p")
     assert (got.p == got.id + 1).all()
     gappy = noisy.withColumn("x", F.when(F.col("id") % 7 == 3, F.col("x")))
     for direction in ("ffill", "bfill", "both"):
         plain = frame(W.fill_gaps(gappy, K, "datetime", ["x"], direction, chunk=0), "x")
-        cut = frame(W.fill_gaps(gappy, K, "datetime", ["x"], direction, width=10_000_000, hot_rows=50), "x")
+        cut = frame(W.fill_gaps(gappy, K, "datetime", ["x"], direction, chunk=1, width=10_000_000, hot_rows=50), "x")
         pd.testing.assert_frame_equal(plain, cut)
 
 
@@ -158,11 +158,19 @@ def test_result_does_not_depend_on_partitioning(noisy):
     pd.testing.assert_frame_equal(a, b)
 
 
+def test_large_keys_are_chunked_on_their_own(noisy):
+    assert use_chunks(noisy, K, "datetime", None) == 0
+    assert use_chunks(noisy, K, "datetime", None, hot_rows=500) > 0
+    exprs = {"m5": W.rolling_of("x", 5, "mean")}
+    plain = frame(add_rows(noisy, K, "datetime", exprs), "m5")
+    pd.testing.assert_frame_equal(plain, frame(add_rows(noisy, K, "datetime", exprs, hot_rows=500), "m5"), rtol=1e-12)
+
+
 def test_rows_without_a_key_are_kept(spark):
     df = spark.sql("SELECT CAST(NULL AS STRING) AS location, timestamp_ntz'2024-01-01 00:00:00' AS datetime, 1.0D AS x"
                    " UNION ALL SELECT 'a', timestamp_ntz'2024-01-01 00:00:00', 2.0D")
-    assert add_rows(df, K, "datetime", {"l": W.lag_of("x", 1)}).count() == 2
-    assert W.fill_gaps(df, K, "datetime", ["x"]).count() == 2
+    assert add_rows(df, K, "datetime", {"l": W.lag_of("x", 1)}, chunk=5).count() == 2
+    assert W.fill_gaps(df, K, "datetime", ["x"], chunk=5).count() == 2
 
 
 def test_ends_of_series(series, rows):
