@@ -31,10 +31,14 @@ def as_column(c: ColumnLike) -> Column:
 
 
 def parse_ts(c: ColumnLike, strict: bool = False, fmt: str | None = None) -> Column:
-    """Text to timestamp; unparseable text is NULL unless ``strict``."""
-    pattern = [F.lit(fmt)] if fmt else []
-    parse = F.to_timestamp_ntz if strict else F.try_to_timestamp
-    return parse(as_column(c), *pattern).cast("timestamp_ntz")
+    """Text to wall-clock stamp; unparseable text is NULL unless ``strict``.
+
+    Without a pattern the session zone plays no part, so hours that its clock skips stay as written.
+    """
+    c = as_column(c)
+    if fmt:
+        return F.to_timestamp_ntz(c, F.lit(fmt)) if strict else F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    return c.cast("timestamp_ntz") if strict else c.try_cast("timestamp_ntz")
 
 
 def from_epoch(c: ColumnLike) -> Column:
@@ -43,6 +47,13 @@ def from_epoch(c: ColumnLike) -> Column:
     return epoch + F.make_dt_interval(secs=as_column(c).cast("decimal(18,6)"))
 
 
+def wall_micros(c: ColumnLike) -> Column:
+    """Microseconds since 1970 on the wall clock of a zone-less stamp, whatever the session zone is."""
+    c = as_column(c)
+    minutes = (F.unix_date(F.to_date(c)).cast("bigint") * 24 + F.hour(c)) * 60 + F.minute(c)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+
+
 def to_local(c: ColumnLike, tz: str, source: str = "UTC") -> Column:
     """Wall-clock stamp in ``source`` to wall-clock stamp in ``tz``."""
     return F.convert_timezone(F.lit(source), F.lit(tz), as_column(c).cast("timestamp_ntz"))

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riverframe.functions.columns import wall_micros
 from riverframe.operators.joins import join_groups
 from riverframe.operators.settle import settle
 
@@ -51,10 +52,11 @@ def use_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk: int | None, h
 
 
 def micros_of(df: DataFrame, ts: str) -> Column:
-    """Microseconds on the wall clock; the zone does not matter for cutting buckets."""
+    """Microseconds that rise with the time column. A zone-less stamp is read off its own wall
+    clock: through the session zone, hours that its clock skips would change places."""
     if calendar_bounded(df, ts):
         return F.unix_date(F.col(ts)).cast("bigint") * (DAY * 1_000_000)
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+    return wall_micros(ts) if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else F.unix_micros(ts)
 
 
 def time_bucket(df: DataFrame, ts: str, width: int | None = None) -> Column:

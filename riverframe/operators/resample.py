@@ -12,7 +12,19 @@ AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "mean": F.avg, "count":
 
 
 def time_unit(ts: str, unit: str) -> Column:
-    return F.to_date(ts) if unit == "day" else F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
+    """Start of the calendar unit: a DATE, or for hours and minutes a zone-less stamp.
+
+    It is put together from the parts of the wall clock, so the session zone plays no part.
+    """
+    day = F.to_date(ts)
+    if unit == "day":
+        return day
+    if unit in ("hour", "minute"):
+        minutes = F.minute(ts) if unit == "minute" else F.lit(0)
+        return day.cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts), mins=minutes)
+    if unit in ("week", "month", "quarter", "year"):
+        return F.trunc(day, unit)
+    raise ValueError(f"unknown unit {unit!r}")
 
 
 def resample(

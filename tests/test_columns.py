@@ -41,6 +41,21 @@ def test_epoch_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_skipped_hours_stay_in_order(spark):
+    """In the night New York skips 02:00-03:00, zone-less stamps keep their text and their order."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = ["2024-03-10 01:59:59.5", "2024-03-10 02:45:00", "2024-03-10 03:15:00.000001"]
+        df = spark.createDataFrame([(t,) for t in texts], "s string").select("s", C.parse_ts("s").alias("t"))
+        got = df.select(F.col("t").cast("string"), C.wall_micros("t")).collect()
+        assert [r[0] for r in got] == texts
+        start = dt.datetime(2024, 3, 10)
+        epoch = int((start - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+        assert [r[1] - epoch for r in got] == [7_199_500_000, 9_900_000_000, 11_700_000_001]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_calendar(spark):
     got = one(spark, "date'2024-12-29' AS d", monsoon=C.season_flag("d"), text=C.format_date("d"),
               next=C.shift_date("d", 3), **C.calendar_parts("d"))

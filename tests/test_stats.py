@@ -101,6 +101,17 @@ def test_resample_of_missing_values(spark, rows):
     assert rows(kept, "s") == [(2.0,), (None,)]
 
 
+def test_resample_units(spark, rows):
+    df = spark.sql("SELECT 'a' AS k, timestamp_ntz'2024-03-10 02:45:30' AS t, 1.0D AS x")
+    starts = {"day": "2024-03-10", "hour": "2024-03-10 02:00:00", "minute": "2024-03-10 02:45:00", "week": "2024-03-04",
+              "month": "2024-03-01", "year": "2024-01-01"}
+    for unit, start in starts.items():
+        got = resample(df, ["k"], "t", {"s": ("sum", "x")}, unit).select(F.col("date").cast("string")).first()[0]
+        assert got == start
+    with pytest.raises(ValueError):
+        resample(df, ["k"], "t", {"s": ("sum", "x")}, "fortnight")
+
+
 def test_reshape(spark, rows):
     df = spark.createDataFrame([("p", "FMAXT", "30", 2), ("p", "FMAXT", "31", 1), ("p", "FMINT", None, 0), ("p", "FMINT", "22", 3)],
                                "loc string, datatype string, value string, seq int")
