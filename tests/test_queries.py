@@ -20,13 +20,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLES))
 def test_query_equals_sql(spark, con, name):
-    assert difference(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
+    assert difference(entry.REGISTRY[name](spark, SF), con, entry.ORACLES[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
+    assert set(entry.REGISTRY) - set(entry.ORACLES) == WITHOUT_SQL
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
