@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riverframe.llm import langid, quality, toxicity
+from riverframe.llm import langid, ngram_join, quality, toxicity
 from riverframe.llm.tables import table
 
 
@@ -22,10 +22,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op4_language_id": op4_language_id,
     "op7_toxicity": op7_toxicity,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 ORACLES: dict[str, str] = {}

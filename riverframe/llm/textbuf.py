@@ -49,6 +49,16 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def row_slices(column: pa.Array, limit: int = 2 * PIECE) -> Iterator[pa.Array]:
+    """The column in runs of whole rows of about ``limit`` bytes; a longer row is a run of its own."""
+    offsets = column_bytes(column)[1]
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, side="right")) - 1)
+        yield column.slice(a, b - a)
+        a = b
+
+
 class _Powers:
     """Powers of an odd base and of its inverse modulo 2^64, grown on demand."""
 
