@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riverframe.llm import langid, ngram_join, quality, toxicity
+from riverframe.llm import decontam, langid, mixing, ngram_join, quality, toxicity
 from riverframe.llm.tables import table
 
 
@@ -18,6 +18,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,6 +37,8 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op4_language_id": op4_language_id,
+    "op5_decontamination": op5_decontamination,
+    "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op9_ngram_join": op9_ngram_join,
 }
