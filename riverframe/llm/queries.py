@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riverframe.llm import decontam, langid, mixing, ngram_join, quality, toxicity
+from riverframe.llm import decontam, langid, mixing, ngram_join, quality, toxicity, vectors
 from riverframe.llm.tables import table
 
 
@@ -14,6 +14,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -35,6 +39,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_quality": op2_quality,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
