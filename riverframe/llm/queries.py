@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riverframe.llm import decontam, langid, mixing, ngram_join, quality, toxicity, vectors
+from riverframe.llm import decontam, htmltext, langid, mixing, ngram_join, quality, toxicity, vectors
 from riverframe.llm.tables import table
 
 
@@ -34,6 +34,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
+    "op8_html_text": op8_html_text,
     "op9_ngram_join": op9_ngram_join,
 }
 
