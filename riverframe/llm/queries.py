@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riverframe.llm import decontam, htmltext, langid, mixing, ngram_join, quality, toxicity, vectors
+from riverframe.llm import decontam, htmltext, langid, licenses, mixing, ngram_join, quality, toxicity, vectors
 from riverframe.llm.tables import table
 
 
@@ -42,6 +42,10 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_quality": op2_quality,
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_html_text": op8_html_text,
     "op9_ngram_join": op9_ngram_join,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {}
