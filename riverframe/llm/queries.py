@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riverframe.llm import decontam, htmltext, langid, licenses, mixing, ngram_join, quality, toxicity, vectors
+from riverframe.llm import decontam, htmltext, langid, licenses, mixing, ngram_join, quality, tokencount, toxicity, vectors
 from riverframe.llm.tables import table
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_quality": op2_quality,
+    "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
