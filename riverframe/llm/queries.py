@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from riverframe.llm import decontam, htmltext, langid, licenses, mixing, ngram_join, quality, tokencount, toxicity, vectors
 from riverframe.llm.tables import table
 
@@ -61,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_ngram_join": op9_ngram_join,
     "op10_licenses": op10_licenses,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
