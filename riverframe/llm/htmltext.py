@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_UNQUOTED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)")  # a tag whose quotes do not close
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _NAMES = re.compile(r"[a-z]+")
@@ -153,7 +154,7 @@ def blocks(page: str) -> list[Block]:
         begin = page.find("<", at)
         if begin < 0:
             break
-        m = _TOKEN.match(page, begin)
+        m = _TOKEN.match(page, begin) or _UNQUOTED.match(page, begin)
         if not m:
             reader.text(page[at : begin + 1])
             at = begin + 1
