@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverframe.llm.tables import fold, hash_share, pick_text
-from riverframe.llm.textbuf import PIECE, column_bytes
+from riverframe.llm.textbuf import PIECE, column_bytes, row_slices
 
 BUCKETS = 1 << 15
 DIM = 12
@@ -123,13 +123,15 @@ def predict(model: LanguageModel, column: pa.Array) -> tuple[list[str], np.ndarr
     n = len(column)
     if not n or not model.langs:
         return [UNKNOWN] * n, np.zeros(n)
-    column = column.fill_null("")
-    padded, moved = _padded(column)
-    has = _letters(column, padded, moved)
-    p = _softmax(_logits(model, padded, moved) / model.temperature)
-    best = p.argmax(axis=1)
-    score = np.where(has, p[np.arange(n), best], 0.0)
-    return [model.langs[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)], score
+    langs, scores = [], []
+    for part in row_slices(column.fill_null("")):
+        padded, moved = _padded(part)
+        has = _letters(part, padded, moved)
+        p = _softmax(_logits(model, padded, moved) / model.temperature)
+        best = p.argmax(axis=1)
+        langs += [model.langs[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)]
+        scores.append(np.where(has, p[np.arange(len(part)), best], 0.0))
+    return langs, np.concatenate(scores)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
