@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverframe.llm.tables import fold, hash_share, pick_text
-from riverframe.llm.textbuf import column_bytes, row_sums, shingles, split_words
+from riverframe.llm.textbuf import column_bytes, row_slices, row_sums, shingles, split_words
 
 FOLDS = 5
 CUT = 0.3
@@ -77,6 +77,11 @@ def _distinct(code: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def features(column: pa.Array) -> np.ndarray:
     """One row of FEATURES for every text."""
+    parts = [_features(part) for part in row_slices(column)]
+    return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
+
+
+def _features(column: pa.Array) -> np.ndarray:
     raw, offsets = column_bytes(column)
     words = split_words(raw, offsets)
     n = np.diff(words.first).astype(float)
