@@ -7,8 +7,8 @@ blocks of B rows and ``q = 1 - a``, the value at offset p of a block is
 
 where the carry is the value at the end of the block before, and x_0 before the first block.
 B is chosen so that ``q^-B`` stays far from overflow, which makes the sum an ordinary window
-sum. A full block damps its own carry by ``q^B``; where that is below 1e-20 the carry is the
-local value of the block before, otherwise it folds as many blocks as are needed.
+sum. A full block damps the carry it received by ``q^B``, so a carry folds the ends of the blocks before it,
+as far back as a double could still hold what is left of them.
 """
 
 from __future__ import annotations
@@ -20,11 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverframe.operators.joins import join_groups
-from riverframe.operators.ordered import HOT_ROWS, positions, use_chunks
+from riverframe.operators.ordered import HOT_ROWS, KEY, keyed, positions, use_chunks
 
 MAX_BLOCK = 50_000
 SAFE_EXPONENT = 600.0
-NEGLIGIBLE = 46.0
+VANISHED = 1500.0  # exp(-VANISHED) times the largest double is below the smallest one
 
 
 def alpha_of(span: float | None = None, alpha: float | None = None) -> float:
@@ -82,19 +82,22 @@ def emas(
             "__x": F.coalesce(F.col(c).cast("double"), missing.cast("double")),
         }
     )
-    in_block = Window.partitionBy(*keys, "__block").orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)
-    local = placed.withColumns({f"__local_{i}": _local(a, in_block) for i, a in enumerate(plain.values())})
-    carried = _carry_by_window if not size and _one_block_back(plain, length) else _carry_by_join
+    # Without chunks no join is needed, and the rows stay partitioned by the keys themselves.
+    by = [KEY] if size else list(keys)
+    in_block = Window.partitionBy(*by, "__block").orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)
+    rows = keyed(placed, keys) if size else placed
+    local = rows.withColumns({f"__local_{i}": _local(a, in_block) for i, a in enumerate(plain.values())})
+    carried = _carry_by_join if size else _carry_by_window
     helpers = [f"__{k}_{i}" for k in ("local", "carry") for i in range(len(plain))]
     return (
-        carried(local, keys, list(plain.values()), length)
+        carried(local, by, list(plain.values()), length)
         .withColumns(
             {
                 n: F.col(f"__local_{i}") + F.pow(F.lit(1.0 - a), F.col("__p") + 1) * F.col(f"__carry_{i}")
                 for i, (n, a) in enumerate(plain.items())
             }
         )
-        .drop("__pos", "__block", "__p", "__x", *helpers)
+        .drop(KEY, "__pos", "__block", "__p", "__x", *helpers)
     )
 
 
@@ -104,44 +107,47 @@ def _local(alpha: float, in_block) -> Column:
     return weighted * F.pow(q, F.col("__p"))
 
 
-def _one_block_back(alphas: Mapping[str, float], length: int) -> bool:
-    return all(-math.log1p(-a) * length > NEGLIGIBLE for a in alphas.values())
+def _depth(alpha: float, length: int) -> int:
+    """Blocks after which nothing of a value is left in a double."""
+    return max(1, math.ceil(VANISHED / (-math.log1p(-alpha) * length)))
 
 
-def _carry_by_window(local: DataFrame, keys, alphas: Sequence[float], length: int) -> DataFrame:
-    """Daily series: the carry is read over the same partitioning, without a join."""
+def _carry_by_window(local: DataFrame, by: Sequence[str], alphas: Sequence[float], length: int) -> DataFrame:
+    """Ordinary windows: the ends of the blocks before are read over the same partitioning, without a join."""
     # (block, place in block) is the order the rows are in already.
-    by_key = Window.partitionBy(*keys).orderBy("__block", "__p")
+    by_key = Window.partitionBy(*by).orderBy("__block", "__p")
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     closing = F.col("__p") == length - 1
     # The first row of a key is its own seed.
     seed = F.first("__x").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
-    return local.withColumns(
-        {
-            f"__carry_{i}": F.coalesce(F.last(F.when(closing, F.col(f"__local_{i}")), True).over(before), seed)
-            for i in range(len(alphas))
-        }
-    )
+    carries = {}
+    for i, a in enumerate(alphas):
+        ends = F.collect_list(F.when(closing, F.col(f"__local_{i}"))).over(before)
+        carries[f"__carry_{i}"] = _folded(ends, seed, a, length)
+    return local.withColumns(carries)
 
 
-def _carry_by_join(local: DataFrame, keys, alphas: Sequence[float], length: int) -> DataFrame:
-    """Raw series: fold the block ends, one row per block, and join the carries back."""
-    ends = local.groupBy(*keys, "__block").agg(
+def _carry_by_join(local: DataFrame, by: Sequence[str], alphas: Sequence[float], length: int) -> DataFrame:
+    """Chunked series: fold the block ends, one row per block, and join the carries back."""
+    ends = local.groupBy(*by, "__block").agg(
         F.min_by("__x", "__p").alias("__first"),
         *[F.max_by(f"__local_{i}", "__p").alias(f"__end_{i}") for i in range(len(alphas))],
     )
-    by_block = Window.partitionBy(*keys).orderBy("__block")
+    by_block = Window.partitionBy(*by).orderBy("__block")
     carries = {}
     for i, a in enumerate(alphas):
-        q = math.exp(math.log1p(-a) * length)
-        depth = max(1, math.ceil(NEGLIGIBLE / (-math.log1p(-a) * length)))
-        ends_before = F.collect_list(f"__end_{i}").over(by_block.rowsBetween(-depth, -1))
-        # The seed reaches a block only if the fold starts at the first one.
-        seed = F.when(F.col("__block") <= depth, F.first("__first").over(by_block)).otherwise(F.lit(0.0))
-        carries[f"__carry_{i}"] = F.aggregate(ends_before, seed, _fold(q))
-    folded = ends.withColumns(carries).select(*keys, "__block", *carries)
-    return join_groups(local, folded, [*keys, "__block"])
-
-
-def _fold(q: float):
-    return lambda carry, end: carry * F.lit(q) + end
+        ends_before = F.collect_list(f"__end_{i}").over(by_block.rowsBetween(-_depth(a, length), -1))
+        carries[f"__carry_{i}"] = _folded(ends_before, F.first("__first").over(by_block), a, length)
+    folded = ends.withColumns(carries).select(*by, "__block", *carries)
+    return join_groups(local, folded, [*by, "__block"])
+
+
+def _folded(ends: Column, seed: Column, alpha: float, length: int) -> Column:
+    """Carry into a block from the ends of the blocks before it, oldest first.
+
+    The seed, the first value of the key, reaches a block only if the fold starts at the first one.
+    """
+    q = math.exp(math.log1p(-alpha) * length)
+    depth = _depth(alpha, length)
+    start = F.when(F.col("__block") <= depth, seed).otherwise(F.lit(0.0))
+    return F.aggregate(ends, start, lambda carry, end: carry * F.lit(q) + end)

@@ -1,9 +1,10 @@
 """Row positions and windows that do not put a whole key in one task.
 
-A series at daily grain is bounded by the calendar (about 366 rows a year and key), so an
-ordinary ``partitionBy(key)`` window is safe there. A series of raw stamps has no such bound:
-one sensor may hold a third of all readings. There the rows of the largest key are counted
-first; if one task can sort them, an ordinary window is used, and otherwise the functions here
+A series that a roll-up has brought to daily grain is bounded by the calendar (about 366 rows a
+year and key), so an ordinary ``partitionBy(key)`` window is safe there; callers say so with
+``chunk=DAILY``. A raw series has no such bound, whatever the type of its time column: one sensor may
+hold a third of all readings. There the rows of the largest key are counted first; if one task can sort
+them, an ordinary window is used, and otherwise the functions here
 
 1. count rows per (key, time bucket), which partial aggregation makes small, and cut buckets
    that are still too large,
@@ -12,7 +13,8 @@ first; if one task can sort them, an ordinary window is used, and otherwise the
 4. cut each key into chunks of equal length by position and copy the last ``back`` rows of a
    chunk to the next one, so that a window over a chunk sees what a window over the key sees.
 
-The bucket is a function of the row alone, so a retried task repeats the same cut.
+The bucket is a function of the row alone, so a retried task repeats the same cut. Rows without a key are
+one series of their own on both ways.
 """
 
 from __future__ import annotations
@@ -36,17 +38,28 @@ HOT_ROWS = 2_000_000
 FINER = 256
 
 
-def calendar_bounded(df: DataFrame, ts: str) -> bool:
-    """Daily grain: the time column is a DATE and a key has one row (per variant) a day."""
+#: Chunk length for tables that a roll-up has brought to one row per key (and variant) and day: an ordinary window.
+DAILY = 0
+#: One column for all keys of a row. Unlike its fields it is never NULL, and two of them with NULL fields are equal, so
+#: that rows without a key are one series for windows, groups and joins alike.
+KEY = "__key"
+
+
+def is_date(df: DataFrame, ts: str) -> bool:
     return isinstance(df.schema[ts].dataType, T.DateType)
 
 
+def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn(KEY, F.struct(*keys))
+
+
 def use_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk: int | None, hot_rows: int = HOT_ROWS) -> int:
-    """Chunk length to use, 0 for an ordinary window. For raw stamps this counts rows per key."""
+    """Chunk length to use, 0 for an ordinary window. Without ``chunk`` the rows of the largest key are counted.
+
+    Either way gives the same rows and values; only the cost differs.
+    """
     if chunk is not None:
         return chunk
-    if calendar_bounded(df, ts):
-        return 0
     largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
     return CHUNK_ROWS if (largest or 0) > hot_rows else 0
 
@@ -54,13 +67,13 @@ def use_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk: int | None, h
 def micros_of(df: DataFrame, ts: str) -> Column:
     """Microseconds that rise with the time column. A zone-less stamp is read off its own wall
     clock: through the session zone, hours that its clock skips would change places."""
-    if calendar_bounded(df, ts):
+    if is_date(df, ts):
         return F.unix_date(F.col(ts)).cast("bigint") * (DAY * 1_000_000)
     return wall_micros(ts) if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else F.unix_micros(ts)
 
 
 def time_bucket(df: DataFrame, ts: str, width: int | None = None) -> Column:
-    width = width or (DATE_BUCKET if calendar_bounded(df, ts) else STAMP_BUCKET)
+    width = width or (DATE_BUCKET if is_date(df, ts) else STAMP_BUCKET)
     return F.floor(micros_of(df, ts) / (width * 1_000_000))
 
 
@@ -69,29 +82,29 @@ def cells(
 ) -> tuple[DataFrame, DataFrame]:
     """Cut every key into time cells that one task can sort.
 
-    Returns the rows with ``__bucket`` and ``__piece``, and the row count of each cell. The
+    Returns the rows with ``__key``, ``__bucket`` and ``__piece``, and the row count of each cell. The
     counts per bucket are written once and looked at: only if some bucket holds more than
     ``hot_rows`` rows of a key (a burst, or one bucket with a third of all data) are such
     buckets cut further, each into equal spans of its own first to last stamp. The spans are
     ``FINER`` times shorter than evenly spread rows would need, so that a burst inside the
     bucket is cut too.
     """
-    tagged = df.withColumns({"__bucket": time_bucket(df, ts, width), "__piece": F.lit(0).cast("bigint")})
+    tagged = keyed(df, keys).withColumns({"__bucket": time_bucket(df, ts, width), "__piece": F.lit(0).cast("bigint")})
     at = micros_of(df, ts)
     sizes = settle(
-        tagged.groupBy(*keys, "__bucket").agg(
+        tagged.groupBy(KEY, "__bucket").agg(
             F.count("*").alias("__rows"), F.min(at).alias("__first"), F.max(at).alias("__final")
         ),
         "cells",
     )
     hot = sizes.filter(F.col("__rows") > hot_rows)
     if hot.isEmpty():
-        return tagged, sizes.select(*keys, "__bucket", F.lit(0).cast("bigint").alias("__piece"), "__rows")
+        return tagged, sizes.select(KEY, "__bucket", F.lit(0).cast("bigint").alias("__piece"), "__rows")
     span = (F.col("__final") - F.col("__first") + 1) * (F.lit(hot_rows / FINER) / F.col("__rows"))
-    cuts = hot.select(*keys, "__bucket", "__first", F.greatest(F.ceil(span), F.lit(1)).alias("__span"))
+    cuts = hot.select(KEY, "__bucket", "__first", F.greatest(F.ceil(span), F.lit(1)).alias("__span"))
     piece = F.coalesce(F.floor((at - F.col("__first")) / F.col("__span")), F.lit(0))
-    cut = join_groups(tagged, cuts, [*keys, "__bucket"], measured=True).withColumn("__piece", piece).drop("__first", "__span")
-    counted = cut.groupBy(*keys, "__bucket", "__piece").agg(F.count("*").alias("__rows"))
+    cut = join_groups(tagged, cuts, [KEY, "__bucket"], measured=True).withColumn("__piece", piece).drop("__first", "__span")
+    counted = cut.groupBy(KEY, "__bucket", "__piece").agg(F.count("*").alias("__rows"))
     return cut, counted
 
 
@@ -106,7 +119,7 @@ def positions(
     hot_rows: int = HOT_ROWS,
     chunk: int | None = None,
 ) -> DataFrame:
-    """1-based position of each row within its key in ``(ts, tiebreak)`` order; NULL without a key.
+    """1-based position of each row within its key in ``(ts, tiebreak)`` order; rows without a key are one series.
 
     ``width`` is the bucket length in seconds. ``total`` adds the row count of the key.
     ``chunk`` as in :func:`add_rows`; any number but 0 numbers by cells.
@@ -115,20 +128,18 @@ def positions(
         by_key = Window.partitionBy(*keys)
         plain = {out: F.row_number().over(by_key.orderBy(ts, *tiebreak))}
         return df.withColumns(plain | ({total: F.count("*").over(by_key)} if total else {}))
-    cell = ["__bucket", "__piece"]
+    cell = [KEY, "__bucket", "__piece"]
     tagged, counts = cells(df, keys, ts, width, hot_rows)
-    by_key = Window.partitionBy(*keys)
-    before = F.sum("__rows").over(by_key.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1))
+    by_key = Window.partitionBy(KEY)
+    before = F.sum("__rows").over(by_key.orderBy(*cell[1:]).rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(
-        *keys,
         *cell,
         F.coalesce(before, F.lit(0)).alias("__before"),
         *([F.sum("__rows").over(by_key).alias(total)] if total else []),
     )
-    inside = Window.partitionBy(*keys, *cell).orderBy(ts, *tiebreak)
-    numbered = tagged.withColumn("__inside", F.row_number().over(inside))
+    numbered = tagged.withColumn("__inside", F.row_number().over(Window.partitionBy(*cell).orderBy(ts, *tiebreak)))
     return (
-        join_groups(numbered, offsets, [*keys, *cell])
+        join_groups(numbered, offsets, cell)
         .withColumn(out, F.col("__before") + F.col("__inside"))
         .drop(*cell, "__before", "__inside")
     )
@@ -154,8 +165,8 @@ def add_rows(
 ) -> DataFrame:
     """Add window columns over one shared window: one shuffle and one sort for all of them.
 
-    ``chunk=None`` picks an ordinary window at daily grain or where the largest key has at most
-    ``hot_rows`` rows, and chunks otherwise; 0 forces the window, a number chunks of that many rows.
+    ``chunk=None`` picks an ordinary window where the largest key has at most ``hot_rows`` rows, and
+    chunks otherwise; 0 (``DAILY``) forces the window, a number chunks of that many rows.
     """
     size = use_chunks(df, keys, ts, chunk, hot_rows)
     if not size:

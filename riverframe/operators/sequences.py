@@ -10,12 +10,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riverframe.functions.columns import flag
 from riverframe.operators.joins import join_groups
-from riverframe.operators.ordered import RowExpr, add_rows, positions
+from riverframe.operators.ordered import KEY, RowExpr, add_rows, keyed, positions
 from riverframe.operators.quantiles import quantiles
+from riverframe.operators.settle import settle
 from riverframe.operators.windows import last_n
 
 
@@ -87,34 +87,34 @@ def chrono_split(
     placed = positions(df, keys, ts, "__pos", total="__total", chunk=chunk)
     if mode == "concat":
         offsets, rows = _key_offsets(df, keys)
-        placed = join_groups(placed.drop("__total"), offsets, keys).withColumns(
-            {"__pos": F.col("__pos") + F.col("__before"), "__total": rows}
+        placed = join_groups(keyed(placed.drop("__total"), keys), offsets, [KEY]).withColumns(
+            {"__pos": F.col("__pos") + F.col("__before"), "__total": F.lit(rows)}
         )
     elif mode != "per_key":
         raise ValueError(f"mode must be per_key or concat, not {mode!r}")
     part = F.lit(names[-1])
     for name, cut in reversed(list(zip(names, _cuts(F.col("__total"), ratios, rounding)))):
         part = F.when(F.col("__pos") <= cut, name).otherwise(part)
-    return placed.withColumn("split", part).drop("__pos", "__total", "__before")
+    return placed.withColumn("split", part).drop(KEY, "__pos", "__total", "__before")
 
 
-def _key_offsets(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
-    """Rows that lie before each key in key order, and the number of all rows.
+def _key_offsets(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """Rows that lie before each key in key order (rows without a key first), and the number of all rows.
 
-    Works on per-key counts in two levels, by the leading characters of the first key and
-    then inside each such group, so that no task orders all keys.
+    The per-key counts are cut into ranges of keys by Spark's own range partitioning and written with the
+    number of their range, so that every reader sees the same cut; a range is ordered on its own and only one row
+    per range is ordered across all.
     """
-    first = F.col(keys[0])
-    lead = F.left(first, F.lit(2)) if isinstance(df.schema[keys[0]].dataType, T.StringType) else F.floor(first / 4096)
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("__n")).withColumn("__lead", lead)
+    counts = keyed(df, keys).groupBy(KEY).agg(F.count("*").alias("__n"))
+    ranged = settle(counts.repartitionByRange(KEY).withColumn("__range", F.spark_partition_id()), "key-ranges")
     earlier = Window.unboundedPreceding, -1
-    inside = F.sum("__n").over(Window.partitionBy("__lead").orderBy(*keys).rowsBetween(*earlier))
-    leads = per_key.groupBy("__lead").agg(F.sum("__n").alias("__n"))
-    between = F.sum("__n").over(Window.orderBy("__lead").rowsBetween(*earlier))
-    bases = leads.select("__lead", F.coalesce(between, F.lit(0)).alias("__base"))
-    placed = join_groups(per_key.withColumn("__inside", F.coalesce(inside, F.lit(0))), bases, ["__lead"])
-    offsets = placed.select(*keys, (F.col("__inside") + F.col("__base")).alias("__before"))
-    return offsets, leads.agg(F.sum("__n").alias("n")).scalar()
+    ranges = ranged.groupBy("__range").agg(F.sum("__n").alias("__n"))
+    between = F.sum("__n").over(Window.orderBy("__range").rowsBetween(*earlier))
+    bases = ranges.select("__range", F.coalesce(between, F.lit(0)).alias("__base"))
+    inside = F.sum("__n").over(Window.partitionBy("__range").orderBy(KEY).rowsBetween(*earlier))
+    placed = join_groups(ranged.withColumn("__inside", F.coalesce(inside, F.lit(0))), bases, ["__range"])
+    offsets = placed.select(KEY, (F.col("__inside") + F.col("__base")).alias("__before"))
+    return offsets, ranges.agg(F.sum("__n")).first()[0] or 0
 
 
 # -- labels -----------------------------------------------------------------

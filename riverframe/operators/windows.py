@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riverframe.functions.columns import as_column
 from riverframe.operators.joins import join_groups, with_global_stats
-from riverframe.operators.ordered import HOT_ROWS, RowExpr, add_rows, calendar_bounded, cells, use_chunks
+from riverframe.operators.ordered import HOT_ROWS, KEY, RowExpr, add_rows, cells, is_date, use_chunks
 
 FRAME_FUNCTIONS = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min}
 
@@ -83,7 +83,7 @@ def rolling(
     name = out or f"{c}_roll{n}_{fn}"
     if not calendar:
         return add_rows(df, keys, ts, {name: rolling_of(c, n, fn, min_periods)}, **how)
-    if not calendar_bounded(df, ts):
+    if not is_date(df, ts):
         raise ValueError("a calendar window needs a DATE column; resample first")
     frame = Window.partitionBy(*keys).orderBy(F.unix_date(ts)).rangeBetween(-(n - 1), 0)
     need = n if min_periods is None else min_periods
@@ -99,7 +99,7 @@ def pct_change(df: DataFrame, keys: Sequence[str], ts: str, c: str, pad: bool =
     name = out or f"{c}_pct_change"
     if not pad:
         return add_rows(df, keys, ts, {name: pct_change_of(c)}, **how)
-    padded = fill_gaps(df.withColumn("__padded", F.col(c)), keys, ts, ["__padded"], "ffill")
+    padded = fill_gaps(df.withColumn("__padded", F.col(c)), keys, ts, ["__padded"], "ffill", **how)
     return add_rows(padded, keys, ts, {name: pct_change_of("__padded")}, **how).drop("__padded")
 
 
@@ -132,30 +132,30 @@ def fill_gaps(
     if not use_chunks(df, keys, ts, chunk, hot_rows):
         spec = Window.partitionBy(*keys)
         return df.withColumns({c: F.coalesce(*_fills(F.col(c), spec, order, direction)) for c in cols})
-    cell = ["__bucket", "__piece"]
+    cell = [KEY, "__bucket", "__piece"]
     tagged, _ = cells(df, keys, ts, width, hot_rows)
     stamp = F.struct(*order)
-    edges = tagged.groupBy(*keys, *cell).agg(
+    edges = tagged.groupBy(*cell).agg(
         *[f(F.col(c), F.when(F.col(c).isNotNull(), stamp)).alias(f"__{n}_{c}")
           for c in cols for n, f in (("last", F.max_by), ("first", F.min_by))]
     )
-    by_key = Window.partitionBy(*keys)
-    earlier = by_key.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
-    later = by_key.orderBy(*[F.desc(c) for c in cell]).rowsBetween(Window.unboundedPreceding, -1)
+    by_key = Window.partitionBy(KEY)
+    earlier = by_key.orderBy(*cell[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    later = by_key.orderBy(*[F.desc(c) for c in cell[1:]]).rowsBetween(Window.unboundedPreceding, -1)
     def handed(c: str) -> Column:
         if direction == "bfill":
             return F.last(f"__first_{c}", True).over(later)
         before = F.last(f"__last_{c}", True).over(earlier)
         if direction == "ffill":
             return before
-        return F.coalesce(before, _first_known(F.col(f"__first_{c}"), by_key, cell))
+        return F.coalesce(before, _first_known(F.col(f"__first_{c}"), by_key, cell[1:]))
 
-    carried = edges.select(*keys, *cell, *[handed(c).alias(f"__carry_{c}") for c in cols])
-    inside = Window.partitionBy(*keys, *cell)
+    carried = edges.select(*cell, *[handed(c).alias(f"__carry_{c}") for c in cols])
+    inside = Window.partitionBy(*cell)
     local = "ffill" if direction == "both" else direction
     filled = {c: F.coalesce(*_fills(F.col(c), inside, order, local), F.col(f"__carry_{c}")) for c in cols}
     helpers = [f"__carry_{c}" for c in cols]
-    return join_groups(tagged, carried, [*keys, *cell]).withColumns(filled).drop(*cell, *helpers)
+    return join_groups(tagged, carried, cell).withColumns(filled).drop(*cell, *helpers)
 
 
 def _first_known(c: Column, spec, order: Sequence[str]) -> Column:

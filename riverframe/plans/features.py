@@ -18,7 +18,7 @@ from riverframe.functions.columns import (
 )
 from riverframe.operators.ema import alpha_of, emas
 from riverframe.operators.joins import join_with_suffix, union_all, with_row
-from riverframe.operators.ordered import add_rows
+from riverframe.operators.ordered import DAILY, add_rows
 from riverframe.operators.quantiles import quantiles
 from riverframe.operators.resample import resample
 from riverframe.operators.scaling import one_hot, standardize
@@ -81,8 +81,8 @@ def rain_memory(days: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     rows |= {f"rain_sum_roll{n}": rolling_of("rain_sum_mm", n, "sum", min_periods=1) for n in ROLLS}
     rows["rain_delta_1d"] = delta_of("rain_sum_mm", fill=0.0)
     averages = {f"rain_ema_{s}": alpha_of(span=s) for s in SPANS} | {"rain_api_7d": API_ALPHA}
-    lagged = add_rows(days, [KEY], DAY, rows, tiebreak=tiebreak)
-    return emas(lagged, [KEY], DAY, "rain_sum_mm", averages, tiebreak=tiebreak)
+    lagged = add_rows(days, [KEY], DAY, rows, tiebreak=tiebreak, chunk=DAILY)
+    return emas(lagged, [KEY], DAY, "rain_sum_mm", averages, tiebreak=tiebreak, chunk=DAILY)
 
 
 def feature_names(categories: Sequence[str], leaky: bool = False) -> list[str]:
@@ -148,7 +148,7 @@ def build_features_wide(hourly: DataFrame, daily: DataFrame) -> DataFrame:
     # The windows must see days without a target, so the join keeps them until afterwards.
     days = days.join(daily_target(daily), [KEY, DAY], "left")
     table = emas(
-        add_rows(days, [KEY], DAY, rows), [KEY], DAY, "rain_sum_mm", {f"rain_ema_{s}": alpha_of(span=s) for s in SPANS}
+        add_rows(days, [KEY], DAY, rows, chunk=DAILY), [KEY], DAY, "rain_sum_mm", {f"rain_ema_{s}": alpha_of(span=s) for s in SPANS}, chunk=DAILY
     )
     return table.dropna()
 
@@ -174,12 +174,12 @@ def discharge_features(
         "discharge_change_pct": pct_change_of(c),
         "discharge_anomaly": anomaly_of(c, 3),
     }
-    table = add_rows(discharge, [KEY], DAY, rows)
+    table = add_rows(discharge, [KEY], DAY, rows, chunk=DAILY)
     threshold = quantiles(discharge, {c: p}, method=method).scalar()
     table = zscore(table.withColumn("is_extreme_river_discharge", flag(c, ">=", threshold)), [c], names={c: "discharge_zscore"})
     table = _with_calendar(table)
     if fill:
-        table = fill_gaps(table, [KEY], DAY, [c, *rows, "discharge_zscore"])
+        table = fill_gaps(table, [KEY], DAY, [c, *rows, "discharge_zscore"], chunk=DAILY)
     return table.dropna(subset=[c])
 
 
@@ -200,7 +200,7 @@ def weather_features(
     rows["rain_cum_7d"] = rolling_of(rain, 7, "sum")
     weather = weather.select(KEY, DAY, *measured)
     weather = weather if settled else settle(weather, "weather")
-    table = _with_calendar(add_rows(weather, [KEY], DAY, rows))
+    table = _with_calendar(add_rows(weather, [KEY], DAY, rows, chunk=DAILY))
     table = with_row(table, quantiles(weather, {rain: p, temp: p, wind: p}, method=method), "__limits")
     table = table.withColumns(
         {
@@ -215,7 +215,7 @@ def weather_features(
     scores = {rain: "rain_sum_zscore", temp: "temperature_mean_zscore", wind: "wind_speed_max_zscore"}
     table = zscore(table, list(scores), names=scores)
     if fill:
-        table = fill_gaps(table, [KEY], DAY, [*measured, *rows, *scores.values()])
+        table = fill_gaps(table, [KEY], DAY, [*measured, *rows, *scores.values()], chunk=DAILY)
     return table.dropna(subset=[rain, temp])
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverframe.functions.columns import RISK_CUTS, risk_class
 from riverframe.operators.models import score
-from riverframe.operators.ordered import add_rows
+from riverframe.operators.ordered import DAILY, add_rows
 from riverframe.operators.resample import resample
 from riverframe.operators.scaling import apply_scaler
 from riverframe.operators.select import align_columns
@@ -25,7 +25,7 @@ def forecast_days(forecast: DataFrame, reading: str = "rain_member0") -> DataFra
     days = resample(forecast, [KEY], "datetime", aggs, n_obs=None)
     rows = {f"rain_sum_lag{k}": lag_of("rain_sum", k) for k in (1, 2, 3)}
     rows["rain_3d_avg"] = rolling_of("rain_sum", 3, "mean")
-    return add_rows(days, [KEY], DAY, rows).dropna()
+    return add_rows(days, [KEY], DAY, rows, chunk=DAILY).dropna()
 
 
 def score_forecast(
@@ -38,18 +38,36 @@ def score_forecast(
     ts: str = DAY,
     cuts=RISK_CUTS,
     on_missing: str = "error",
+    chunk: int | None = DAILY,
+    ahead: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Prediction and risk class for each day that has ``n`` days before it.
 
     ``table`` should come from the same feature function as the training table; a feature it
-    lacks is an error unless ``on_missing`` says otherwise. Sequences never cross keys.
+    lacks is an error unless ``on_missing`` says otherwise. Sequences never cross keys. ``chunk=None`` is for a
+    table of more than a row per key and day. ``ahead`` (column and value) scores the rows of that kind alone;
+    of the others only those that their sequences need are cut into sequences at all.
     """
-    aligned = align_columns(table, features, on_missing, keep=[*keys, ts])
+    kind = ahead[0] if ahead else None
+    aligned = align_columns(table, features, on_missing, keep=[*keys, ts, *([kind] if kind else [])])
+    if ahead:
+        aligned = _near(aligned, keys, ts, F.col(kind) == ahead[1], n, chunk)
     scaled = apply_scaler(aligned, scaler, features) if scaler is not None else aligned
-    scored = score(sequences(scaled, keys, ts, features, n), make_model, (n, len(features)), out="predicted_discharge")
+    cut = sequences(scaled, keys, ts, features, n, kind, chunk=chunk)
+    if ahead:
+        cut = cut.filter(F.col(kind) == ahead[1]).drop(kind)
+    scored = score(cut, make_model, (n, len(features)), out="predicted_discharge")
     return scored.withColumn("flood_risk", risk_class("predicted_discharge", cuts)).drop("sequence")
 
 
+def _near(df: DataFrame, keys: Sequence[str], ts: str, wanted: Column, n: int, chunk: int | None) -> DataFrame:
+    """Rows that are wanted or among the ``n`` before a wanted one."""
+    if chunk != DAILY:
+        return df
+    ahead = Window.partitionBy(*keys).orderBy(ts).rowsBetween(0, n)
+    return df.withColumn("__near", F.max(wanted).over(ahead)).filter("__near").drop("__near")
+
+
 def forecast_horizon(
     table: DataFrame,
     features: Sequence[str],

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riverframe.operators.scaling import apply_scaler, fit_scaler
 from riverframe.operators.select import require_columns
 from riverframe.operators.settle import settle
+from riverframe.operators.ordered import DAILY
 from riverframe.operators.sequences import chrono_split, sequence_counts, sequences
 
 
@@ -35,12 +36,13 @@ def make_training_set(
     rounding: str = "floor",
     fit_on_train: bool = False,
     settled: bool = False,
+    chunk: int | None = DAILY,
 ) -> TrainingSet:
     """Complete historical rows, scaled, cut into sequences per key and split by time.
 
     ``fit_on_train`` fits the scaler on the oldest share of each key only. Unless ``settled``
     (``table`` is stored already), the rows are written once: the scaler, the counts and the
-    sequences all read them.
+    sequences all read them. ``chunk=None`` is for a table of more than a row per key and day.
     """
     require_columns(table, [*keys, ts, target, *features, *([history[0]] if history else [])])
     rows = table.filter(F.col(history[0]) == history[1]) if history else table
@@ -48,12 +50,12 @@ def make_training_set(
     rows = rows if settled else settle(rows, "training")
     fit_rows = rows
     if fit_on_train:
-        fit_rows = chrono_split(rows, keys, ts, ratios, rounding=rounding).filter(F.col("split") == "train")
+        fit_rows = chrono_split(rows, keys, ts, ratios, rounding=rounding, chunk=chunk).filter(F.col("split") == "train")
     scaler = fit_scaler(fit_rows, features)
     # The label keeps its own scale, also where the target is one of the features.
     scaled = apply_scaler(rows.withColumn("__label", F.col(target)), scaler, features)
-    cut = sequences(scaled, keys, ts, features, n, "__label").withColumnRenamed("__label", target)
-    return TrainingSet(rows, chrono_split(cut, keys, ts, ratios, mode, rounding), scaler, sequence_counts(rows, keys, n))
+    cut = sequences(scaled, keys, ts, features, n, "__label", chunk=chunk).withColumnRenamed("__label", target)
+    return TrainingSet(rows, chrono_split(cut, keys, ts, ratios, mode, rounding, chunk=chunk), scaler, sequence_counts(rows, keys, n))
 
 
 def training_metadata(

@@ -166,11 +166,48 @@ def test_large_keys_are_chunked_on_their_own(noisy):
     pd.testing.assert_frame_equal(plain, frame(add_rows(noisy, K, "datetime", exprs, hot_rows=500), "m5"), rtol=1e-12)
 
 
-def test_rows_without_a_key_are_kept(spark):
-    df = spark.sql("SELECT CAST(NULL AS STRING) AS location, timestamp_ntz'2024-01-01 00:00:00' AS datetime, 1.0D AS x"
-                   " UNION ALL SELECT 'a', timestamp_ntz'2024-01-01 00:00:00', 2.0D")
-    assert add_rows(df, K, "datetime", {"l": W.lag_of("x", 1)}, chunk=5).count() == 2
-    assert W.fill_gaps(df, K, "datetime", ["x"], chunk=5).count() == 2
+@pytest.fixture(scope="module")
+def keyless(spark):
+    """Rows of which a third have no key, several a day, under a DATE."""
+    rng = random.Random(4)
+    data = [(None if i % 3 == 0 else "ab"[i % 2], dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(20)), rng.uniform(0, 9) if i % 4 else None, i) for i in range(600)]
+    return spark.createDataFrame(data, "location string, date date, x double, id int").repartition(5)
+
+
+def by_id(df, *cols):
+    return {r["id"]: tuple(r[c] for c in cols) for r in df.collect()}
+
+
+@pytest.mark.parametrize("chunk", [1, 37, 5000])
+def test_rows_without_a_key_are_one_series_on_both_ways(keyless, chunk):
+    how = {"tiebreak": ["id"]}
+    exprs = {"l": W.lag_of("x", 2), "s": W.rolling_of("x", 5, "sum", 1)}
+    plain, cut = (by_id(add_rows(keyless, K, "date", exprs, chunk=c, **how), *exprs) for c in (0, chunk))
+    assert {k: pytest.approx(v) for k, v in plain.items()} == cut
+    plain, cut = (by_id(positions(keyless, K, "date", "p", "n", chunk=c, **how), "p", "n") for c in (0, chunk))
+    assert plain == cut and max(v[0] for v in plain.values()) == 200
+    for direction in ("ffill", "bfill", "both"):
+        plain, cut = (by_id(W.fill_gaps(keyless, K, "date", ["x"], direction, chunk=c, **how), "x") for c in (0, chunk))
+        assert plain == cut
+    full = keyless.fillna(0.5, ["x"])
+    plain, cut = (by_id(emas(full, K, "date", "x", {"e": 0.3}, block=7, chunk=c, **how), "e") for c in (0, chunk))
+    assert {k: pytest.approx(v) for k, v in plain.items()} == cut
+
+
+def test_a_date_column_is_counted_like_any_other(keyless):
+    assert use_chunks(keyless, K, "date", None, hot_rows=100) > 0 and use_chunks(keyless, K, "date", None) == 0
+
+
+def test_average_keeps_what_a_huge_value_leaves(spark):
+    """After a spike of 1e25 even a part in 1e-20 of it is far above the other values."""
+    df = spark.range(400).selectExpr("'a' AS location", "date_add(date'2024-01-01', int(id)) AS date", "CASE WHEN id = 3 THEN 1e25 ELSE 1.0 END AS x", "int(id) AS id")
+    want, y = [], None
+    for x in [1.0, 1.0, 1.0, 1e25] + [1.0] * 396:
+        y = x if y is None else 0.75 * y + 0.25 * x
+        want.append(y)
+    for chunk in (0, 64):
+        got = by_id(emas(df, K, "date", "x", {"e": 0.25}, block=16, chunk=chunk), "e")
+        assert [got[i][0] for i in range(400)] == pytest.approx(want, rel=1e-9)
 
 
 def test_ends_of_series(series, rows):
