@@ -1,11 +1,12 @@
 """Exact quantiles with linear interpolation that survive one huge group.
 
-Spark's ``percentile`` keeps every distinct value of a group in one reducer, and a sketch of a
-huge group is merged by one reducer. Here a histogram, counted in parallel, tells which bins
-hold the wanted ranks; values outside those bins collapse to one stand-in per gap; equal values
-are counted in parallel; and ``percentile`` then sees only the counted values inside the bins,
-about one row in ``BINS``. Collapsing keeps the order and the row count, so the answer is the
-exact one. An answer outside its bin would be a stand-in; that raises instead.
+Spark's ``percentile`` keeps every distinct value of a group in one reducer. Here groups of more than
+``SMALL_GROUP`` values are narrowed first. Counts in parallel bins tell which bin holds the wanted ranks: at first
+bins of equal ratio (``PER_OCTAVE`` to every doubling), which an outlier of any size cannot widen, then, as long
+as a bin holds more than ``SMALL_GROUP`` values, ``BINS`` equal bins inside it. Values outside collapse to
+one stand-in per gap; equal values are counted in parallel; and ``percentile`` then sees only the counted
+values inside. Collapsing keeps the order and the row count, so the answer is the exact one. An answer outside its bin
+would be a stand-in; that raises instead.
 """
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverframe.functions.columns import nan_to_null
-from riverframe.operators.joins import join_groups, with_row
+from riverframe.operators.joins import join_groups
+from riverframe.operators.settle import settle
 
 ACCURACY = 20_000
 BINS = 65_536
+PER_OCTAVE = 64
 SMALL_GROUP = 50_000
+PASSES = 6
+GROUP = "__group"
 
 
 def quantiles_long(
@@ -56,76 +61,74 @@ def _per_metric(known: DataFrame, cols: Sequence[str], by: Sequence[str], fn, ou
 
 
 def _binned(known: DataFrame, cols: list[str], by: list[str], ps: list[float]) -> DataFrame:
-    group = [*by, "metric"]
-    long = _with_range(known, cols, by)
-    brackets = _brackets(long.filter(F.col("n") > SMALL_GROUP), group, sorted(ps))
-    edges = [f"__edge{k}" for k in range(2 * len(ps))]
-    # Without ``by`` there is one bracket row per requested column, a fixed number.
-    placed = join_groups(long, brackets, group, measured=True) if by else long.join(F.broadcast(brackets), group, "left")
+    """The sizes are counted in one pass. Where all groups are small that is all; otherwise the columns are
+    written once, and every further pass reads them from there."""
+    counted = known.groupBy(*by).agg(*[F.count(f"__{i}").alias(f"__{i}") for i in range(len(cols))])
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"__{i}").alias("n")) for i, c in enumerate(cols)])
+    sizes = counted.select(*by, F.explode(cells).alias("__cell")).select(*by, "__cell.*")
+    big = settle(sizes.filter(F.col("n") > SMALL_GROUP).select(_group(by), "n"), "quantile-sizes")
+    if big.isEmpty():
+        return _per_metric(known, cols, by, lambda c: F.percentile(c, F.array(*[F.lit(p) for p in ps])), "q")
+    stored = settle(known, "quantile-values")
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"__{i}").alias("value")) for i, c in enumerate(cols)])
+    long = stored.select(*by, F.explode(cells).alias("__cell")).select(*by, "__cell.*").filter(F.col("value").isNotNull())
+    return _counted_inside(long.select(_group(by), "value"), big, by, ps)
+
+
+def _group(by: Sequence[str]) -> Column:
+    """All group columns as one, which is never NULL: rows without a key are a group like any other."""
+    return F.struct(*by, "metric").alias(GROUP)
+
+
+def _counted_inside(long: DataFrame, big: DataFrame, by: list[str], ps: list[float]) -> DataFrame:
+    order = sorted(ps)
+    sides = brackets(long, big, order).groupBy(GROUP).agg(F.array_sort(F.collect_list(F.struct("i", "lo", "hi"))).alias("__sides"))
+    placed = join_groups(long, sides, [GROUP], measured=True)
     # A group without brackets is small and is counted whole.
-    open_ends = {e: F.coalesce(e, F.lit(float("inf") if k % 2 else float("-inf"))) for k, e in enumerate(edges)}
-    kept = [F.first(e).alias(e) for e in edges]
-    counted = (
-        placed.withColumns(open_ends)
-        .withColumn("value", _collapse(F.col("value"), [F.col(e) for e in edges]))
-        .groupBy(*group, "value")
-        .agg(F.count("*").alias("__n"), *kept)
-    )
-    picked = counted.groupBy(*group).agg(
-        F.percentile("value", F.array(*[F.lit(p) for p in ps]), F.col("__n")).alias("q"), *kept
-    )
-    rank = {p: i for i, p in enumerate(sorted(ps))}
-    checked = [
-        _check(F.col("q")[i], F.col(edges[2 * rank[p]]), F.col(edges[2 * rank[p] + 1])) for i, p in enumerate(ps)
-    ]
-    return picked.select(*group, F.array(*checked).alias("q"))
+    open_end = lambda k, side, end: F.coalesce(F.col("__sides")[k][side], F.lit(float(end)))
+    edges = [e for k in range(len(order)) for e in (open_end(k, "lo", "-inf"), open_end(k, "hi", "inf"))]
+    counted = placed.groupBy(GROUP, _collapse(F.col("value"), edges).alias("value")).agg(F.count("*").alias("__n"), F.first("__sides").alias("__sides"))
+    picked = counted.groupBy(GROUP).agg(F.percentile("value", F.array(*[F.lit(p) for p in ps]), F.col("__n")).alias("q"), F.first("__sides").alias("__sides"))
+    rank = {p: i for i, p in enumerate(order)}
+    checked = [_check(F.col("q")[i], edges[2 * rank[p]], edges[2 * rank[p] + 1]) for i, p in enumerate(ps)]
+    return picked.select(f"{GROUP}.*", F.array(*checked).alias("q")).select(*by, "metric", "q")
 
 
-def _with_range(known: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
-    """``(by..., metric, value, n, lo, hi)``: each value with the size and range of its group."""
-    facts = {"n": F.count, "lo": F.min, "hi": F.max}
-    ranges = known.groupBy(*by).agg(
-        *[f(F.col(f"__{i}")).alias(f"__{name}{i}") for i in range(len(cols)) for name, f in facts.items()]
-    )
-    held = join_groups(known, ranges, by, measured=True) if by else with_row(known, ranges, "__row").select("*", "__row.*")
-    cells = [
-        F.struct(
-            F.lit(c).alias("metric"),
-            F.col(f"__{i}").alias("value"),
-            *[F.col(f"__{name}{i}").alias(name) for name in facts],
-        )
-        for i, c in enumerate(cols)
-    ]
-    long = held.select(*by, F.explode(F.array(*cells)).alias("__cell")).select(*by, "__cell.*")
-    return long.filter(F.col("value").isNotNull())
-
+def brackets(long: DataFrame, big: DataFrame, ps: Sequence[float]) -> DataFrame:
+    """``(group, i, p, n, lo, hi, below, inside)``: the values between which the ranks around the i-th quantile lie.
 
-def _brackets(long: DataFrame, group: list[str], ps: list[float]) -> DataFrame:
-    """Smallest and largest value of the bins that hold the ranks around each quantile.
-
-    Bins are equal in the fourth root of the distance to the minimum, which suits readings with
-    a long upper tail. Subtraction and square root round monotonically, so bins follow values.
+    ``below`` counts the values under ``lo``, ``inside`` those from ``lo`` to ``hi``.
     """
-    def root(c: Column) -> Column:
-        return F.sqrt(F.sqrt(c - F.col("lo")))
-
-    place = F.coalesce(F.width_bucket(root(F.col("value")), F.lit(0.0), root(F.col("hi")), F.lit(BINS)), F.lit(0))
-    bins = long.groupBy(*group, place.alias("__bin")).agg(
-        F.count("*").alias("__rows"), F.min("value").alias("__min"), F.max("value").alias("__max"),
-        F.first("n").alias("__n"),
+    v = F.col("value")
+    ratio = F.floor(F.log2(F.abs(v)) * PER_OCTAVE) + 1100 * PER_OCTAVE  # positive for every double; rises with its size
+    octave = F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * ratio)
+    asked = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(ps)]))
+    bins = join_groups(long, big, [GROUP], measured=True).filter(F.col("n").isNotNull()).groupBy(GROUP, "n", octave.alias("__bin"))
+    counts = bins.agg(F.count("*").alias("__rows"), F.min(v).alias("__min"), F.max(v).alias("__max"))
+    ranked = counts.withColumn("__upto", F.sum("__rows").over(Window.partitionBy(GROUP).orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0)))
+    found = settle(_holding(ranked.select("*", asked.alias("__ask")).select("*", "__ask.*")), "quantile-brackets")
+    for _ in range(PASSES):
+        wide = found.filter((F.col("inside") > SMALL_GROUP) & (F.col("lo") < F.col("hi")))
+        if wide.isEmpty():
+            break
+        inside = long.join(wide, GROUP).filter(v.between(F.col("lo"), F.col("hi")))
+        place = F.width_bucket(v, F.col("lo"), F.col("hi"), F.lit(BINS))
+        counts = inside.groupBy(GROUP, "i", "p", "n", "below", place.alias("__bin")).agg(F.count("*").alias("__rows"), F.min(v).alias("__min"), F.max(v).alias("__max"))
+        upto = F.col("below") + F.sum("__rows").over(Window.partitionBy(GROUP, "i").orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0))
+        finer = _holding(counts.withColumn("__upto", upto).drop("below"))
+        done = found.filter((F.col("inside") <= SMALL_GROUP) | (F.col("lo") >= F.col("hi")))
+        found = settle(done.unionByName(finer), "quantile-brackets")
+    return found
+
+
+def _holding(ranked: DataFrame) -> DataFrame:
+    """The bins that hold the rank below and the rank above each quantile, as one bracket."""
+    rank = F.col("p") * (F.col("n") - 1)
+    holds = lambda r: (r < F.col("__upto")) & (r >= F.col("__upto") - F.col("__rows"))
+    held = ranked.filter(holds(F.floor(rank)) | holds(F.ceil(rank)))
+    return held.groupBy(GROUP, "i", "p", "n").agg(
+        F.min("__min").alias("lo"), F.max("__max").alias("hi"), F.min(F.col("__upto") - F.col("__rows")).alias("below"), F.sum("__rows").alias("inside")
     )
-    upto = F.sum("__rows").over(Window.partitionBy(*group).orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = bins.withColumn("__upto", upto)
-
-    def holds(rank: Column) -> Column:
-        return (rank < F.col("__upto")) & (rank >= F.col("__upto") - F.col("__rows"))
-
-    edges = []
-    for i, p in enumerate(ps):
-        rank = F.lit(p) * (F.col("__n") - 1)
-        edges.append(F.min(F.when(holds(F.floor(rank)), F.col("__min"))).alias(f"__edge{2 * i}"))
-        edges.append(F.max(F.when(holds(F.ceil(rank)), F.col("__max"))).alias(f"__edge{2 * i + 1}"))
-    return ranked.groupBy(*group).agg(*edges)
 
 
 def _collapse(value: Column, edges: Sequence[Column]) -> Column:
