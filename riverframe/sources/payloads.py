@@ -3,6 +3,7 @@ reads all of it at once."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -58,15 +59,18 @@ def route_variables(df: DataFrame, lookup: DataFrame) -> DataFrame:
     return df.join(named, ["code", "altitude"], "inner").drop("code", "altitude")
 
 
-def members_to_wide(df: DataFrame, variables: Sequence[str], members: Sequence[int], keys: Sequence[str] = ("location",)) -> DataFrame:
-    """``{variable}_member{n}`` columns, as the wide files have them; the lists are given, not searched."""
+def members_to_wide(df: DataFrame, variables: Sequence[str], members: Sequence[int], keys: Sequence[str] = ("location",), newest: str | None = None) -> DataFrame:
+    """``{variable}_member{n}`` columns, as the wide files have them; the lists are given, not searched.
+
+    Of repeated pulls the value with the largest ``newest`` counts; without such a column the largest value.
+    """
     name = F.concat("variable", F.lit("_member"), F.col("member").cast("string"))
     columns = [f"{v}_member{m}" for v in variables for m in members]
     return (
         df.withColumn("__name", name)
         .groupBy(*keys, "datetime")
         .pivot("__name", columns)
-        .agg(F.first("value", ignorenulls=True))
+        .agg(F.max("value") if newest is None else F.max_by("value", F.when(F.col("value").isNotNull(), F.col(newest))))
     )
 
 
@@ -80,16 +84,50 @@ def pick_member(df: DataFrame, variable: str, member: int | str = 0, keys: Seque
     return rows.groupBy(*keys, "datetime").agg(fn("value").alias(out))
 
 
-def tag_location(df: DataFrame, locations: DataFrame, digits: int = 2) -> DataFrame:
-    """Name payloads by coordinates, rounded because services answer with their grid point."""
-    def rounded(c: str) -> Column:
-        return F.round(F.col(c), digits)
+EARTH_KM = 6371.0088
+KM_PER_DEGREE = EARTH_KM * math.pi / 180
 
-    named = locations.select(
-        "location", rounded("latitude").alias("__lat"), rounded("longitude").alias("__lon")
-    )
-    keyed = df.withColumns({"__lat": rounded("latitude"), "__lon": rounded("longitude")})
-    return keyed.join(named, ["__lat", "__lon"], "inner").drop("__lat", "__lon")
+
+def nearest_location(df: DataFrame, locations: DataFrame, within_km: float = 5.0) -> DataFrame:
+    """Add ``location`` and ``distance_km`` of the nearest location within reach; NULL where there is none.
+
+    Services answer with their grid point, so coordinates differ a little. The earth is cut into cells about as wide
+    as the reach; a location is entered in every cell that its surroundings touch, so that a payload looks into its own
+    cell only, on an edge as well, and neither drops out nor multiplies. Equally near ones: the first by name.
+    Payloads without coordinates have no location.
+    """
+    size = within_km / KM_PER_DEGREE
+    lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
+    # How many degrees the reach is from west to east, at the end of the surroundings nearer to a pole.
+    widest = F.cos(F.radians(F.least(F.abs(lat) + size, F.lit(89.9))))
+    east = F.least(F.lit(size) / widest, F.lit(180.0))
+    cell = lambda c: F.floor(c / size)
+    around = locations.select("location", lat.alias("__lat"), lon.alias("__lon"), east.alias("__east"), F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0))).alias("__turn"))
+    around = around.filter(F.col("__lat").isNotNull() & F.col("__lon").isNotNull())
+    around = around.select("*", F.explode(F.sequence(cell(F.col("__lat") - size), cell(F.col("__lat") + size))).alias("__row"))
+    turned = F.col("__lon") + F.col("__turn")
+    around = around.filter(F.abs(turned) <= 180 + F.col("__east")).select("*", F.explode(F.sequence(cell(turned - F.col("__east")), cell(turned + F.col("__east")))).alias("__column"))
+    # One row per cell, with the few locations near it.
+    near = around.groupBy("__row", "__column").agg(F.collect_set(F.struct("location", "__lat", "__lon")).alias("__near"))
+
+    def haversine(x: Column) -> Column:
+        a = F.pow(F.sin(F.radians(x["__lat"] - lat) / 2), 2) + F.cos(F.radians(lat)) * F.cos(F.radians(x["__lat"])) * F.pow(F.sin(F.radians(x["__lon"] - lon) / 2), 2)
+        return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+
+    reached = F.filter(F.transform("__near", lambda x: F.struct(haversine(x).alias("distance_km"), x["location"].alias("location"))), lambda x: x["distance_km"] <= within_km)
+    placed = df.withColumns({"__row": cell(lat), "__column": cell(lon)}).join(near, ["__row", "__column"], "left")
+    best = placed.withColumn("__best", F.array_min(reached))
+    return best.withColumns({"location": F.col("__best.location"), "distance_km": F.col("__best.distance_km")}).drop("__row", "__column", "__near", "__best")
+
+
+def tag_location(df: DataFrame, locations: DataFrame, within_km: float = 5.0) -> DataFrame:
+    """Payloads with the name of the nearest location; those too far from all are in :func:`untagged`."""
+    return nearest_location(df, locations, within_km).filter(F.col("location").isNotNull()).drop("distance_km")
+
+
+def untagged(df: DataFrame, locations: DataFrame, within_km: float = 5.0) -> DataFrame:
+    """Payloads that no location is near to, to be looked at and counted."""
+    return nearest_location(df, locations, within_km).filter(F.col("location").isNull()).drop("location", "distance_km")
 
 
 def newest_payload(df: DataFrame, key_cols: Sequence[str], fetched_at: str, tiebreak: Sequence[str] = ()) -> DataFrame:

@@ -34,7 +34,7 @@ def stations(spark):
 def test_expand_payload(spark, stations, rows, tmp_path):
     raw = P.read_payloads(spark, land(tmp_path / "p", payload()))
     # The service answers with its grid point, a few hundred metres off.
-    located = P.tag_location(raw, stations, digits=2)
+    located = P.tag_location(raw, stations, within_km=2.0)
     assert rows(located, "location") == [("Petaling",)]
     rain = P.expand_payload(located, "Asia/Kuala_Lumpur").filter("variable = 'rain' AND value <> 4")
     # Half-open axis: the fourth value lies beyond the end. UTC midnight is 8:00 local.
