@@ -9,14 +9,42 @@ gives every reader the very same floating-point sums.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from riverframe.session import checkpoint_dir
 
+#: Tables that this process has written, by application, oldest first.
+_written: dict[str, list[str]] = {}
+
 
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder now and return it as read from there."""
-    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Remove the tables written after the first ``since`` ones; what reads them must have run by then."""
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    gone, paths[since:] = paths[since:], []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in gone:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(gone)
+
+
+@contextmanager
+def settled(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside the block are removed at its end: put the action inside it as well."""
+    since = len(_written.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, since)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,13 +28,13 @@ def local_session(cores: int | str = 8, app: str = "riverframe", shuffle_partiti
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where none is set, a local session gets a private one; on a cluster that is an error, as
-    executors could not see a folder of the driver's machine.
+    Where none is set, a session in one process (``local`` or ``local[n]``) gets a private one; anywhere
+    else, ``local-cluster`` included, that is an error, as executors could not see a folder of the driver's machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     named = tempfile.mkdtemp(prefix="riverframe-checkpoint-")
     spark.conf.set("spark.checkpoint.dir", named)
