@@ -244,7 +244,7 @@ WITH {BOTH}
 SELECT location, date, {", ".join(f"round({z(c, 'stddev_pop')}, 6) AS {c}" for c in SCALED)} FROM days"""
 ORACLES["one_hot"] = f"""
 WITH {RAIN} SELECT location, date,
-{", ".join(f'''CAST(location = '{v}' AS INTEGER) AS "loc_{v}"''' for v in ("1-URGENT", "2-HIGH", "5-LOW"))} FROM rain"""
+{", ".join(f'''CAST(location = '{v}' AS INTEGER) AS "loc_{v}"''' for v in PRIORITIES)} FROM rain"""
 
 # -- quantiles and extremes -------------------------------------------------
 
@@ -403,10 +403,6 @@ WITH {HOURLY} SELECT * FROM hourly WHERE datetime >= TIMESTAMP '1998-01-01' AND
 ORACLES["as_of_slice"] = f"WITH {HOURLY} SELECT * FROM hourly WHERE CAST(datetime AS DATE) <= DATE '1996-06-30'"
 ORACLES["date_range"] = f"""
 WITH {READINGS} SELECT * FROM readings WHERE CAST(datetime AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-10'"""
-ORACLES["key_quality"] = """
-SELECT count(*) AS n_rows, count(*) FILTER (WHERE TRY_CAST(props AS TIMESTAMP) IS NULL) AS bad_datetime,
-       count(*) FILTER (WHERE event_type IS NULL) AS bad_location FROM events"""
-
 # -- sequences and splits ---------------------------------------------------
 
 
@@ -511,7 +507,7 @@ POINTS = "points AS (" + " UNION ALL ".join(
     FROM embeddings, range(16) AS g(i)""" for code, _, member, first, name in VARS) + ")"
 ORACLES["payload_expand"] = f"""
 WITH {POINTS} SELECT vec_id, datetime + INTERVAL 8 HOUR AS datetime, code AS variable, round(value, 6) AS value
-FROM points WHERE member = 0"""
+FROM points"""
 ORACLES["ensemble_expand"] = f"WITH {POINTS} SELECT vec_id, datetime, variable, member, round(value, 6) AS value FROM points"
 ORACLES["ensemble_wide"] = f"""
 WITH {POINTS} SELECT vec_id, datetime, round(max(value) FILTER (WHERE member = 0), 6) AS rain_member0,

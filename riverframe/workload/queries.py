@@ -14,7 +14,7 @@ from riverframe.operators.ema import emas
 from riverframe.operators.joins import (
     attach_forecast_driver, attach_target, join_with_suffix, spread_daily, union_all, with_global_stats,
 )
-from riverframe.operators.ordered import add_rows, positions
+from riverframe.operators.ordered import DAILY, add_rows, positions
 from riverframe.operators.quantiles import quantiles, quantiles_long
 from riverframe.operators.resample import mean_by, month_means, pivot_first, resample, to_long
 from riverframe.operators.settle import settle
@@ -119,13 +119,13 @@ def union_tagged(spark, sf):
 @query
 def lag_features(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(W.lags(days, KEYS, "date", "rain_sum_mm", (1, 2, 3, 7)))
+    return rounded(W.lags(days, KEYS, "date", "rain_sum_mm", (1, 2, 3, 7), chunk=DAILY))
 
 
 @query
 def rolling_min1(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(add_rows(days, KEYS, "date", {f"roll{n}": W.rolling_of("rain_sum_mm", n, "sum", 1) for n in (3, 7, 14)}))
+    return rounded(add_rows(days, KEYS, "date", {f"roll{n}": W.rolling_of("rain_sum_mm", n, "sum", 1) for n in (3, 7, 14)}, chunk=DAILY))
 
 
 @query
@@ -133,7 +133,7 @@ def rolling_strict(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
     rows = {"mean3": W.rolling_of("rain_sum_mm", 3, "mean"), "mean30": W.rolling_of("rain_sum_mm", 30, "mean"),
             "sum7": W.rolling_of("rain_sum_mm", 7, "sum")}
-    return rounded(add_rows(days, KEYS, "date", rows))
+    return rounded(add_rows(days, KEYS, "date", rows, chunk=DAILY))
 
 
 @query
@@ -145,25 +145,25 @@ def rolling_calendar(spark, sf):
 @query
 def delta(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(add_rows(days, KEYS, "date", {"change": W.delta_of("rain_sum_mm"), "change0": W.delta_of("rain_sum_mm", 0.0)}))
+    return rounded(add_rows(days, KEYS, "date", {"change": W.delta_of("rain_sum_mm"), "change0": W.delta_of("rain_sum_mm", 0.0)}, chunk=DAILY))
 
 
 @query
 def pct_change(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(W.pct_change(days, KEYS, "date", "rain_sum_mm", out="pct"))
+    return rounded(W.pct_change(days, KEYS, "date", "rain_sum_mm", out="pct", chunk=DAILY))
 
 
 @query
 def pct_change_padded(spark, sf):
     days = T.rain_and_flow(spark, sf).select("location", "date", "river_discharge_m3s")
-    return rounded(W.pct_change(days, KEYS, "date", "river_discharge_m3s", pad=True, out="pct"))
+    return rounded(W.pct_change(days, KEYS, "date", "river_discharge_m3s", pad=True, out="pct", chunk=DAILY))
 
 
 @query
 def anomaly(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(W.anomaly(days, KEYS, "date", "rain_sum_mm", 3, out="anomaly"))
+    return rounded(W.anomaly(days, KEYS, "date", "rain_sum_mm", 3, out="anomaly", chunk=DAILY))
 
 
 @query
@@ -190,13 +190,13 @@ def reading_positions(spark, sf):
 @query
 def ema_span(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(emas(days, KEYS, "date", "rain_sum_mm", {"ema3": 0.5, "ema7": 0.25}))
+    return rounded(emas(days, KEYS, "date", "rain_sum_mm", {"ema3": 0.5, "ema7": 0.25}, chunk=DAILY))
 
 
 @query
 def api_index(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(emas(days, KEYS, "date", "rain_sum_mm", {"rain_api_7d": 0.2}))
+    return rounded(emas(days, KEYS, "date", "rain_sum_mm", {"rain_api_7d": 0.2}, chunk=DAILY))
 
 
 @query
@@ -233,7 +233,7 @@ def fill_both(spark, sf):
 @query
 def fill_forward_daily(spark, sf):
     days = T.rain_and_flow(spark, sf).select("location", "date", "river_discharge_m3s")
-    return rounded(W.fill_gaps(days, KEYS, "date", ["river_discharge_m3s"], "ffill"))
+    return rounded(W.fill_gaps(days, KEYS, "date", ["river_discharge_m3s"], "ffill", chunk=DAILY))
 
 
 @query
@@ -282,7 +282,7 @@ def scaler_apply(spark, sf):
 
 @query
 def one_hot(spark, sf):
-    return scaling.one_hot(T.rain_daily(spark, sf).select("location", "date"), "location", ["1-URGENT", "2-HIGH", "5-LOW"])
+    return scaling.one_hot(T.rain_daily(spark, sf).select("location", "date"), "location")
 
 
 # -- quantiles and extremes -------------------------------------------------
@@ -510,13 +510,6 @@ def date_range(spark, sf):
     return select.between_dates(T.readings(spark, sf), "datetime", "2024-01-05", "2024-01-10")
 
 
-@query
-def key_quality(spark, sf):
-    """Rows by reason of rejection when a text column is read as the time column."""
-    raw = T.load(spark, sf, "events").select(F.col("event_type").alias("location"), F.col("props").alias("datetime"))
-    return select.rejected_rows(raw, "datetime")
-
-
 # -- sequences and splits ---------------------------------------------------
 
 
@@ -546,24 +539,24 @@ def sequence_counts(spark, sf):
 
 @query
 def split_per_key(spark, sf):
-    return S.chrono_split(_paired_days(spark, sf).select("location", "date"), KEYS, "date")
+    return S.chrono_split(_paired_days(spark, sf).select("location", "date"), KEYS, "date", chunk=DAILY)
 
 
 @query
 def split_concat(spark, sf):
     days = settle(_paired_days(spark, sf).select("location", "date"))
-    return S.chrono_split(days, KEYS, "date", mode="concat")
+    return S.chrono_split(days, KEYS, "date", mode="concat", chunk=DAILY)
 
 
 @query
 def split_three_way(spark, sf):
-    return S.chrono_split(_paired_days(spark, sf).select("location", "date"), KEYS, "date", (0.7, 0.15, 0.15))
+    return S.chrono_split(_paired_days(spark, sf).select("location", "date"), KEYS, "date", (0.7, 0.15, 0.15), chunk=DAILY)
 
 
 @query
 def split_ceil_test(spark, sf):
     days = settle(_paired_days(spark, sf).select("location", "date"))
-    return S.chrono_split(days, KEYS, "date", rounding="ceil_test", mode="concat")
+    return S.chrono_split(days, KEYS, "date", rounding="ceil_test", mode="concat", chunk=DAILY)
 
 
 @query
@@ -605,8 +598,8 @@ def classification_report(spark, sf):
 def _naive_models(spark, sf):
     """Two naive forecasts of the discharge: yesterday, and the mean of the last three days before."""
     c = "river_discharge_m3s"
-    days = add_rows(T.flow_daily(spark, sf), KEYS, "date", {"yesterday": W.lag_of(c, 1), "mean3": W.rolling_of(c, 3, "mean")})
-    return add_rows(days, KEYS, "date", {"last_mean3": W.lag_of("mean3", 1)})
+    days = add_rows(T.flow_daily(spark, sf), KEYS, "date", {"yesterday": W.lag_of(c, 1), "mean3": W.rolling_of(c, 3, "mean")}, chunk=DAILY)
+    return add_rows(days, KEYS, "date", {"last_mean3": W.lag_of("mean3", 1)}, chunk=DAILY)
 
 
 NAIVE = {"Yesterday": "yesterday", "Mean of three": "last_mean3"}
@@ -633,8 +626,7 @@ def json_props(spark, sf):
 
 @query
 def payload_expand(spark, sf):
-    return rounded(P.expand_payload(T.payloads(spark, sf).withColumn("vars", F.filter("vars", lambda v: v["member"] == 0)),
-                                    "Asia/Kuala_Lumpur", ["vec_id"]))
+    return rounded(P.expand_payload(T.payloads(spark, sf), "Asia/Kuala_Lumpur", ["vec_id"]))
 
 
 @query
@@ -837,8 +829,8 @@ def _tree_rows(spark, sf):
     from riverframe.operators import models as M
 
     days = S.label_quantile(settle(_paired_days(spark, sf)), "river_discharge_m3s", 0.8)
-    cut = S.sequences(days, KEYS, "date", ["rain_sum_mm", "river_discharge_m3s"], 7, "label")
-    split = S.chrono_split(cut, KEYS, "date")
+    cut = S.sequences(days, KEYS, "date", ["rain_sum_mm", "river_discharge_m3s"], 7, "label", chunk=DAILY)
+    split = S.chrono_split(cut, KEYS, "date", chunk=DAILY)
     rows = S.with_vector(S.flatten_sequences(split)).select("location", "date", "label", "split", "features")
     train = M.with_class_weights(rows.filter(F.col("split") == "train"))
     return train, rows.filter(F.col("split") == "test")
@@ -865,18 +857,20 @@ def forest_scores(spark, sf):
     from riverframe.operators import models as M
 
     train, test = _tree_rows(spark, sf)
-    return _tree_scores(M.fit_forest(train, depth=5, trees=20), test, 0.4)
+    return _tree_scores(M.fit_forest(train), test, 0.4)
+
+
+TREE_GRID = [{"maxDepth": d, "minInstancesPerNode": m} for d in (2, 3, 5, 8, 10) for m in (1, 10)]
 
 
 @query
 def tuned_tree(spark, sf):
-    """F1 on the newer part of each key for several tree depths, fitted on the older part."""
+    """F1 on the newer part of each key for ten parameter sets, fitted on the older part."""
     from pyspark.ml.classification import DecisionTreeClassifier
 
     from riverframe.operators import models as M
 
     train, test = _tree_rows(spark, sf)
     rows = train.unionByName(test.withColumn("weight", F.lit(1.0)))
-    _, table = M.tune(rows, DecisionTreeClassifier(weightCol="weight", seed=42), [{"maxDepth": d} for d in (2, 5)])
-    cells = ", ".join(f"({t['maxDepth']}, {t['f1']!r}D)" for t in table)
-    return spark.sql(f"SELECT * FROM VALUES {cells} AS t(max_depth, f1)")
+    _, table = M.tune(rows, DecisionTreeClassifier(weightCol="weight", seed=42), TREE_GRID)
+    return spark.createDataFrame([(t["maxDepth"], t["minInstancesPerNode"], t["f1"]) for t in table], "max_depth int, min_rows int, f1 double")
