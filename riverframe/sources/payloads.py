@@ -98,9 +98,10 @@ def nearest_location(df: DataFrame, locations: DataFrame, within_km: float = 5.0
     """
     size = within_km / KM_PER_DEGREE
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    # How many degrees the reach is from west to east, at the end of the surroundings nearer to a pole.
-    widest = F.cos(F.radians(F.least(F.abs(lat) + size, F.lit(89.9))))
-    east = F.least(F.lit(size) / widest, F.lit(180.0))
+    # How many degrees the reach is to the east and to the west, at its widest.
+    # Surroundings that hold a pole reach all the way round.
+    narrow = F.least(F.lit(math.sin(math.radians(size))) / F.cos(F.radians(lat)), F.lit(1.0))
+    east = F.when(F.abs(lat) + size < 90, F.degrees(F.asin(narrow))).otherwise(F.lit(180.0))
     cell = lambda c: F.floor(c / size)
     around = locations.select("location", lat.alias("__lat"), lon.alias("__lon"), east.alias("__east"), F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0))).alias("__turn"))
     around = around.filter(F.col("__lat").isNotNull() & F.col("__lon").isNotNull())

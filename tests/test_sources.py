@@ -117,3 +117,46 @@ def test_artifacts(spark, rows, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "m")).columns[-1] == "F1-Score"
     with pytest.raises(ValueError):
         tables.write_metrics(scores.drop("Recall"), str(tmp_path / "n"))
+
+
+def test_locations_by_distance(spark):
+    """Two stations in one former cell: the nearer one wins, a payload just across an edge is found, none is lost."""
+    stations = spark.createDataFrame([("a", 3.1052, 101.60), ("b", 3.1098, 101.60), ("pole", 89.999, 10.0), ("date line", 0.0, 179.999)], "location string, latitude double, longitude double")
+    calls = [(1, 3.1051, 101.60), (2, 3.1049, 101.60), (3, 3.1099, 101.6001), (4, 3.2, 101.6), (5, None, 1.0), (6, 89.9995, -170.0), (7, 0.001, -179.9995)]
+    df = spark.createDataFrame(calls, "id int, latitude double, longitude double")
+    found = {r["id"]: r["location"] for r in P.nearest_location(df, stations, 1.0).collect()}
+    assert found == {1: "a", 2: "a", 3: "b", 4: None, 5: None, 6: "pole", 7: "date line"}
+    assert {r["id"] for r in P.untagged(df, stations, 1.0).collect()} == {4, 5}
+    assert P.tag_location(df, stations, 1.0).columns == ["id", "latitude", "longitude", "location"]
+
+
+def test_settled_tables_go(spark):
+    import os
+
+    from riverframe.operators import settle as settle_module
+    from riverframe.session import checkpoint_dir
+
+    with settle_module.settled(spark):
+        df = settle_module.settle(spark.range(5), "gone-after")
+        assert df.count() == 5
+    assert not [n for n in os.listdir(checkpoint_dir(spark).removeprefix("file://")) if n.startswith("gone-after")]
+
+
+def test_forecast_files_of_three_forms(spark, rows, tmp_path):
+    from riverframe.plans.run import RunConfig, found_locations, load_inputs
+
+    def land_csv(name, header, lines):
+        (tmp_path / name).write_text("\n".join([header, *lines]) + "\n")
+        return str(tmp_path / name)
+
+    weather = land_csv("w.csv", "datetime,rain,location", ["2024-01-01 00:00:00,1.0,Klang", "2024-01-01 06:00:00,2.0, Petaling "])
+    flood = land_csv("f.csv", "date,river_discharge_m3s,location", ["2024-01-01,5.0,Klang"])
+    wide = land_csv("m.csv", "datetime,location,rain_member0,rain_member1", ["2024-01-02 00:00:00,Klang,1.0,3.0", "2024-01-02 06:00:00,Klang,,5.0"])
+    days = land_csv("d.csv", "date,rain,location", ["2024-01-02,4.0,Kajang"])
+    read = lambda **how: load_inputs(spark, RunConfig(weather, flood, "out", **how))
+    hourly, forecast, _ = read(weather_forecast=wide, member=1)
+    assert rows(forecast, "location", "rain") == [("Klang", 3.0), ("Klang", 5.0)]
+    assert rows(read(weather_forecast=wide, member="mean")[1], "rain") == [(2.0,), (5.0,)]
+    daily = read(weather_forecast=days)[1]
+    assert rows(daily, "location", "rain", "datetime") == [("Kajang", 4.0, dt.datetime(2024, 1, 2))]
+    assert found_locations(hourly, daily) == ["Kajang", "Klang", "Petaling"]

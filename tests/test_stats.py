@@ -190,3 +190,18 @@ def test_cleaning_and_date_filters(spark, rows):
     assert rows(select.last_period(days, "date", 1), "rain") == [(1.0,), (None,)]
     assert rows(select.last_period(days, "date", 24, floor="2024-02-01"), "rain") == [(None,)]
     assert rows(select.fill_null(days, {"rain": 0.0}), "rain") == [(0.0,), (1.0,), (5.0,)]
+
+
+def test_an_outlier_does_not_widen_the_brackets(spark):
+    """Whatever the values are, few different ones are left for the reducer that interpolates."""
+    from riverframe.operators import quantiles as Qn
+
+    group = F.struct(F.lit("x").alias("metric")).alias(Qn.GROUP)
+    value = F.when(F.col("id") == 7, F.lit(9.96e36)).when(F.col("id") % 1000 == 1, -F.col("id").cast("double")).otherwise(F.col("id") * 1e-3)
+    long = spark.range(300_000).select(group, value.alias("value"))
+    big = spark.range(1).select(group, F.lit(300_000).cast("bigint").alias("n"))
+    found = Qn.brackets(long, big, [0.0, 0.5, 0.95, 1.0]).collect()
+    assert len(found) == 4 and all(r["inside"] <= Qn.SMALL_GROUP and r["lo"] <= r["hi"] for r in found)
+    q = Qn.quantiles_long(long.select("value"), ["value"], [0.0, 0.5, 0.95, 1.0]).first()["q"]
+    plain = long.agg(F.percentile("value", F.array(*[F.lit(p) for p in (0.0, 0.5, 0.95, 1.0)]))).first()[0]
+    assert q == plain
