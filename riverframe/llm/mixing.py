@@ -8,8 +8,8 @@ Weights are whole numbers that sum to ``H``, hence the schedule repeats every ``
 computed once, by a fold over its slots in a single row of the size of the number of sources, and a block's slot
 follows from its number by arithmetic. Nothing is scheduled block by block.
 
-Positions inside a source come from counts of (source, hash range) and numbers inside a range; ranges are as
-many as the documents need, so that no source, however large, is ordered in one task.
+Positions inside a source come from counts of (source, hash range) and numbers inside a range; there are
+65 536 ranges of the id's hash, so that no source, however large, is ordered in one task.
 
 Weights: given as a map, or proportional to ``size ** ALPHA`` over the sources present; they are rounded to ``H``
 slots by largest remainder, every source with documents and a positive weight getting one at least.
@@ -33,9 +33,10 @@ from riverframe.operators.settle import settle
 BLOCK_DOCS = 16
 SLOTS = 1000
 ALPHA = 0.5
-RANGE_DOCS = 20_000
 
-_SOURCE = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
+def _source_key() -> Column:
+    """A text per source that is never null: a null source is one of its own."""
+    return F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
 
 
 def whole_weights(sizes: DataFrame, targets: dict | None = None, slots: int = SLOTS) -> DataFrame:
@@ -76,8 +77,10 @@ def one_period(weights: DataFrame) -> DataFrame:
         heads = F.zip_with(state["done"], F.col("w"), lambda j, w: F.struct(F.when(F.floor(j * F.col("h") / w) <= t, _ceil_div((j + 1) * F.col("h"), w)).alias("d"), w.alias("w")))
         order = F.transform(heads, lambda x, i: F.when((x["w"] > 0) & x["d"].isNotNull(), F.struct(x["d"].cast("long").alias("d"), i.alias("i"))))
         best = F.array_min(F.filter(order, lambda x: x.isNotNull()))["i"]
-        done = F.transform(state["done"], lambda j, i: j + (i == best).cast("int"))
-        return F.struct(done.alias("done"), F.concat(state["picked"], F.array(best)).alias("picked"))
+        # A lambda over one element, so that the choice is made once and not for every source.
+        return F.transform(F.array(best), lambda b: F.struct(
+            F.transform(state["done"], lambda j, i: F.when(i == b, j + 1).otherwise(j)).alias("done"), F.concat(state["picked"], F.array(b)).alias("picked")
+        ))[0]
 
     run = F.aggregate(F.sequence(F.lit(0), F.col("h") - 1), zero, step)
     slots = weights.select("keys", "w", "h", run["picked"].alias("picked")).select("keys", "w", "h", F.posexplode("picked").alias("slot", "i"))
@@ -87,10 +90,9 @@ def one_period(weights: DataFrame) -> DataFrame:
 
 def plan(docs: DataFrame, targets: dict | None = None, slots: int = SLOTS, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """doc_id, source, position, block, slot, release, deadline, weight, on_target of every document."""
-    rows = docs.select("doc_id", "source", _SOURCE.alias("key"), F.xxhash64("doc_id").alias("hash"))
+    rows = docs.select("doc_id", "source", _source_key().alias("key"), F.xxhash64("doc_id").alias("hash"))
     fine = F.shiftrightunsigned("hash", 48).cast("int")  # 65 536 ranges of the hash
     counts = settle(rows.groupBy("key", fine.alias("fine")).agg(F.count("*").alias("n")), "mixing-counts")
-    # Ranges of a source are runs of fine ranges that begin with every RANGE_DOCS documents.
     before = F.sum("n").over(Window.partitionBy("key").orderBy("fine").rowsBetween(Window.unboundedPreceding, -1))
     begins = counts.select("key", "fine", F.coalesce(before, F.lit(0)).alias("begin"))
     numbered = rows.withColumn("fine", fine).withColumn("inside", F.row_number().over(Window.partitionBy("key", "fine").orderBy("hash", "doc_id")) - 1)
