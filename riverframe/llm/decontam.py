@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverframe.llm.tables import pick_text
-from riverframe.llm.textbuf import column_bytes, row_slices, shingles, split_words
+from riverframe.llm.textbuf import column_bytes, row_slices, shingles, split_words, without
 
 N = 5
 THRESHOLD = 0.75
@@ -43,7 +43,7 @@ RADIUS = 15
 BLOCK = 1000
 STEPS = 8
 SPREAD = 12
-CHUNK = 1 << 15
+CHUNK = 1 << 17
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -52,8 +52,8 @@ _FLIPS = np.array([sum(1 << b for b in c) for n in range(RADIUS // 4 + 1) for c
 
 def word_shingles(column: pa.Array, n: int = N) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all rows, and where each row's begin."""
-    raw, offsets = column_bytes(pc.utf8_lower(column.fill_null("")))
-    code, _, first = shingles(split_words(raw, offsets, skip=_PUNCTUATION), n)
+    raw, offsets = without(*column_bytes(pc.utf8_lower(column.fill_null(""))), _PUNCTUATION)
+    code, _, first = shingles(split_words(raw, offsets), n)
     return code, first
 
 

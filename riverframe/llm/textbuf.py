@@ -109,14 +109,14 @@ def _pieces(space: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]
         lo = hi
 
 
-def split_words(
-    raw: np.ndarray, offsets: np.ndarray, fold: np.ndarray = LOWER, space: np.ndarray = SPACE, skip: np.ndarray | None = None
-) -> Words:
-    """Words of every row: maximal runs of bytes that are not ``space``.
+def without(raw: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes and offsets without the bytes that ``marks`` marks."""
+    keep = ~marks[raw]
+    return raw[keep], np.concatenate([[0], np.cumsum(keep)])[offsets]
 
-    ``fold`` maps bytes before hashing. Bytes marked in ``skip`` do not enter the hash; words
-    made of them alone are left out.
-    """
+
+def split_words(raw: np.ndarray, offsets: np.ndarray, fold: np.ndarray = LOWER, space: np.ndarray = SPACE) -> Words:
+    """Words of every row: maximal runs of bytes that are not ``space``. ``fold`` maps bytes before hashing."""
     is_space = space[raw]
     cuts = np.zeros(len(raw) + 1, bool)
     cuts[offsets] = True
@@ -134,21 +134,10 @@ def split_words(
         end = np.flatnonzero(~gap & after) + 1
         value = fold[raw[lo:hi]].astype(np.uint64) + np.uint64(1)
         up, down = _powers.get(hi - lo)
-        if skip is None:
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(value * up[: hi - lo], out=sums[1:])
-            code = (sums[end] - sums[start]) * down[start]
-            size = (end - start).astype(np.uint64)
-        else:
-            keep = ~skip[raw[lo:hi]]
-            at = np.zeros(hi - lo + 1, np.int64)
-            np.cumsum(keep, out=at[1:])
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(np.where(keep, value * up[at[:-1]], np.uint64(0)), out=sums[1:])
-            code = (sums[end] - sums[start]) * down[at[start]]
-            size = (at[end] - at[start]).astype(np.uint64)
-            full = size > 0
-            start, end, code, size = start[full], end[full], code[full], size[full]
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(value * up[: hi - lo], out=sums[1:])
+        code = (sums[end] - sums[start]) * down[start]
+        size = (end - start).astype(np.uint64)
         parts.append((start + lo, end + lo, mix(code + size * _MIX2)))
     if parts:
         start, end, code = (np.concatenate(x) for x in zip(*parts, strict=True))
