@@ -44,6 +44,7 @@ MAX_LISTS = 4096
 SUBSPACES = 8
 CODES = 256
 BLOCK = 2048
+FEW_LISTS = 50_000
 _SLACK = 1e-6
 
 
@@ -88,8 +89,8 @@ def fit(x: np.ndarray, lists: int) -> Quantiser:
     return Quantiser(c, [_kmeans(rest[:, a:b], CODES) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], cuts)
 
 
-def _unit(column: pa.Array, dim: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
+def _unit(column: pa.Array, dim: int, kind: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.float64).reshape(-1, dim)
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
@@ -97,7 +98,7 @@ def _radius(threshold: float) -> float:
     return float(np.sqrt(max(0.0, 2 - 2 * threshold)))
 
 
-def _entries(batches, models: dict[int, Quantiser], threshold: float, margin: float):
+def _entries(batches, models: dict[int, Quantiser], threshold: float, margin: float, kind: str):
     """For every vector its own list with codes (kind 0), and the lists it probes (kind 1)."""
     r = _radius(threshold) * margin
     for batch in batches:
@@ -114,7 +115,7 @@ def _entries(batches, models: dict[int, Quantiser], threshold: float, margin: fl
                 d = _distances(part, model.centroids)
                 own = d.argmin(1)
                 codes, error = model.residual_codes(part, own)
-                vector = [v.tobytes() for v in x[a : a + 4096]]
+                vector = [v.tobytes() for v in x[a : a + 4096].astype(kind)]
                 q, probe = np.nonzero(d - d[np.arange(len(d)), own][:, None] <= 2 * r * apart[own] + _SLACK)
                 at = np.concatenate([np.arange(len(mine)), q])
                 index = np.arange(len(at)) < len(mine)
@@ -126,7 +127,7 @@ def _entries(batches, models: dict[int, Quantiser], threshold: float, margin: fl
                 })
 
 
-def _search(key, index: pa.Table, query: pa.Table, models: dict[int, Quantiser], threshold: float) -> pa.Table:
+def _search(key, index: pa.Table, query: pa.Table, models: dict[int, Quantiser], threshold: float, kind: str) -> pa.Table:
     """Links between the queries and the index rows of one block of a list."""
     schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
     if not index.num_rows or not query.num_rows:
@@ -135,8 +136,8 @@ def _search(key, index: pa.Table, query: pa.Table, models: dict[int, Quantiser],
     model, r = models[dim], _radius(threshold)
     own, times, error = (index.column(c).to_numpy() for c in ("node", "n", "error"))
     codes = np.frombuffer(b"".join(index.column("codes").to_pylist()), np.uint8).reshape(len(own), -1)
-    target = _unit(index.column("vector"), dim)
-    asks, nodes, links, left, right = _unit(query.column("vector"), dim), query.column("node").to_numpy(), [], [], []
+    target = _unit(index.column("vector"), dim, kind)
+    asks, nodes, links, left, right = _unit(query.column("vector"), dim, kind), query.column("node").to_numpy(), [], [], []
     for a in range(0, len(nodes), 256):
         part = asks[a : a + 256]
         rest = part - model.centroids[lst]
@@ -168,6 +169,8 @@ def _search(key, index: pa.Table, query: pa.Table, models: dict[int, Quantiser],
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
     spark = vectors.sparkSession
+    element = vectors.schema["embedding"].dataType.elementType.simpleString()
+    kind = "<f4" if element == "float" else "<f8"  # what a component travels as; the arithmetic is double
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
     finite = "vec_id is not null and label is not null and embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < 1e150) and exists(embedding, x -> abs(x) > 1e-150)"
     digest = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(7), "embedding").alias("h2"), F.size("embedding").alias("dim")]
@@ -182,14 +185,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
         models[dim] = fit(x / np.linalg.norm(x, axis=1)[:, None], int(min(MAX_LISTS, max(1, n // PER_LIST))))
     shared = spark.sparkContext.broadcast(models)
     entries = classes.select("label", "dim", "node", "n", "embedding").mapInArrow(
-        lambda b: _entries(b, shared.value, threshold, margin), "kind int, label string, dim int, list int, node long, n long, vector binary, codes binary, error double"
+        lambda b: _entries(b, shared.value, threshold, margin, kind), "kind int, label string, dim int, list int, node long, n long, vector binary, codes binary, error double"
     )
     entries = settle(entries, "vector-entries")
     place = ["label", "dim", "list"]
     cuts = entries.groupBy(*place).agg(
         F.greatest(F.lit(1), F.ceil(F.sum(1 - F.col("kind")) / F.lit(BLOCK)).cast("int")).alias("index_blocks"), F.greatest(F.lit(1), F.ceil(F.sum("kind") / F.lit(BLOCK)).cast("int")).alias("query_blocks")
     )
-    spread = entries.join(cuts, place)
+    cuts = settle(cuts, "vector-cuts")
+    # One small row per list: sent to the tasks where they are few, joined otherwise.
+    spread = entries.join(F.broadcast(cuts) if cuts.count() <= FEW_LISTS else cuts, place)
     own = lambda n: F.pmod(F.xxhash64("node"), F.col(n).cast("long")).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     index = spread.where("kind = 0").select(*place, own("index_blocks").alias("i"), all_of("query_blocks").alias("q"), "node", "n", "vector", "codes", "error")
@@ -197,7 +202,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
     query = spread.where("kind = 1").select(*(F.col(c).alias(c) for c in (*place, "node", "vector")), all_of("index_blocks").alias("i"), own("query_blocks").alias("q"))
     cell = [*place, "i", "q"]
     found = settle(
-        index.groupBy(*cell).cogroup(query.groupBy(*cell)).applyInArrow(lambda k, a, b: _search(k, a, b, shared.value, threshold), "node long, links long, root long"), "vector-links"
+        index.groupBy(*cell).cogroup(query.groupBy(*cell)).applyInArrow(lambda k, a, b: _search(k, a, b, shared.value, threshold, kind), "node long, links long, root long"), "vector-links"
     )
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     part = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
