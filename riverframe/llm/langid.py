@@ -164,15 +164,24 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> LanguageModel:
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_lang / n))).otherwise(share)
     picked = known.withColumn("share", hash_share("doc_id")).where(F.col("share") < share)
     rows = picked.mapInArrow(_counts, "lang string, whole boolean, ids array<int>, counts array<int>").limit(3 * per_lang * len(sizes)).toArrow()
-    return fit(rows.column("lang").to_pylist(), rows.column("whole").to_pylist(), rows.column("ids").to_pylist(), rows.column("counts").to_pylist())
+    return fit(rows.column("lang").to_pylist(), rows.column("whole").to_pylist(), _arrays(rows.column("ids")), _arrays(rows.column("counts")))
 
 
-def fit(lang: list[str], whole: list[bool], ids: list, counts: list) -> LanguageModel:
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as views of its numbers, without an object for every number."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        values, ends = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        out += [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return out
+
+
+def fit(lang: list[str], whole: list[bool], ids: list[np.ndarray], counts: list[np.ndarray]) -> LanguageModel:
     """Gradient descent over sparse samples, then temperature and rejection level."""
     langs = sorted(set(lang))
     label = {x: i for i, x in enumerate(langs)}
-    order = sorted(range(len(lang)), key=lambda i: (lang[i], whole[i], len(ids[i]), ids[i][:8]))
-    samples = [(label[lang[i]], whole[i], np.asarray(ids[i], np.int64), np.asarray(counts[i], np.float64)) for i in order if len(ids[i])]
+    order = sorted(range(len(lang)), key=lambda i: (lang[i], whole[i], len(ids[i]), ids[i][:8].tolist()))
+    samples = [(label[lang[i]], whole[i], ids[i], counts[i]) for i in order if len(ids[i])]
     rng = np.random.default_rng(7)
     held = rng.random(len(samples)) < 0.2
     learn = [s for s, h in zip(samples, held, strict=True) if not h] or samples

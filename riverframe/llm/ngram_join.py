@@ -453,7 +453,8 @@ def keep_first(docs: DataFrame, n: int = N) -> DataFrame:
     key = F.col("doc_id").cast("long")
     stays = label.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
     stays = settle(stays, "shingle-kept")
-    kept = docs.join(stays.where("__n = 1"), key == F.col("__id"), "left_semi").unionAll(docs.where(key.isNull()))
+    # Both sides grow with the corpus: joined by sorting at every size.
+    kept = docs.join(stays.where("__n = 1").hint("merge"), key == F.col("__id"), "left_semi").unionAll(docs.where(key.isNull()))
     repeated = stays.where("__n > 1")
     if repeated.isEmpty():
         return kept
