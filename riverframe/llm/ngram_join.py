@@ -56,6 +56,8 @@ PER_HUB = 500  # verifications of one class in one task
 EXTRA = 5  # signatures beyond the first that linked sets must share
 SMALL = 16  # groups up to this size are verified pair by pair, larger ones in blocks
 ASKED, HELD = 256, 1024  # rows of a block
+PACKED = 8 << 20  # bytes of text whose signatures are packed together
+COMPARED = 1000  # texts unpacked at a time
 
 _SEED = np.uint64(0xD6E8FEB86659FD93)
 _PART, _WEAK = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xC13FA9A902A6328F)
@@ -197,25 +199,29 @@ def _by_parts(sets: Sets, frequent: Frequent, limit: int = 400_000) -> tuple[np.
 def _survey(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """A row per document (kind 0: id, size, digests) and per shingle frequent in a batch (kind 1)."""
     for batch in batches:
-        sets = shingle_sets(batch.column("text"), n)
-        one, two = digests(sets)
-        rows = len(sets.size)
-        yield pa.record_batch({"kind": pa.array(np.zeros(rows, np.int8)), "id": batch.column("doc_id"), "size": pa.array(sets.size), "one": pa.array(one), "two": pa.array(two)})
-        code = sets.pick(np.unique(one, return_index=True)[1]).code
+        seen, codes, at = set(), [np.zeros(0, np.uint64)], 0
+        for part in row_slices(batch.column("text")):
+            sets = _shingle_sets(part, n)
+            one, two = digests(sets)
+            rows = len(one)
+            yield pa.record_batch({"kind": pa.array(np.zeros(rows, np.int8)), "id": batch.column("doc_id").slice(at, rows), "size": pa.array(sets.size), "one": pa.array(one), "two": pa.array(two)})
+            at += rows
+            fresh = [i for i in np.unique(one, return_index=True)[1].tolist() if int(one[i]) not in seen]
+            seen.update(one[fresh].tolist())
+            codes.append(sets.pick(np.array(fresh, np.int64)).code)
+        code = np.concatenate(codes)
         code.sort()
-        edge = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1], [True]])) if len(code) else np.zeros(1, np.int64)
-        count = np.diff(edge)
-        often = count >= FREQUENT
-        code, count = code[edge[:-1][often]].view(np.int64), count[often]
-        zero = pa.array(np.zeros(len(code), np.int64))
-        yield pa.record_batch({"kind": pa.array(np.ones(len(code), np.int8)), "id": pa.array(code), "size": pa.array(count), "one": zero, "two": zero})
+        often = np.unique(code[FREQUENT - 1 :][code[FREQUENT - 1 :] == code[: len(code) - FREQUENT + 1]]) if len(code) >= FREQUENT else code[:0]
+        count = np.searchsorted(code, often, side="right") - np.searchsorted(code, often)
+        zero = pa.array(np.zeros(len(often), np.int64))
+        yield pa.record_batch({"kind": pa.array(np.ones(len(often), np.int8)), "id": pa.array(often.view(np.int64)), "size": pa.array(count.astype(np.int64)), "one": zero, "two": zero})
 
 
 def _packed(batches: Iterator[pa.RecordBatch], n: int, frequent: Frequent, buckets: int) -> Iterator[pa.RecordBatch]:
     """One row per bucket and batch: distinct sets' digests, and 32-bit signatures with their set's place."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1 << 15):
-            sets = shingle_sets(batch.column("text").slice(lo, 1 << 15), n)
+        for part in (p.slice(lo, 1 << 15) for p in row_slices(batch.column("text"), PACKED) for lo in range(0, len(p), 1 << 15)):
+            sets = shingle_sets(part, n)
             one, _ = digests(sets)
             rows = np.unique(one, return_index=True)[1]
             rows = rows[sets.size[rows] > 0]
@@ -287,24 +293,25 @@ def _text_sets(column: pa.Array, n: int) -> Sets:
 
 def _compare(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by hub, salt and lead (hub first): the pairs that link."""
-    hub, salt, known = None, None, np.zeros(0, np.uint64)
-    for batch in batches:
-        sets = _text_sets(batch.column("text"), n)
-        hubs, salts, leads, nodes = (batch.column(c).to_pylist() for c in ("hub", "salt", "lead", "node"))
-        a, b = [], []
-        for i, (h, s, lead, node) in enumerate(zip(hubs, salts, leads, nodes, strict=True)):
-            own = sets.code[sets.first[i] : sets.first[i + 1]]
-            if lead == 0:
-                if (h, s) != (hub, salt):
-                    hub, salt, known = h, s, []
-                known.append(own)
-            elif (h, s) == (hub, salt):
-                for other in known:
-                    both = len(np.intersect1d(own, other, assume_unique=True))
-                    if both and 100 * both >= PERCENT * (len(own) + len(other) - both):
-                        a.append(node), b.append(h)
-                        break
-        yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    hub, salt, known = None, None, []
+    for whole in batches:
+        for lo in range(0, whole.num_rows, COMPARED):
+            batch = whole.slice(lo, COMPARED)
+            sets = _text_sets(batch.column("text"), n)
+            a, b = [], []
+            for i, (h, s, lead, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hub", "salt", "lead", "node")), strict=True)):
+                own = sets.code[sets.first[i] : sets.first[i + 1]]
+                if lead == 0:
+                    if (h, s) != (hub, salt):
+                        hub, salt, known = h, s, []
+                    known.append(own.copy())
+                elif (h, s) == (hub, salt):
+                    for other in known:
+                        both = len(np.intersect1d(own, other, assume_unique=True))
+                        if both and 100 * both >= PERCENT * (len(own) + len(other) - both):
+                            a.append(node), b.append(h)
+                            break
+            yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def verify(pairs: DataFrame, texts: DataFrame, n: int = N) -> DataFrame:
