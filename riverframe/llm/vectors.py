@@ -7,9 +7,8 @@ the length of what they leave out.
 
 Every vector is also a query. A vector within distance r of it (r belongs to the threshold) that lies nearer to
 centroid c than to the query's own centroid o obeys ``|q-c|^2 - |q-o|^2 <= 2 r |c-o|``; the lists probed are those
-that pass with ``MARGIN * r``. With MARGIN 1 no list can be missed; 0.5 means that a neighbour is missed only
-if more than half of its offset points along one given direction, which isotropic differences in dozens of dimensions
-do not do (the tests measure recall against brute force). In a list, table look-ups give the asymmetric distance to every
+that pass with ``MARGIN * r``. With MARGIN 1 no list can be missed, whatever directions the vectors vary in; a smaller
+one loses links where they vary in few. In a list, table look-ups give the asymmetric distance to every
 code; a vector stays while that distance is at most r plus its own code error, which loses none. The
 rest is ranked by exact cosine in double precision.
 
@@ -38,7 +37,7 @@ from riverframe.operators.settle import settle
 
 THRESHOLD = 0.98
 SAMPLE = 20_000
-MARGIN = 0.5
+MARGIN = 1.0
 PER_LIST = 500
 MAX_LISTS = 4096
 SUBSPACES = 8

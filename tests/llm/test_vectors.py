@@ -46,6 +46,15 @@ def test_recall_of_the_production_probes(spark):
     assert total > 100 and sum(found.values()) == total
 
 
+def test_no_link_is_lost_among_vectors_that_vary_in_few_directions(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "PER_LIST", 100)
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(2000, 4)) @ rng.normal(size=(4, 64)) + rng.normal(size=(2000, 64)) * 0.02).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    found = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found} == brute(rows)
+
+
 def test_edge_cases(spark):
     a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
     nan = float("nan")
