@@ -3,15 +3,17 @@
 Words are lower-cased runs between white space without their ASCII punctuation. A window has as many
 word shingles as the item it is held against, to within one in ``SPREAD`` (items of nearly one size share the windows
 of the smallest); a row with fewer (three quarters at least) is one window.
-Every window gets a 64-bit SimHash of its shingles: sums of 64 bit planes are differences of running
-sums, so that a window costs the same at every size. Windows start every eighth of the item's length,
-and at the end of the row.
-
-Items are entered in four tables by 16-bit block of their fingerprint, under every value within
-``RADIUS // 4`` flips; a window that differs from an item in at most ``RADIUS`` bits agrees with it in
-one block to within that many flips, so the tables miss none. The full Hamming distance is tested next, and then the
-similarity is computed exactly with windows of the item's own size, at all offsets that the step leaves open: sum of minima by sum of
-maxima of the shingle counts, ``THRESHOLD`` or more.
+Windows start every eighth of the item's length, and at the end of the row. Only a window that, with all that the step
+leaves open around it, has ``THRESHOLD`` of the smallest item's shingles among those of the benchmark can hold a match;
+the others end here.
+
+A window that is left gets a 64-bit SimHash of its shingles: sums of 64 bit planes are differences of running
+sums, so that a window costs the same at every size. Items are entered in four tables by 16-bit block of their
+fingerprint, under every value within ``RADIUS // 4`` flips, so that a window within ``RADIUS`` bits of an item always meets it
+in one of them. A fingerprint is no proof that a window differs, so the radius rejects nothing: an item that it leaves
+out is dropped only if the window and its surroundings hold fewer than ``THRESHOLD`` of the item's own shingles. What
+remains is compared exactly with windows of the item's own size, at all offsets that the step leaves open: sum of minima by sum of
+maxima of the shingle counts, ``THRESHOLD`` or more. Nothing at or above the threshold is lost.
 
 Items are given to the tasks in blocks of ``BLOCK`` items, one pass over the documents for each, so that nothing
 broadcast grows with the benchmark. Documents are only mapped, never shuffled.
@@ -103,6 +105,14 @@ class Searcher:
     counts: list[tuple[np.ndarray, np.ndarray]]  # sorted shingles and how often, per item
     sizes: list[Size]
     known: np.ndarray  # all shingles of all items, sorted
+    holds: np.ndarray  # which items hold a known shingle, from place to place
+    place: np.ndarray
+
+    def shared(self, which: np.ndarray) -> np.ndarray:
+        """For every item how many of these known shingles are its own."""
+        n = self.place[which + 1] - self.place[which]
+        at = np.repeat(self.place[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return np.bincount(self.holds[at], minlength=len(self.counts))
 
 
 def searchers(ids: list, texts: list[str], n: int = N) -> list[Searcher]:
@@ -126,7 +136,10 @@ def searchers(ids: list, texts: list[str], n: int = N) -> list[Searcher]:
             many = min(64, int(np.searchsorted(length[order], n_least + n_least // SPREAD, side="right")))
             at, order = order[:many], order[many:]
             sizes.append(Size(n_least, at, length[at], prints[at]))
-        out.append(Searcher(width, [ids[i] for i in mine], counts, sizes, np.unique(code)))
+        known = np.unique(code)
+        at, item = np.searchsorted(known, np.concatenate([c for c, _ in counts])), np.repeat(np.arange(len(counts)), [len(c) for c, _ in counts])
+        place = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(known)))])
+        out.append(Searcher(width, [ids[i] for i in mine], counts, sizes, known, item[np.argsort(at, kind="stable")], place))
     return out
 
 
@@ -148,39 +161,45 @@ def similarity(window: np.ndarray, codes: np.ndarray, often: np.ndarray) -> floa
     return both / (len(window) + int(often.sum()) - both)
 
 
+def _clusters(start: np.ndarray, end: np.ndarray) -> Iterator[slice]:
+    """Runs of windows that overlap, of at most about CHUNK shingles."""
+    a = 0
+    for k in range(1, len(start) + 1):
+        if k == len(start) or start[k] >= end[k - 1] or end[k] - start[a] > CHUNK:
+            yield slice(a, k)
+            a = k
+
+
 def search(searcher: Searcher, tables: list[np.ndarray], code: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
     """(row, item, similarity, first word, words) of every row and item that match."""
     if not len(code):
         return
     at = np.minimum(np.searchsorted(searcher.known, code), len(searcher.known) - 1)
-    known = np.concatenate([[0], np.cumsum(searcher.known[at] == code)])
-    widest = max(s.n for s in searcher.sizes)
-    kind = np.uint8 if widest < 256 else np.uint32
+    is_known = searcher.known[at] == code
+    known = np.concatenate([[0], np.cumsum(is_known)])
+    which = at[is_known]  # known[p] of these lie before place p
     regions: dict[tuple[int, int], set[int]] = {}
-    plans = [(s, t, max(1, s.n // STEPS), *_windows(first, s.n, max(1, s.n // STEPS))) for s, t in zip(searcher.sizes, tables, strict=True)]
-    for lo in range(0, len(code), CHUNK):
-        hi = min(lo + CHUNK, len(code))
-        sums = running_bits(code[lo : min(hi + widest, len(code))], kind)
-        for size, table, step, row, start, end in plans:
-            a, b = np.searchsorted(start, lo), np.searchsorted(start, hi)
-            if a == b:
-                continue
-            prints = fingerprints(sums, start[a:b] - lo, end[a:b] - lo)
+    for size, table in zip(searcher.sizes, tables, strict=True):
+        step = max(1, size.n // STEPS)
+        row, start, end = _windows(first, size.n, step)
+        widest = step + int(size.lengths.max()) - size.n
+        left, right = known[np.maximum(start - widest, first[row])], known[np.minimum(end + widest, first[row + 1])]
+        some = np.flatnonzero(right - left >= THRESHOLD * size.n)  # no other window can hold a match
+        for part in _clusters(start[some], end[some]):
+            at = some[part]
+            sums = running_bits(code[start[at[0]] : end[at[-1]]], np.uint8 if size.n < 256 else np.uint32)
+            prints = fingerprints(sums, start[at] - start[at[0]], end[at] - start[at[0]])
             blocks = prints.view(np.uint16).reshape(-1, 4)
             mask = table[0][blocks[:, 0]] | table[1][blocks[:, 1]] | table[2][blocks[:, 2]] | table[3][blocks[:, 3]]
-            some = np.flatnonzero(mask)
-            for i, item in enumerate(size.items):
-                near = some[(mask[some] >> mask.dtype.type(i)) & mask.dtype.type(1) > 0]
-                near = near[np.bitwise_count(prints[near] ^ size.prints[i]) <= RADIUS] + a
-                if not len(near):
-                    continue
-                n = int(size.lengths[i])
-                reach = step + n - size.n
-                left, right = np.maximum(start[near] - reach, first[row[near]]), np.minimum(end[near] + reach, first[row[near] + 1])
-                near = near[known[right] - known[left] >= THRESHOLD * n]
-                for w in near:
+            for w, fingerprint, bits in zip(at, prints, mask, strict=True):
+                close = (bits >> np.arange(len(size.items)).astype(mask.dtype)) & mask.dtype.type(1) > 0
+                close &= np.bitwise_count(size.prints ^ fingerprint) <= RADIUS
+                close |= searcher.shared(which[left[w] : right[w]])[size.items] >= THRESHOLD * size.lengths
+                for i in np.flatnonzero(close):
+                    n, item = int(size.lengths[i]), int(size.items[i])
+                    reach = step + n - size.n
                     begin, limit = int(first[row[w]]), max(int(first[row[w]]), int(first[row[w] + 1]) - n)
-                    regions.setdefault((int(row[w]), int(item)), set()).update(range(max(begin, int(start[w]) - reach), min(limit, int(start[w]) + step) + 1))
+                    regions.setdefault((int(row[w]), item), set()).update(range(max(begin, int(start[w]) - reach), min(limit, int(start[w]) + step) + 1))
     for (row, item), starts in sorted(regions.items()):
         codes, often = searcher.counts[item]
         n, best = int(often.sum()), (0.0, 0, 0)

@@ -54,6 +54,23 @@ def test_equal_to_brute_force(spark, documents, sentence):
     assert len(got) >= 0.95 * len(want) and all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
 
+def test_none_of_the_altered_passages_is_lost(sentence):
+    rng = random.Random(5)
+    items = [(i, sentence(1000 + i, 40 + 7 * i)) for i in range(30)]
+    rows = []
+    for k in range(900):
+        own = words(items[k % 30][1])
+        for _ in range(1 + rng.randrange(1 + len(own) // 30)):
+            own[rng.randrange(len(own))] = f"q{k}"
+        rows.append(f"{sentence(k, rng.randrange(0, 60))} {' '.join(own)} {sentence(k + 5000, rng.randrange(0, 60))}")
+    want = {(k, k % 30): best(text, items[k % 30][1]) for k, text in enumerate(rows)}
+    want = {k: v for k, v in want.items() if v >= 0.75}
+    assert sum(v < 0.8 for v in want.values()) > 100
+    block = decontam.searchers(*map(list, zip(*items, strict=True)))
+    found = {(m[0], m[1]): m[2] for m in decontam._matches(pa.array(rows), block, [[s.tables() for s in x.sizes] for x in block])}
+    assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_keep_clean_and_blocks(spark, documents, sentence, monkeypatch):
     items, rows = corpus(sentence)
     bench = spark.createDataFrame(items + [(99, None), (98, "")], "item_id long, text string")
