@@ -8,9 +8,12 @@ capacity of its edge from the source (content) or to the sink (boilerplate); nei
 that is the stronger the closer they are in the tree (one parent, one container, another one). The minimum cut, found by
 augmenting paths, labels all blocks of a page at once: blocks on the source's side are the main text.
 
-Blocks whose elements name their role (nav, header outside the article, footer, aside, form, title, adverts,
-notices, comments, and so on) have a capacity no smoothness can outweigh; the same holds for headings and paragraphs
-of an article. Entities are decoded, white space inside a block becomes one space, blocks are joined by one
+Roles are evidence for the classifier and no verdict: an element whose tag names a role (nav, footer, aside, form, header
+outside the article, hidden ones) costs ``BY_TAG``, one whose class, id or role does (adverts, notices, comments, and so on)
+``BY_NAME``, a block of an article gains ``IN_ARTICLE`` unless a role is named inside the article. The words of the block and its
+neighbours can outweigh each. Names of elements that hold the page's article say nothing about it, names such as
+``no-sidebar`` tell what a page has and not what an element is, and a header in an article is part of it.
+The cut runs on every page. Entities are decoded, white space inside a block becomes one space, blocks are joined by one
 newline in page order.
 
 Defined results: null or empty html, pages without text or with boilerplate alone give an empty text;
@@ -36,6 +39,7 @@ _UNQUOTED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)")  # a tag whose
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _NAMES = re.compile(r"[a-z]+")
+_ABOUT = re.compile(r"(?:no|not|has|have|with|without|show|hide)[-_]")  # a class that tells what the page has
 
 # Elements by role.
 RAW = frozenset("script style noscript template textarea iframe object svg math canvas audio video select option datalist title head".split())
@@ -52,7 +56,9 @@ BAD_NAMES = frozenset(
 )
 GOOD_NAMES = frozenset("article content main post entry story text body".split())
 
-HARD = 1e6
+BY_TAG = 8.0
+BY_NAME = 5.0
+IN_ARTICLE = 6.0
 _NOTHING = 1e-9
 
 
@@ -61,19 +67,25 @@ class Block:
     text: str
     path: tuple[int, ...]  # numbers of the open containers
     tag: str
-    bad: bool  # an element around it names a boilerplate role
-    article: bool
+    named: frozenset[int]  # elements around it whose names tell a boilerplate role
+    tagged: bool  # the tag of an element around it tells one
+    articles: tuple[int, ...]  # articles around it, from outside to inside
     good: bool
     links: int = 0
 
+    @property
+    def bad(self) -> bool:
+        return self.tagged or bool(self.named)
+
 
 @dataclass
 class _Open:
     tag: str
     number: int
-    bad: bool
-    article: bool
-    good: bool
+    named: frozenset[int] = frozenset()
+    tagged: bool = False
+    articles: tuple[int, ...] = ()
+    good: bool = False
     raw: bool = False
 
 
@@ -86,6 +98,7 @@ class Reader:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     count: int = 0
+    wrappers: dict[int, frozenset[int]] = field(default_factory=dict)  # elements with bad names around each article
 
     def flush(self) -> None:
         if not self.parts:
@@ -93,9 +106,9 @@ class Reader:
         raw = "".join(self.parts)
         text = _SPACE.sub(" ", entities.unescape(raw) if "&" in raw else raw).strip()
         if text:
-            top = self.stack[-1] if self.stack else _Open("", 0, False, False, False)
+            top = self.stack[-1] if self.stack else _Open("", 0)
             tag = next((o.tag for o in reversed(self.stack) if o.tag not in INLINE), "")
-            self.blocks.append(Block(text, tuple(o.number for o in self.stack if o.tag in CONTAINERS), tag, top.bad, top.article, top.good, self.linked))
+            self.blocks.append(Block(text, tuple(o.number for o in self.stack if o.tag in CONTAINERS), tag, top.named, top.tagged, top.articles, top.good, self.linked))
         self.parts, self.linked = [], 0
 
     def text(self, s: str) -> None:
@@ -117,20 +130,27 @@ class Reader:
         if tag in VOID:
             return
         self.count += 1
-        up = self.stack[-1] if self.stack else _Open("", 0, False, False, False)
-        names, hidden = set(), False
+        up = self.stack[-1] if self.stack else _Open("", 0)
+        names, hidden, kind_is_main = set(), False, False
         if attributes:
             for m in _ATTRIBUTE.finditer(attributes):
                 value = (m[2] or m[3] or m[4] or "").lower()
                 kind = m[1].lower()
                 if kind in ("class", "id", "role"):
-                    names.update(_NAMES.findall(value))
+                    names.update(n for word in value.split() if not _ABOUT.match(word) for n in _NAMES.findall(word))
+                    kind_is_main |= kind == "role" and value.strip() == "main"
                 elif kind == "hidden" or kind == "style" and "display:none" in value.replace(" ", ""):
                     hidden = True
-        article = up.article or tag in ("article", "main")
+        is_article = tag in ("article", "main") or kind_is_main
+        if is_article:
+            self.wrappers[self.count] = up.named
+        articles = (*up.articles, self.count) if is_article else up.articles
+        good = bool(names & GOOD_NAMES)
         # A header inside an article holds its headline; names of whole-page wrappers do not condemn them.
-        bad = up.bad or tag in NEVER or hidden or (tag == "header" and not article) or (tag not in ("html", "body", "main", "article") and bool(names & BAD_NAMES))
-        self.stack.append(_Open(tag, self.count, bad, article, up.good or bool(names & GOOD_NAMES), up.raw or tag in RAW))
+        role = names & BAD_NAMES - ({"header"} if articles or good else set())
+        named = up.named | {self.count} if role and not is_article and tag not in ("html", "body") else up.named
+        tagged = up.tagged or tag in NEVER or hidden or (tag == "header" and not articles)
+        self.stack.append(_Open(tag, self.count, named, tagged, articles, up.good or good, up.raw or tag in RAW))
 
     def close(self, tag: str) -> None:
         if tag not in INLINE:
@@ -174,18 +194,39 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else len(page)
     reader.text(page[at:])
     reader.flush()
+    return _without_wrappers(reader)
+
+
+def _without_wrappers(reader: Reader) -> list[Block]:
+    """The blocks, those of the page's article without the names of the elements that hold it."""
+    size: dict[int, int] = {}
+    inside: dict[int, set[int]] = {}
+    for block in reader.blocks:
+        for k, article in enumerate(block.articles):
+            size[article] = size.get(article, 0) + len(block.text)
+            inside.setdefault(block.articles[k - 1] if k else 0, set()).add(article)
+    at = 0
+    while at in inside:  # the largest one, and inside it one with most of its text
+        largest = max(sorted(inside[at]), key=size.__getitem__)
+        if at and 2 * size[largest] <= size[at]:
+            break
+        at = largest
+    if at and reader.wrappers[at]:
+        for block in reader.blocks:
+            if at in block.articles:
+                block.named -= reader.wrappers[at]
     return reader.blocks
 
 
 def cost(block: Block) -> float:
     """How much a block speaks for content (positive) or boilerplate (negative)."""
-    if block.bad:
-        return -HARD
     share = min(1.0, block.links / max(1, len(block.text)))
-    if block.article:
-        return HARD if share < 0.9 or block.tag in ("p", "h1", "h2") else 0.5
     words = block.text.count(" ") + 1
-    weight = -1.0 + min(words, 40) * 0.08 - 4.0 * share + 1.5 * block.good
+    weight = -1.0 + min(words, 40) * 0.08 - 4.0 * share
+    if block.bad:
+        weight -= BY_TAG if block.tagged else BY_NAME
+    else:
+        weight += 1.5 * block.good + IN_ARTICLE * bool(block.articles)
     weight += {"p": 1.5, "pre": 1.0, "blockquote": 1.0, "h1": 1.5, "h2": 0.5, "h3": 0.5, "td": 0.0, "li": -0.5}.get(block.tag, -0.5)
     return weight + 0.5 * any(c in block.text for c in ".!?")
 
@@ -198,7 +239,7 @@ def closeness(a: Block, b: Block) -> float:
             break
         shared += 1
     apart = len(a.path) + len(b.path) - 2 * shared
-    return 2.0 / (1 + apart) if a.bad == b.bad else 0.1
+    return (2.0 if a.bad == b.bad else 1.0) / (1 + apart)
 
 
 def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
@@ -226,8 +267,9 @@ def minimum_cut(weights: list[float], edges: list[tuple[int, int, float]]) -> li
     for i, j, c in edges:
         room[i][j] = room[i].get(j, 0.0) + c
         room[j][i] = room[j].get(i, 0.0) + c
+    closed: set[int] = set()  # no demand can be reached from these any more
     for s in range(len(weights)):
-        while supply[s] > _NOTHING:
+        while supply[s] > _NOTHING and s not in closed:
             before, queue, goal = {s: s}, deque([s]), -1
             while queue:
                 u = queue.popleft()
@@ -235,10 +277,11 @@ def minimum_cut(weights: list[float], edges: list[tuple[int, int, float]]) -> li
                     goal = u
                     break
                 for v, c in room[u].items():
-                    if c > _NOTHING and v not in before:
+                    if c > _NOTHING and v not in before and v not in closed:
                         before[v] = u
                         queue.append(v)
             if goal < 0:
+                closed.update(before)
                 break
             path, u = [], goal
             while u != s:
@@ -264,10 +307,7 @@ def minimum_cut(weights: list[float], edges: list[tuple[int, int, float]]) -> li
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     weights = [cost(b) for b in found]
-    if all(abs(w) == HARD for w in weights):  # no smoothness outweighs these: the cut is known
-        keep = [w > 0 for w in weights]
-    else:
-        keep = minimum_cut(weights, smoothness(found))
+    keep = minimum_cut(weights, smoothness(found))
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 

@@ -54,3 +54,18 @@ def test_cut_is_minimal(weights, data):
 def test_smoothness_keeps_a_short_paragraph_among_long_ones():
     body = '<div id="content"><p>A long first paragraph, with more than enough words to be content by itself, surely.</p><p>Ok</p><p>A long last paragraph, with more than enough words to be content by itself, surely.</p></div>'
     assert "\nOk\n" in htmltext.main_text(body)
+
+
+LONG = "A paragraph of ordinary prose, with more than enough words to be read as content by anybody, and it ends here."
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "has-sidebar", "with-header", "sidebar layout"])
+def test_names_of_wrappers_do_not_empty_a_page(name):
+    page = f'<body><div class="{name}"><nav><a href="/">Home</a></nav><article><header class="entry-header"><h1>Headline</h1></header><p>{LONG}</p><div class="comments"><article class="comment"><p>I agree with it.</p></article></div></article></div></body>'
+    assert htmltext.main_text(page) == "Headline\n" + LONG
+
+
+def test_evidence_outweighs_a_name():
+    long = " ".join([LONG] * 3)
+    page = f'<div id="content"><p>{long}</p><div class="notice"><p>{long}</p></div><p>{long}</p><div class="notice"><p>Buy now</p></div></div>'
+    assert htmltext.main_text(page) == "\n".join([long] * 3)
