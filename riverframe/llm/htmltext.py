@@ -43,6 +43,7 @@ _ABOUT = re.compile(r"(?:no|not|has|have|with|without|show|hide)[-_]")  # a clas
 
 # Elements by role.
 RAW = frozenset("script style noscript template textarea iframe object svg math canvas audio video select option datalist title head".split())
+HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template head".split())  # anything else ends an open head
 VERBATIM = frozenset("script style textarea title noscript iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -111,13 +112,21 @@ class Reader:
             self.blocks.append(Block(text, tuple(o.number for o in self.stack if o.tag in CONTAINERS), tag, top.named, top.tagged, top.articles, top.good, self.linked))
         self.parts, self.linked = [], 0
 
+    def _leave_head(self) -> None:
+        if self.stack and self.stack[-1].tag == "head":
+            self.stack.pop()
+
     def text(self, s: str) -> None:
+        if s.strip():
+            self._leave_head()
         if s and not (self.stack and self.stack[-1].raw):
             self.parts.append(s)
             if any(o.tag == "a" for o in self.stack):
                 self.linked += len(s.strip())
 
     def open(self, tag: str, attributes: str) -> None:
+        if tag not in HEAD:
+            self._leave_head()
         if tag == "br":
             self.parts.append(" ")
             return

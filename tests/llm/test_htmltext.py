@@ -69,3 +69,8 @@ def test_evidence_outweighs_a_name():
     long = " ".join([LONG] * 3)
     page = f'<div id="content"><p>{long}</p><div class="notice"><p>{long}</p></div><p>{long}</p><div class="notice"><p>Buy now</p></div></div>'
     assert htmltext.main_text(page) == "\n".join([long] * 3)
+
+
+@pytest.mark.parametrize("body", ["<body><article><p>text</p></article>", "<article><p>text", "<body><main>text</main></body></html>"])
+def test_a_head_without_its_end_tag(body):
+    assert htmltext.main_text(f"<html><head><meta charset='utf-8'><title>T</title><link href='x'><style>p{{}}</style>\n{body}") == "text"
