@@ -10,6 +10,10 @@ Three transducers are composed and run over the words of a clause that holds a c
 3. the weighing transducer maps the classes to learned weights; a document's score is the sigmoid of their
    sum over its clauses (counts enter as log(1 + n)).
 
+Punctuation, spaces and symbols of all scripts separate words as the ASCII ones do (an apostrophe, too), quotation marks are
+quotes and sentence marks end clauses; letters of alphabets other than the Latin one count as one byte each, and in scripts without
+spaces every character starts a word.
+
 Insult entries are prefixes of 4 to 8 bytes of the lower-cased word (the word's end counts as one
 byte, so that a whole word is an entry too). They are learned from labelled texts: an entry must
 explain toxic labels better than the base rate by a likelihood ratio that allows for the number of
@@ -25,6 +29,7 @@ null id is held out and never learned from. Other columns are not read.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -68,8 +73,53 @@ def pack(word: bytes) -> int:
     return int.from_bytes(word[:8].ljust(8, b"\0"), "little")
 
 
-def _runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and packed heads of all runs of letters; a row's end ends a run."""
+# What a character does: 1 separates words, 2 ends a clause, 3 is a quotation mark, 4 vanishes, 5 stands in a script without spaces,
+# 6 is a letter of another alphabet and travels as one byte.
+_SINGLE = "\u2018\u2019\u201a\u201b\u02bc"
+_ACTS = np.zeros(1 << 18, np.uint8)
+for _c in range(128, 1 << 18):
+    _kind = unicodedata.category(chr(_c))
+    if _kind[0] in "PSZ" or _kind in ("Cc", "Cf") or chr(_c) in _SINGLE:
+        _ACTS[_c] = 2 if chr(_c) in "…‥‼⁇⁈⁉。！？；｡؟؛۔।॥\u037e\u2028\u2029\x85" else 3 if _kind in ("Pi", "Pf") and chr(_c) not in _SINGLE + "‹›" or chr(_c) in "„‟＂「」『』" else 4 if chr(_c) in "\u00ad\u200c\u200d" else 1
+    elif _kind[0] == "L" and 0x370 <= _c < 0x800:
+        _ACTS[_c] = 6
+for _a, _b in ((0xE00, 0xF00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3040, 0x3100), (0x3400, 0xA000), (0xF900, 0xFB00), (0x20000, 0x40000)):
+    _ACTS[_a:_b][_ACTS[_a:_b] == 0] = 5
+
+
+def _plain(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes and offsets with the marks of all scripts as ASCII ones, and where characters of unspaced scripts begin."""
+    at = np.flatnonzero(raw >= 0xC2)
+    alone = np.zeros(len(raw), bool)
+    if not len(at):
+        return raw, offsets, alone
+    raw = raw.copy()
+    size = np.where(raw[at] < 0xE0, 2, np.where(raw[at] < 0xF0, 3, 4))
+    code = raw[at].astype(np.int32) & (0x7F >> size)
+    for k in range(1, 4):
+        more = size > k
+        code[more] = code[more] << 6 | (raw[at[more] + k] & 0x3F)
+    act = _ACTS[np.minimum(code, len(_ACTS) - 1)]
+    drop = np.zeros(len(raw), bool)
+    for kind, byte in ((1, 32), (2, 46), (3, 34), (4, 32), (6, None)):
+        here = act == kind
+        raw[at[here]] = (code[here] & 0x7F) | 0x80 if byte is None else byte
+        drop[at[here]] = kind == 4
+        for k in range(1, 4):
+            drop[at[here & (size > k)] + k] = True
+    here = act == 5
+    alone[at[here]] = True
+    after = at[here] + size[here]
+    alone[after[after < len(raw)]] = True
+    before = np.concatenate([[0], np.cumsum(~drop)])
+    return raw[~drop], before[offsets], alone[~drop]
+
+
+def _runs(raw: np.ndarray, offsets: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and packed heads of all runs of letters; a row's end ends a run.
+
+    In a script without spaces every character starts a word, whose head reads on to the end of the run.
+    """
     letter = _LETTER[raw]
     cut = np.zeros(len(raw) + 1, bool)
     cut[offsets] = True
@@ -77,7 +127,15 @@ def _runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     begin[1:] |= letter[1:] & ~letter[:-1]
     stop[:-1] |= letter[:-1] & ~letter[1:]
     start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    size = end - start
+    if alone.any():
+        first, last = start, end
+        begin |= alone & letter
+        start = np.flatnonzero(begin)
+        run = np.searchsorted(first, start, side="right") - 1
+        size = last[run] - start
+        end = np.minimum(np.append(start[1:], len(raw)), last[run])
+    else:
+        size = end - start
     head = np.zeros(len(start), np.uint64)
     for k in range(8):
         longer = np.flatnonzero(size > k) if k else slice(None)
@@ -151,8 +209,8 @@ def class_counts(grammar: Grammar, column: pa.Array) -> np.ndarray:
     first, tables, threats = _lookup(grammar)
     for a, b in _spans(offsets_all):
         offsets = offsets_all[a : b + 1] - offsets_all[a]
-        raw = raw_all[offsets_all[a] : offsets_all[b]]
-        start, end, head = _runs(raw, offsets)
+        raw, offsets, alone = _plain(raw_all[offsets_all[a] : offsets_all[b]], offsets)
+        start, end, head = _runs(raw, offsets, alone)
         maybe = np.flatnonzero(first[_first_slot(head)])
         hit = np.isin(head[maybe], threats)
         for n, values in tables.items():
@@ -195,7 +253,8 @@ def _heads(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     raw_all, offsets_all = column_bytes(pc.utf8_lower(column.fill_null("")))
     for a, b in _spans(offsets_all):
         offsets = offsets_all[a : b + 1] - offsets_all[a]
-        start, _, head = _runs(raw_all[offsets_all[a] : offsets_all[b]], offsets)
+        raw, offsets, alone = _plain(raw_all[offsets_all[a] : offsets_all[b]], offsets)
+        start, _, head = _runs(raw, offsets, alone)
         first = np.searchsorted(start, offsets)
         for i in range(b - a):
             h = head[first[i] : first[i + 1]]

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riverframe.llm import langid, quality, toxicity
@@ -165,3 +166,21 @@ def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r["predicted"] for r in toxicity.rate(documents([(1, "you moron"), (2, "hello")]), none).orderBy("doc_id").collect()] == [1, 0]
     assert toxicity.rate(documents([]), none).collect() == []
+
+
+@pytest.mark.parametrize("text", ["¡Idiota!", "“idiot”", "«idiot»", "so —idiot— there", "un… ¡idiota!", "idi\u00adot", "你idiot", "\ufeffidiot"])
+def test_toxic_words_behind_marks_of_other_scripts(text):
+    grammar = toxicity.Grammar({n: frozenset([toxicity.pack(b"idiot")] if n == 5 else []) for n in toxicity.LENGTHS})
+    assert toxicity.class_counts(grammar, pa.array([text])).sum() == 1
+
+
+def test_toxic_clauses_with_typographic_marks_and_other_scripts():
+    entries = {5: frozenset([toxicity.pack(b"idiot")]), 6: frozenset([toxicity.pack("笨蛋".encode())])}
+    grammar = toxicity.Grammar({n: entries.get(n, frozenset()) for n in toxicity.LENGTHS})
+    typed = ["you're an idiot", "isn't an idiot", 'he said "idiot" again', "you. an idiot", "you。an idiot", "¿tú? idiota", "tú, ¡idiota!", "他是个笨蛋吗", "他是个好人"]
+    plain, targeted, negated, reported = np.eye(5)[:4].astype(int).tolist()
+    want = [targeted, negated, reported, plain, plain, plain, targeted, plain, [0] * 5]
+    for rows in (typed, [t.replace("'", "’").replace(' "', " “").replace('" ', "” ") for t in typed]):
+        assert toxicity.class_counts(grammar, pa.array(rows)).astype(int).tolist() == want
+    heads = [toxicity._runs(*toxicity._plain(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())])))[2].tolist() for w in ("словарь", "словами", "словарь")]
+    assert heads[0] == heads[2] != heads[1]
