@@ -4,12 +4,11 @@ A text is lower-cased; every byte that is no letter separates. Its subwords are
 bytes inside a word, the word's two edges included, hashed to ``BUCKETS`` rows of an embedding
 table. The average of a text's rows goes through a linear softmax. Both tables are learned together
 by stochastic gradient descent in numpy on a bounded sample of labelled texts: ``PER_LANG`` texts of
-each of the ``MAX_LANGS`` most frequent languages, chosen by hash of the id, each as a whole text and
-as one short passage. Executors turn the sample into sparse bucket counts; only those reach the driver.
+every language, chosen by hash of the id, each as a whole text and as one short passage; beyond
+``FULL_LANGS`` languages fewer of each, ``LEAST`` at least, so that no language is left out. Executors turn the sample into sparse bucket counts; only those reach the driver.
 
 Calibration: a fifth of the sample is kept out of the descent; on it one temperature is fitted to the
-log-likelihood, and the rejection level is the ``REJECT_SHARE`` quantile of the whole texts' scores
-(0.4 at most), so that a text of a known language is rejected with about that probability.
+log-likelihood, and the rejection level is the ``REJECT_SHARE`` quantile of the whole texts' scores, so that a text of a known language is rejected with about that probability.
 
 Scoring multiplies the embedding table by the softmax weights once, so that a subword costs one look-up
 per language, and reads whole texts as bytes of Arrow batches in pieces of bounded size.
@@ -32,12 +31,14 @@ from pyspark.sql import functions as F
 
 from riverframe.llm.tables import fold, hash_share, pick_text
 from riverframe.llm.textbuf import PIECE, column_bytes, row_slices
+from riverframe.operators.settle import settle
 
 BUCKETS = 1 << 15
 DIM = 12
 EPOCHS = 6
 PER_LANG = 500
-MAX_LANGS = 200
+FULL_LANGS = 200
+LEAST = 20
 PASSAGE = 60
 REJECT_SHARE = 0.001
 UNKNOWN = "und"
@@ -156,14 +157,14 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> LanguageModel:
     """Learn from documents whose id is not held out and whose language is known."""
     known = pick_text(docs, "lang").where("lang is not null and text is not null and doc_id is not null").where(fold(F.col("doc_id"), 3) != 1)
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
-    if not sizes:
+    sizes = settle(known.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")  # one small row per language
+    many = sizes.count()
+    if not many:
         return LanguageModel([], np.zeros((0, BUCKETS), np.float32), np.zeros(0), 1.0, 0.5)
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_lang / n))).otherwise(share)
-    picked = known.withColumn("share", hash_share("doc_id")).where(F.col("share") < share)
-    rows = picked.mapInArrow(_counts, "lang string, whole boolean, ids array<int>, counts array<int>").limit(3 * per_lang * len(sizes)).toArrow()
+    if many > FULL_LANGS:
+        per_lang = min(per_lang, max(LEAST, per_lang * FULL_LANGS // many))
+    picked = known.join(F.broadcast(sizes), "lang").withColumn("share", hash_share("doc_id")).where(F.col("share") < F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("n"))).drop("n")
+    rows = picked.mapInArrow(_counts, "lang string, whole boolean, ids array<int>, counts array<int>").limit(3 * per_lang * many).toArrow()
     return fit(rows.column("lang").to_pylist(), rows.column("whole").to_pylist(), _arrays(rows.column("ids")), _arrays(rows.column("counts")))
 
 
@@ -209,7 +210,7 @@ def fit(lang: list[str], whole: list[bool], ids: list[np.ndarray], counts: list[
     temperature = float(grid[int(np.argmin(loss))])
     top = _softmax(z / temperature).max(axis=1)[[s[1] for s in check]]
     level = float(np.quantile(top, REJECT_SHARE)) if len(top) else 0.5
-    return LanguageModel(langs, np.ascontiguousarray(weights, np.float32), bias, temperature, min(0.4, level))
+    return LanguageModel(langs, np.ascontiguousarray(weights, np.float32), bias, temperature, level)
 
 
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -184,3 +184,13 @@ def test_toxic_clauses_with_typographic_marks_and_other_scripts():
         assert toxicity.class_counts(grammar, pa.array(rows)).astype(int).tolist() == want
     heads = [toxicity._runs(*toxicity._plain(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())])))[2].tolist() for w in ("словарь", "словами", "словарь")]
     assert heads[0] == heads[2] != heads[1]
+
+
+def test_every_language_is_learned(documents):
+    rows = [(6 * k + j, text_of("aa", 6 * k + j), f"l{k:03}") for k in range(210) for j in range(6)]
+    learned = {lang for i, _, lang in rows if fold(i, 3) != 1}
+    assert len(learned) > 205 and langid.train(documents(rows)).langs == sorted(learned)
+
+
+def test_rejection_level_is_the_calibrated_share(documents, language_rows):
+    assert langid.train(documents(language_rows)).reject_below > 0.4
