@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,8 @@ from riverframe.session import checkpoint_dir
 
 #: Tables that this process has written, by application, oldest first.
 _written: dict[str, list[str]] = {}
+#: Where a table that :func:`settle` returned is.
+_place: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -26,18 +29,31 @@ def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _place[table] = path
+    return table
 
 
 def release(spark: SparkSession, since: int = 0) -> int:
     """Remove the tables written after the first ``since`` ones; what reads them must have run by then."""
     paths = _written.get(spark.sparkContext.applicationId, [])
     gone, paths[since:] = paths[since:], []
+    _delete(spark, gone)
+    return len(gone)
+
+
+def discard(table: DataFrame) -> None:
+    """Remove one table that :func:`settle` returned, once nothing reads it any more (the state before the last of a loop)."""
+    spark, path = table.sparkSession, _place.pop(table)
+    _written[spark.sparkContext.applicationId].remove(path)
+    _delete(spark, [path])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in gone:
+    for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
-    return len(gone)
 
 
 @contextmanager
