@@ -1,6 +1,6 @@
 """Exponential moving average (recursive form, first value as seed) on built-in windows.
 
-``y_0 = x_0`` and ``y_t = (1 - a) y_{t-1} + a x_t``. With the rows of a key numbered, cut into
+Without missing values, ``y_0 = x_0`` and ``y_t = (1 - a) y_{t-1} + a x_t``. With the rows of a key numbered, cut into
 blocks of B rows and ``q = 1 - a``, the value at offset p of a block is
 
     q^p * sum_{i <= p} a x_i q^{-i}   +   q^{p+1} * carry
@@ -9,6 +9,17 @@ where the carry is the value at the end of the block before, and x_0 before the
 B is chosen so that ``q^-B`` stays far from overflow, which makes the sum an ordinary window
 sum. A full block damps the carry it received by ``q^B``, so a carry folds the ends of the blocks before it,
 as far back as a double could still hold what is left of them.
+
+A missing value has no weight of its own, but the older weights decay over it: a value that is seen d rows after
+the one before makes
+
+    y = (q^d y_before + a x) / (q^d + a)
+
+and a row without a value repeats the last average (none before the first value). That is a recurrence
+``y = A y_before + B`` with a factor of its own at every value. Two running sums per block carry it: of the logarithms of A,
+whose exponential is the weight left to the block's first average, and of ``B`` over that weight. As ``A >= q^d``, a block of
+the same length bounds both. A block then says how its first value turns into its last average; these maps are folded over
+the blocks before, each with its distance to the last value seen, however long the gap.
 """
 
 from __future__ import annotations
@@ -19,6 +30,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riverframe.functions.columns import nan_to_null
 from riverframe.operators.joins import join_groups
 from riverframe.operators.ordered import HOT_ROWS, KEY, keyed, positions, use_chunks
 
@@ -65,8 +77,17 @@ def emas(
     width: int | None = None,
     block: int | None = None,
     hot_rows: int = HOT_ROWS,
+    missing: str = "skip",
 ) -> DataFrame:
-    """Several averages of one column in a single pass. A missing value is an error: fill first."""
+    """Several averages of one column in a single pass.
+
+    ``missing="skip"`` averages over the values that are there (NULL and NaN are missing). ``"error"`` is for a column
+    known to be complete: it needs fewer windows, and a missing value fails the job.
+    """
+    if missing == "skip":
+        return _over_gaps(df, list(keys), ts, c, dict(alphas), tiebreak, chunk, width, block, hot_rows)
+    if missing != "error":
+        raise ValueError(f"missing must be skip or error, not {missing!r}")
     plain = {n: a for n, a in alphas.items() if a < 1.0}
     out = df.withColumns({n: F.col(c) for n, a in alphas.items() if a >= 1.0})
     if not plain:
@@ -74,12 +95,12 @@ def emas(
     length = block or _block_length(list(plain.values()))
     size = use_chunks(df, keys, ts, chunk, hot_rows)
     numbered = positions(out, keys, ts, "__pos", None, tiebreak, width, hot_rows, size)
-    missing = F.raise_error(F.lit(f"column {c} has missing values; fill them before averaging"))
+    broken = F.raise_error(F.lit(f"column {c} has missing values; fill them before averaging"))
     placed = numbered.withColumns(
         {
             "__block": F.floor((F.col("__pos") - 1) / length),
             "__p": (F.col("__pos") - 1) % length,
-            "__x": F.coalesce(F.col(c).cast("double"), missing.cast("double")),
+            "__x": F.coalesce(F.col(c).cast("double"), broken.cast("double")),
         }
     )
     # Without chunks no join is needed, and the rows stay partitioned by the keys themselves.
@@ -151,3 +172,116 @@ def _folded(ends: Column, seed: Column, alpha: float, length: int) -> Column:
     depth = _depth(alpha, length)
     start = F.when(F.col("__block") <= depth, seed).otherwise(F.lit(0.0))
     return F.aggregate(ends, start, lambda carry, end: carry * F.lit(q) + end)
+
+
+# -- over missing values ------------------------------------------------------
+
+
+def _over_gaps(
+    df: DataFrame, keys: list[str], ts: str, c: str, alphas: dict[str, float], tiebreak, chunk, width, block, hot_rows: int
+) -> DataFrame:
+    """Blocks of rows; ``__weight`` and ``__local`` turn the average at the block's first value into that of the row."""
+    length = block or _block_length([a for a in alphas.values() if a < 1.0] or [0.5])
+    size = use_chunks(df, keys, ts, chunk, hot_rows)
+    numbered = positions(df, keys, ts, "__pos", None, tiebreak, width, hot_rows, size)
+    x = nan_to_null(F.col(c).cast("double"))
+    placed = numbered.withColumns({"__block": F.floor((F.col("__pos") - 1) / length), "__p": (F.col("__pos") - 1) % length, "__x": x})
+    by = [KEY] if size else keys
+    ordered = Window.partitionBy(*by, "__block").orderBy("__p")
+    so_far, before = ordered.rowsBetween(Window.unboundedPreceding, 0), ordered.rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.when(F.col("__x").isNotNull(), F.col("__pos"))
+    rows = (keyed(placed, keys) if size else placed).withColumns(
+        {
+            "__gap": F.col("__pos") - F.last(seen, ignorenulls=True).over(before),
+            "__first": F.first("__x", ignorenulls=True).over(so_far),
+            "__first_pos": F.first(seen, ignorenulls=True).over(so_far),
+            "__last_pos": F.last(seen, ignorenulls=True).over(so_far),
+        }
+    )
+    rates = list(alphas.values())
+    inner = F.col("__x").isNotNull() & F.col("__gap").isNotNull()
+    logs = {f"__log_{i}": F.sum(F.when(inner, _log_factor(a)).otherwise(F.lit(0.0))).over(so_far) for i, a in enumerate(rates) if a < 1.0}
+    rows = rows.withColumns(logs)
+    local = {}
+    for i, a in enumerate(rates):
+        if a < 1.0:
+            log = F.col(f"__log_{i}")
+            term = F.when(inner, _share(a) * F.col("__x") * F.exp(-log)).otherwise(F.lit(0.0))
+            local |= {f"__weight_{i}": F.exp(log), f"__local_{i}": F.exp(log) * F.sum(term).over(so_far)}
+        else:  # nothing of the older values is left
+            local |= {f"__weight_{i}": F.lit(0.0), f"__local_{i}": F.last("__x", ignorenulls=True).over(so_far)}
+    rows = rows.withColumns(local)
+    carried = (_state_by_join if size else _state_by_window)(rows, by, rates, length)
+    out = {}
+    for i, (n, a) in enumerate(alphas.items()):
+        state = F.col(f"__state_{i}")
+        out[n] = F.when(F.col("__first").isNull(), state["value"]).otherwise(
+            F.col(f"__weight_{i}") * _entered(state, F.col("__first"), F.col("__first_pos"), a) + F.col(f"__local_{i}")
+        )
+    helpers = [f"__{k}_{i}" for k in ("log", "weight", "local", "state") for i in range(len(rates))]
+    return carried.withColumns(out).drop(KEY, "__pos", "__block", "__p", "__x", "__gap", "__first", "__first_pos", "__last_pos", *helpers)
+
+
+def _kept(alpha: float, gap: Column) -> Column:
+    """What a gap leaves of the older weights."""
+    return F.exp(F.lit(math.log1p(-alpha)) * gap) if alpha < 1.0 else F.lit(0.0)
+
+
+def _log_factor(alpha: float) -> Column:
+    return F.lit(math.log1p(-alpha)) * F.col("__gap") - F.log(_kept(alpha, F.col("__gap")) + F.lit(alpha))
+
+
+def _share(alpha: float) -> Column:
+    return F.lit(alpha) / (_kept(alpha, F.col("__gap")) + F.lit(alpha))
+
+
+def _entered(state: Column, first: Column, at: Column, alpha: float) -> Column:
+    """The average at a block's first value, after the state (last average and where its value was)."""
+    kept = _kept(alpha, at - state["at"])
+    return F.when(state["value"].isNull(), first).otherwise((kept * state["value"] + F.lit(alpha) * first) / (kept + F.lit(alpha)))
+
+
+def _end(i: int) -> Column:
+    names = {"first": "__first", "first_pos": "__first_pos", "last_pos": "__last_pos", "weight": f"__weight_{i}", "local": f"__local_{i}"}
+    return F.struct(*[F.col(c).alias(n) for n, c in names.items()])
+
+
+def _state_after(ends: Column, alpha: float) -> Column:
+    """(average, position of the last value) after blocks, oldest first; blocks without a value change nothing."""
+    start = F.struct(F.lit(None).cast("double").alias("value"), F.lit(None).cast("bigint").alias("at"))
+
+    def step(state: Column, end: Column) -> Column:
+        value = end["weight"] * _entered(state, end["first"], end["first_pos"], alpha) + end["local"]
+        return F.struct(value.alias("value"), end["last_pos"].cast("bigint").alias("at"))
+
+    return F.aggregate(ends, start, step)
+
+
+def _state_by_window(rows: DataFrame, by: Sequence[str], rates: Sequence[float], length: int) -> DataFrame:
+    """Ordinary windows: the ends of the blocks before are read over the same partitioning; they are folded once per block."""
+    by_key = Window.partitionBy(*by).orderBy("__block", "__p").rowsBetween(Window.unboundedPreceding, -1)
+    closing = (F.col("__p") == length - 1) & F.col("__first").isNotNull()
+    ends = {f"__state_{i}": F.collect_list(F.when(closing, _end(i))).over(by_key) for i in range(len(rates))}
+    in_block = Window.partitionBy(*by, "__block").orderBy("__p")
+    starts = {f"__state_{i}": F.when(F.col("__p") == 0, _state_after(F.col(f"__state_{i}"), a)) for i, a in enumerate(rates)}
+    spread = {f"__state_{i}": F.first(f"__state_{i}").over(in_block) for i in range(len(rates))}
+    return rows.withColumns(ends).withColumns(starts).withColumns(spread)
+
+
+def _state_by_join(rows: DataFrame, by: Sequence[str], rates: Sequence[float], length: int) -> DataFrame:
+    """Chunked series: fold the block ends, one row per block, and join the states back.
+
+    Every block with a value damps what came before it by ``q`` at least, so ``VANISHED`` bounds how many are folded.
+    """
+    blocks = rows.groupBy(*by, "__block").agg(*[F.max_by(_end(i), "__p").alias(f"__end_{i}") for i in range(len(rates))])
+    earlier = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.count_if(F.col("__end_0")["first"].isNotNull()).over(earlier)
+    blocks = blocks.withColumn("__held", F.coalesce(held, F.lit(0)))
+    # The blocks with a value, counted back from each: those without one damp nothing, so they do not count.
+    by_held = Window.partitionBy(*by).orderBy("__held")
+    states = {}
+    for i, a in enumerate(rates):
+        depth = math.ceil(VANISHED / -math.log1p(-a)) if a < 1.0 else 1
+        known = F.when(F.col(f"__end_{i}")["first"].isNotNull(), F.col(f"__end_{i}"))
+        states[f"__state_{i}"] = _state_after(F.collect_list(known).over(by_held.rangeBetween(-depth, -1)), a)
+    return join_groups(rows, blocks.withColumns(states).select(*by, "__block", *states), [*by, "__block"])

@@ -82,7 +82,8 @@ def rain_memory(days: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     rows["rain_delta_1d"] = delta_of("rain_sum_mm", fill=0.0)
     averages = {f"rain_ema_{s}": alpha_of(span=s) for s in SPANS} | {"rain_api_7d": API_ALPHA}
     lagged = add_rows(days, [KEY], DAY, rows, tiebreak=tiebreak, chunk=DAILY)
-    return emas(lagged, [KEY], DAY, "rain_sum_mm", averages, tiebreak=tiebreak, chunk=DAILY)
+    # The roll-up has a sum for every row.
+    return emas(lagged, [KEY], DAY, "rain_sum_mm", averages, tiebreak=tiebreak, chunk=DAILY, missing="error")
 
 
 def feature_names(categories: Sequence[str], leaky: bool = False) -> list[str]:
@@ -148,7 +149,7 @@ def build_features_wide(hourly: DataFrame, daily: DataFrame) -> DataFrame:
     # The windows must see days without a target, so the join keeps them until afterwards.
     days = days.join(daily_target(daily), [KEY, DAY], "left")
     table = emas(
-        add_rows(days, [KEY], DAY, rows, chunk=DAILY), [KEY], DAY, "rain_sum_mm", {f"rain_ema_{s}": alpha_of(span=s) for s in SPANS}, chunk=DAILY
+        add_rows(days, [KEY], DAY, rows, chunk=DAILY), [KEY], DAY, "rain_sum_mm", {f"rain_ema_{s}": alpha_of(span=s) for s in SPANS}, chunk=DAILY, missing="error"
     )
     return table.dropna()
 

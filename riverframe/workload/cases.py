@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from riverframe.functions import columns as C
 from riverframe.operators import select, sequences as S, stats, windows as W
-from riverframe.operators.ema import emas
+from riverframe.operators.ema import alpha_of, emas
 from riverframe.operators.joins import union_all
-from riverframe.operators.ordered import add_rows, positions
+from riverframe.operators.ordered import DAILY, add_rows, positions
 from riverframe.operators.quantiles import quantiles_long
 from riverframe.operators.scaling import apply_scaler, fit_scaler
 from riverframe.operators.settle import settle
@@ -87,6 +87,30 @@ def ema_null_key(spark, sf):
     return rounded(both_ways(lambda chunk: emas(some_keys(spark, sf), KEYS, "datetime", "rain", {"ema4": 0.4, "api": 0.2}, ["event_id"], chunk=chunk)))
 
 
+# Single values, whole runs of hundreds of rows, and the start of every series are missing.
+GAPPY_READINGS = "gaps AS (SELECT event_type AS location, ts AS datetime, event_id, CASE WHEN event_id % 3 > 0 AND event_id % 1000 >= 400 THEN value END AS rain FROM events)"
+GAP_AVERAGES = {"ema4": 0.4, "api": 0.2, "slow": 0.01, "last": 1.0}
+
+
+@case(both_ways_sql(f"WITH RECURSIVE {GAPPY_READINGS}, {Q.gap_ema_cte('gaps', 'rain', GAP_AVERAGES, 'datetime, event_id')}", f"""
+SELECT n.location, datetime, event_id, {Q.r('rain', *GAP_AVERAGES)} FROM numbered n JOIN ema USING (location, pos)"""))
+def ema_missing(spark, sf):
+    """Averages over readings with gaps, on ordinary windows and in chunks."""
+    known = (F.col("event_id") % 3 > 0) & (F.col("event_id") % 1000 >= 400)
+    gappy = T.readings(spark, sf).withColumn("rain", F.when(known, F.col("rain")))
+    return rounded(both_ways(lambda chunk: emas(gappy, KEYS, "datetime", "rain", GAP_AVERAGES, ["event_id"], chunk=chunk)))
+
+
+@case(f"""WITH RECURSIVE {Q.RAIN}, gaps AS (SELECT location, date, CASE WHEN day(date) NOT BETWEEN 8 AND 20 THEN rain_sum_mm END AS rain_sum_mm FROM rain),
+{Q.gap_ema_cte('gaps', 'rain_sum_mm', {'rain_ema_3': 0.5, 'rain_ema_7': 0.25, 'rain_api_7d': 0.2}, 'date')}
+SELECT n.location, date, {Q.r('rain_sum_mm', 'rain_ema_3', 'rain_ema_7', 'rain_api_7d')} FROM numbered n JOIN ema USING (location, pos)""")
+def api_index_missing(spark, sf):
+    """Averages and the precipitation index of days that lack a reading for half of every month."""
+    days = T.rain_daily(spark, sf).select("location", "date", F.when(~F.dayofmonth("date").between(8, 20), F.col("rain_sum_mm")).alias("rain_sum_mm"))
+    averages = {f"rain_ema_{s}": alpha_of(span=s) for s in (3, 7)} | {"rain_api_7d": 0.2}
+    return rounded(emas(days, KEYS, "date", "rain_sum_mm", averages, chunk=DAILY))
+
+
 @case(both_ways_sql(f"WITH {SOME_KEYS}, gappy AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN rain END AS filled FROM keyed)", """
 SELECT location, datetime, event_id, round(rain, 6) AS rain, round(coalesce(
   last_value(filled IGNORE NULLS) OVER (PARTITION BY location ORDER BY datetime, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),

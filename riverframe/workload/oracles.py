@@ -64,6 +64,23 @@ def ema_cte(source: str, value: str, alphas: dict[str, float], order: str) -> st
       SELECT s.location, s.pos, {steps} FROM ema e JOIN numbered s ON s.location = e.location AND s.pos = e.pos + 1)"""
 
 
+def gap_ema_cte(source: str, value: str, alphas: dict[str, float], order: str) -> str:
+    """As :func:`ema_cte` over missing values: the older weights decay over a gap, which has no weight of its own."""
+    seeds = ", ".join(f"x AS {n}" for n in alphas)
+
+    def step(n: str, a: float) -> str:
+        kept = f"pow(1 - {a}, e.gap + 1)"
+        return f"CASE WHEN s.x IS NULL THEN e.{n} WHEN e.{n} IS NULL THEN s.x ELSE ({kept} * e.{n} + {a} * s.x) / ({kept} + {a}) END"
+
+    return f"""numbered AS (
+      SELECT *, {value} AS x, row_number() OVER (PARTITION BY location ORDER BY {order}) AS pos FROM {source}),
+    ema AS (
+      SELECT location, pos, 0 AS gap, {seeds} FROM numbered WHERE pos = 1
+      UNION ALL
+      SELECT s.location, s.pos, CASE WHEN s.x IS NULL THEN e.gap + 1 ELSE 0 END, {", ".join(step(n, a) for n, a in alphas.items())}
+      FROM ema e JOIN numbered s ON s.location = e.location AND s.pos = e.pos + 1)"""
+
+
 def r(*cols: str, digits: int = 6) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
 

@@ -190,18 +190,18 @@ def reading_positions(spark, sf):
 @query
 def ema_span(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(emas(days, KEYS, "date", "rain_sum_mm", {"ema3": 0.5, "ema7": 0.25}, chunk=DAILY))
+    return rounded(emas(days, KEYS, "date", "rain_sum_mm", {"ema3": 0.5, "ema7": 0.25}, chunk=DAILY, missing="error"))
 
 
 @query
 def api_index(spark, sf):
     days = T.rain_daily(spark, sf).select("location", "date", "rain_sum_mm")
-    return rounded(emas(days, KEYS, "date", "rain_sum_mm", {"rain_api_7d": 0.2}, chunk=DAILY))
+    return rounded(emas(days, KEYS, "date", "rain_sum_mm", {"rain_api_7d": 0.2}, chunk=DAILY, missing="error"))
 
 
 @query
 def ema_readings(spark, sf):
-    return rounded(emas(T.readings(spark, sf), KEYS, "datetime", "rain", {"ema4": 0.4, "api": 0.2}, tiebreak=["event_id"]))
+    return rounded(emas(T.readings(spark, sf), KEYS, "datetime", "rain", {"ema4": 0.4, "api": 0.2}, tiebreak=["event_id"], missing="error"))
 
 
 def hourly_grid(spark, sf):
@@ -215,7 +215,7 @@ def hourly_grid(spark, sf):
 @query
 def ema_readings_chunked(spark, sf):
     averages = {"ema4": 0.4, "api": 0.2}
-    return rounded(emas(T.readings(spark, sf), KEYS, "datetime", "rain", averages, ["event_id"], chunk=512))
+    return rounded(emas(T.readings(spark, sf), KEYS, "datetime", "rain", averages, ["event_id"], chunk=512, missing="error"))
 
 
 @query

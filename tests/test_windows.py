@@ -72,7 +72,7 @@ def test_ema_hand_values(series):
 
 def test_ema_rejects_missing_values_and_bad_parameters(series):
     with pytest.raises(Exception, match="missing values"):
-        ema(series({"a": [1, None]}), K, "date", "x", span=3).collect()
+        ema(series({"a": [1, None]}), K, "date", "x", span=3, missing="error").collect()
     with pytest.raises(ValueError):
         ema(series({"a": [1]}), K, "date", "x")
     with pytest.raises(ValueError):
@@ -136,6 +136,46 @@ def test_ema_equals_pandas(noisy, block, chunk):
         pd.testing.assert_series_equal(got[name], want, check_names=False, rtol=1e-9, atol=1e-9)
 
 
+@pytest.fixture(scope="module")
+def gappy(noisy):
+    """Missing at the start, in runs longer than a block, singly, and one key without any value."""
+    known = (F.col("id") >= 5) & (F.col("id") % 3 != 1) & ~F.col("id").between(200, 430) & (F.col("location") != "one")
+    return noisy.withColumn("x", F.when(known, F.col("x")).when(F.col("id") % 2 == 0, F.lit(float("nan"))))
+
+
+@pytest.mark.parametrize("block", [None, 1, 5, 64])
+@pytest.mark.parametrize("chunk", [0, 1])
+def test_ema_over_missing_values_equals_pandas(gappy, block, chunk):
+    alphas = {"e3": 0.5, "api": 0.2, "slow": 0.01, "steep": 0.97, "last": 1.0}
+    got = frame(emas(gappy, K, "datetime", "x", alphas, chunk=chunk, block=block), "x", *alphas)
+    assert got.e3.isna().sum() == 11 and got.x.isna().sum() > 300
+    for name, a in alphas.items():
+        want = got.groupby("location").x.transform(lambda s: s.ewm(alpha=a, adjust=False).mean())
+        pd.testing.assert_series_equal(got[name], want, check_names=False, rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("chunk", [0, 1])
+def test_complete_columns_have_the_same_averages_on_both_ways(noisy, chunk):
+    alphas = {"e3": 0.5, "slow": 0.01}
+    over_gaps, dense = (frame(emas(noisy, K, "datetime", "x", alphas, chunk=chunk, block=16, missing=m), *alphas) for m in ("skip", "error"))
+    pd.testing.assert_frame_equal(over_gaps, dense, rtol=1e-9, atol=1e-9)
+
+
+def test_a_gap_of_any_length_and_a_spike_before_it(spark):
+    """What a spike of 1e25 leaves after 60 missing rows counts; after 20 000 nothing is left and nothing overflows."""
+    for gap, chunk in ((60, 0), (60, 1), (20_000, 0), (20_000, 1)):
+        df = spark.range(gap + 4).selectExpr("'a' AS location", "timestampadd(MINUTE, id, timestamp_ntz'2024-01-01') AS datetime", f"CASE WHEN id = 1 THEN 1e25 WHEN id <= 1 OR id > {gap} THEN 1.0 END AS x", "int(id) AS id")
+        got = frame(emas(df, K, "datetime", "x", {"e": 0.5}, chunk=chunk), "x", "e")
+        pd.testing.assert_series_equal(got.e, got.x.ewm(alpha=0.5, adjust=False).mean(), check_names=False, rtol=1e-9)
+
+
+def test_missing_values_fail_where_they_must_not_be(gappy):
+    with pytest.raises(Exception, match="missing values"):
+        emas(gappy, K, "datetime", "x", {"e": 0.5}, missing="error").agg(F.sum("e")).collect()
+    with pytest.raises(ValueError, match="skip or error"):
+        emas(gappy, K, "datetime", "x", {"e": 0.5}, missing="drop")
+
+
 def test_ema_equals_grouped_python(noisy):
     def fold(pdf):
         pdf = pdf.sort_values("datetime")
