@@ -98,6 +98,20 @@ def chrono_split(
     return placed.withColumn("split", part).drop(KEY, "__pos", "__total", "__before")
 
 
+def validation_tail(
+    df: DataFrame, keys: Sequence[str], ts: str, share: float = 0.2, mode: str = "concat", split_col: str = "split",
+    train: str = "train", name: str = "val", chunk: int | None = None,
+) -> DataFrame:
+    """Mark the last ``share`` of the training rows as ``name``: what a trainer holds out for its own validation.
+
+    ``concat`` takes the tail of all training rows laid end to end, in key order, as trainers do with one stacked array (so it
+    may hold the newest rows of the last keys alone); ``per_key`` takes the newest rows of every key. Other rows stay as they are.
+    """
+    inside = chrono_split(df.filter(F.col(split_col) == train).drop(split_col), keys, ts, (1.0 - share, share), mode, "floor", (train, name), chunk)
+    rest = df.filter(~F.col(split_col).eqNullSafe(train))
+    return inside.withColumnRenamed("split", split_col).select(*df.columns).unionByName(rest)
+
+
 def _key_offsets(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
     """Rows that lie before each key in key order (rows without a key first), and the number of all rows.
 
