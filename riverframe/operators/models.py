@@ -53,10 +53,12 @@ def score(
     c: str = "sequence",
     out: str = "prediction",
     batch: int = 1024,
+    category: str | None = None,
 ) -> DataFrame:
     """Score ``n x f`` sequences. ``make_model`` loads the model once per Python worker and returns
     a function from a ``(rows, n, f)`` array to one value per row. Only the sequence column
-    travels to Python; keys and dates stay in the JVM."""
+    travels to Python; keys and dates stay in the JVM. With ``category`` (the place of the row's category, constant over
+    a sequence) the function also gets an integer array of places, -1 where there is none."""
 
     def make_predict():
         model = make_model()
@@ -64,12 +66,15 @@ def score(
         def predict(x: np.ndarray) -> np.ndarray:
             return np.asarray(model(x), dtype=np.float64).reshape(len(x))
 
-        return predict
+        def predict_placed(x: np.ndarray, place: np.ndarray) -> np.ndarray:
+            return np.asarray(model(x, place.reshape(len(x)).astype(np.int64)), dtype=np.float64).reshape(len(x))
 
-    udf = predict_batch_udf(
-        make_predict, return_type=T.DoubleType(), batch_size=batch, input_tensor_shapes=[list(shape)]
-    )
-    return df.withColumn(out, udf(F.flatten(c)))
+        return predict_placed if category else predict
+
+    shapes = [list(shape), [1]] if category else [list(shape)]
+    udf = predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch, input_tensor_shapes=shapes)
+    inputs = [F.flatten(c), F.array(F.coalesce(F.col(category), F.lit(-1)).cast("double"))] if category else [F.flatten(c)]
+    return df.withColumn(out, udf(*inputs))
 
 
 def tune(

@@ -185,3 +185,20 @@ def add_rows(
         .filter(~F.coalesce("__copy", F.lit(False)))
         .drop("__pos", "__chunk", "__copy")
     )
+
+
+def ranges_of(counts: DataFrame, key: str, n: str) -> tuple[DataFrame, int]:
+    """The rows of a table with one row per ``key``, with ``__before`` (the sum of ``n`` over all smaller keys), and the sum of all.
+
+    The table is cut into ranges of keys by Spark's own range partitioning and written with the number of the range, so that
+    every reader sees the same cut; a range is ordered on its own and only one row per range is ordered across all.
+    """
+    ranged = settle(counts.repartitionByRange(key).withColumn("__range", F.spark_partition_id()), "key-ranges")
+    earlier = Window.unboundedPreceding, -1
+    ranges = ranged.groupBy("__range").agg(F.sum(n).alias("__n"))
+    between = F.sum("__n").over(Window.orderBy("__range").rowsBetween(*earlier))
+    bases = ranges.select("__range", F.coalesce(between, F.lit(0)).alias("__base"))
+    inside = F.sum(n).over(Window.partitionBy("__range").orderBy(key).rowsBetween(*earlier))
+    placed = join_groups(ranged.withColumn("__inside", F.coalesce(inside, F.lit(0))), bases, ["__range"])
+    before = placed.withColumn("__before", F.col("__inside") + F.col("__base"))
+    return before.drop("__range", "__inside", "__base"), ranges.agg(F.sum("__n")).first()[0] or 0

@@ -66,20 +66,21 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
 
 
 def one_hot(df: DataFrame, c: str, categories: Sequence[str] | None = None, prefix: str = "loc") -> DataFrame:
-    """0/1 column per category. Pass the categories to save a job; use :func:`category_index`
-    for more than a few dozen."""
+    """0/1 column per category. Pass the categories to save a job. For more of them than a table should have columns, use
+    the sparse block of :mod:`riverframe.operators.categories`."""
     if categories is None:
         categories = [r[0] for r in df.select(c).dropna().distinct().orderBy(c).limit(MAX_ONE_HOT + 1).collect()]
         if len(categories) > MAX_ONE_HOT:
-            raise ValueError(f"{c} has more than {MAX_ONE_HOT} categories; use category_index")
+            raise ValueError(f"{c} has more than {MAX_ONE_HOT} categories; use fit_categories and one_hot_sparse")
     return df.withColumns({f"{prefix}_{v}": F.coalesce(F.col(c) == v, F.lit(False)).cast("int") for v in categories})
 
 
+#: From here on :func:`riverframe.plans.run.run` takes the sparse block.
 MAX_ONE_HOT = 200
 
 
 def category_index(df: DataFrame, c: str, out: str | None = None):
-    """Index and sparse one-hot vector for keys with many values (Spark ML)."""
+    """Index and sparse one-hot vector of Spark ML, which holds all values on the driver; :func:`riverframe.operators.categories.fit_categories` does not."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
 

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from riverframe.functions.columns import flag
 from riverframe.operators.joins import join_groups
-from riverframe.operators.ordered import KEY, RowExpr, add_rows, keyed, positions
+from riverframe.operators.ordered import KEY, RowExpr, add_rows, keyed, positions, ranges_of
 from riverframe.operators.quantiles import quantiles
-from riverframe.operators.settle import settle
 from riverframe.operators.windows import last_n
 
 
@@ -26,15 +25,16 @@ def sequences(
     features: Sequence[str],
     n: int,
     label: str | None = None,
+    carry: Sequence[str] = (),
     **how,
 ) -> DataFrame:
     """Rows ``i .. i+n-1`` as ``sequence`` on row ``i+n``, per key.
 
-    Row ``i+n`` gives ``label`` and the date the prediction belongs to, so nothing has to be
+    Row ``i+n`` gives ``label``, the columns to ``carry`` and the date the prediction belongs to, so nothing has to be
     aligned by position afterwards. A key with m rows gives ``max(m - n, 0)`` sequences.
     """
     point = F.array(*[F.col(c).cast("double") for c in features])
-    slim = df.select(*keys, ts, *([label] if label else []), point.alias("__x"))
+    slim = df.select(*keys, ts, *([label] if label else []), *carry, point.alias("__x"))
     build = RowExpr(n, lambda w: F.collect_list("__x").over(w.rowsBetween(-n, -1)))
     out = add_rows(slim, keys, ts, {"sequence": build}, **how)
     return out.filter(F.size("sequence") == n).drop("__x")
@@ -113,22 +113,9 @@ def validation_tail(
 
 
 def _key_offsets(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
-    """Rows that lie before each key in key order (rows without a key first), and the number of all rows.
-
-    The per-key counts are cut into ranges of keys by Spark's own range partitioning and written with the
-    number of their range, so that every reader sees the same cut; a range is ordered on its own and only one row
-    per range is ordered across all.
-    """
-    counts = keyed(df, keys).groupBy(KEY).agg(F.count("*").alias("__n"))
-    ranged = settle(counts.repartitionByRange(KEY).withColumn("__range", F.spark_partition_id()), "key-ranges")
-    earlier = Window.unboundedPreceding, -1
-    ranges = ranged.groupBy("__range").agg(F.sum("__n").alias("__n"))
-    between = F.sum("__n").over(Window.orderBy("__range").rowsBetween(*earlier))
-    bases = ranges.select("__range", F.coalesce(between, F.lit(0)).alias("__base"))
-    inside = F.sum("__n").over(Window.partitionBy("__range").orderBy(KEY).rowsBetween(*earlier))
-    placed = join_groups(ranged.withColumn("__inside", F.coalesce(inside, F.lit(0))), bases, ["__range"])
-    offsets = placed.select(KEY, (F.col("__inside") + F.col("__base")).alias("__before"))
-    return offsets, ranges.agg(F.sum("__n")).first()[0] or 0
+    """Rows that lie before each key in key order (rows without a key first), and the number of all rows."""
+    offsets, total = ranges_of(keyed(df, keys).groupBy(KEY).agg(F.count("*").alias("__n")), KEY, "__n")
+    return offsets.select(KEY, "__before"), total
 
 
 # -- labels -----------------------------------------------------------------

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riverframe.functions.columns import (
     HEAVY_RAIN_MM, any_flag, calendar_parts, composite, flag, interaction, safe_ratio, season_flag, spread,
 )
+from riverframe.operators.categories import INDEX, Categories, with_index
 from riverframe.operators.ema import alpha_of, emas
 from riverframe.operators.joins import join_with_suffix, union_all, with_row
 from riverframe.operators.ordered import DAILY, add_rows
@@ -86,9 +87,10 @@ def rain_memory(days: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     return emas(lagged, [KEY], DAY, "rain_sum_mm", averages, tiebreak=tiebreak, chunk=DAILY, missing="error")
 
 
-def feature_names(categories: Sequence[str], leaky: bool = False) -> list[str]:
+def feature_names(categories: Sequence[str] | Categories, leaky: bool = False) -> list[str]:
     """Feature order of the table. ``runoff_ratio_7d`` divides the target by rain, so it tells the
-    answer; it is listed only on request."""
+    answer; it is listed only on request. A sparse block of locations has no columns of its own."""
+    categories = [] if isinstance(categories, Categories) else categories
     rain = ["rain_sum_mm", "rain_max_1h"]
     rain += [f"rain_sum_lag_{k}" for k in LAGS] + [f"rain_sum_roll{n}" for n in ROLLS]
     rain += [f"rain_ema_{s}" for s in SPANS] + ["rain_delta_1d", "rain_api_7d"]
@@ -100,13 +102,14 @@ def build_features(
     hourly: DataFrame,
     forecast: DataFrame | None,
     daily: DataFrame,
-    categories: Sequence[str],
+    categories: Sequence[str] | Categories,
     overlap: str = HISTORICAL,
     scale: str | None = "all",
 ) -> DataFrame:
     """Feature table of history and forecast, one row per location and day.
 
-    ``categories`` are the locations to one-hot encode. ``scale`` is ``"all"`` (statistics over
+    ``categories`` are the locations to one-hot encode: their names, for a column each, or fitted :class:`Categories` for one
+    column ``loc_index``, however many there are. ``scale`` is ``"all"`` (statistics over
     all rows), ``"historical"`` (measured rows only) or None.
     """
     require_columns(hourly, [KEY, "datetime", "rain"])
@@ -114,7 +117,8 @@ def build_features(
     days = daily_rain(hourly, forecast, overlap).join(daily_target(daily), [KEY, DAY], "left")
     # With two rows on a day the forecast one sorts first.
     table = rain_memory(days, tiebreak=[KIND] if overlap == "both" else [])
-    table = one_hot(table, KEY, categories).withColumns(
+    sparse = isinstance(categories, Categories)
+    table = (with_index(table, KEY, categories) if sparse else one_hot(table, KEY, categories)).withColumns(
         {
             "month": F.month(DAY),
             "is_monsoon": season_flag(DAY),
@@ -123,7 +127,7 @@ def build_features(
         }
     )
     features = feature_names(categories, leaky=True)
-    table = table.select(KEY, DAY, KIND, *features, TARGET)
+    table = table.select(KEY, DAY, KIND, *features, *([INDEX] if sparse else []), TARGET)
     if scale is None:
         return table
     fit_on = table.filter(F.col(KIND) == HISTORICAL) if scale == HISTORICAL else None

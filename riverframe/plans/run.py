@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverframe.functions.columns import to_local
+from riverframe.operators.categories import INDEX, Categories, feature_order, fit_categories
 from riverframe.operators.scaling import MAX_ONE_HOT
 from riverframe.operators.select import normalize_keys
 from riverframe.plans.combine import combine_hourly_daily, local_days
@@ -70,14 +71,11 @@ def _forecast(spark: SparkSession, cfg: RunConfig, readings: Callable[[str], Dat
     return pick_member(long, cfg.variable, cfg.member, [KEY], "rain")
 
 
-def found_locations(hourly: DataFrame, forecast: DataFrame | None) -> list[str]:
-    """The locations in the data, for a column each. With more than MAX_ONE_HOT of them, encode
-    :func:`riverframe.operators.scaling.category_index` instead; this is an error then."""
+def found_locations(hourly: DataFrame, forecast: DataFrame | None) -> list[str] | Categories:
+    """The locations in the data: names, for a column each, or a table of categories if there are more than MAX_ONE_HOT."""
     keys = hourly.select(KEY) if forecast is None else hourly.select(KEY).unionAll(forecast.select(KEY))
     names = [r[0] for r in keys.dropna().distinct().orderBy(KEY).limit(MAX_ONE_HOT + 1).collect()]
-    if len(names) > MAX_ONE_HOT:
-        raise ValueError(f"more than {MAX_ONE_HOT} locations; use category_index")
-    return names
+    return names if len(names) <= MAX_ONE_HOT else fit_categories(keys.distinct(), KEY)
 
 
 def _write_by_year(df: DataFrame, path: str, ts: str, sort_by: Sequence[str]) -> None:
@@ -86,21 +84,29 @@ def _write_by_year(df: DataFrame, path: str, ts: str, sort_by: Sequence[str]) ->
 
 
 def run(spark: SparkSession, cfg: RunConfig, make_model: Callable | None = None) -> TrainingSet:
-    """Combine, build features, cut the training set and, given a model, score the forecast."""
+    """Combine, build features, cut the training set and, given a model, score the forecast.
+
+    With more than MAX_ONE_HOT locations the table has their places (``loc_index``), ``categories`` is written beside it, and
+    the model gets the places as a second argument.
+    """
     hourly, forecast, daily = load_inputs(spark, cfg)
     combined = combine_hourly_daily(hourly, daily, daily_tz=cfg.daily_tz)
     _write_by_year(combined, f"{cfg.out}/combined", "datetime", [KEY, "datetime"])
 
     locations = list(cfg.locations) if cfg.locations is not None else found_locations(hourly, forecast)
+    place = INDEX if isinstance(locations, Categories) else None
     table = build_features(hourly, forecast, local_days(daily, "date", cfg.daily_tz), locations, scale=None)
     # Written once and read back: the stages after it share one result instead of recomputing it.
     _write_by_year(table, f"{cfg.out}/features_daily", DAY, [KEY, DAY])
     table = spark.read.schema(table.schema).parquet(f"{cfg.out}/features_daily")
 
+    if place:  # the same places, with the shares of the table's rows
+        fit_categories(table, KEY).save(f"{cfg.out}/categories")
+
     features = feature_names(locations)
-    training = make_training_set(table, features, TARGET, n=cfg.sequence_length, settled=True)
+    training = make_training_set(table, features, TARGET, n=cfg.sequence_length, settled=True, carry=[place] if place else [])
     tables.save_stats(training.scaler, f"{cfg.out}/scaler_stats")
-    tables.write_feature_list(spark, features, f"{cfg.out}/feature_columns")
+    tables.write_feature_list(spark, feature_order(features) if place else features, f"{cfg.out}/feature_columns")
     tables.write_metadata(
         training_metadata(training, features, TARGET, cfg.sequence_length), f"{cfg.out}/training_metadata"
     )
@@ -109,7 +115,7 @@ def run(spark: SparkSession, cfg: RunConfig, make_model: Callable | None = None)
     if make_model is not None:
         scaler = tables.load_stats(spark, f"{cfg.out}/scaler_stats", expect=features)
         scored = score_forecast(
-            table.dropna(subset=list(features)), features, scaler, make_model, cfg.sequence_length, ahead=(KIND, FORECAST)
+            table.dropna(subset=list(features)), features, scaler, make_model, cfg.sequence_length, ahead=(KIND, FORECAST), category=place
         )
         _write_by_year(scored, f"{cfg.out}/flood_forecast", DAY, [KEY, DAY])
     return training

@@ -40,24 +40,26 @@ def score_forecast(
     on_missing: str = "error",
     chunk: int | None = DAILY,
     ahead: tuple[str, str] | None = None,
+    category: str | None = None,
 ) -> DataFrame:
     """Prediction and risk class for each day that has ``n`` days before it.
 
     ``table`` should come from the same feature function as the training table; a feature it
     lacks is an error unless ``on_missing`` says otherwise. Sequences never cross keys. ``chunk=None`` is for a
     table of more than a row per key and day. ``ahead`` (column and value) scores the rows of that kind alone;
-    of the others only those that their sequences need are cut into sequences at all.
+    of the others only those that their sequences need are cut into sequences at all. With ``category``, a column of
+    places, the model gets them beside the sequences.
     """
-    kind = ahead[0] if ahead else None
-    aligned = align_columns(table, features, on_missing, keep=[*keys, ts, *([kind] if kind else [])])
+    kind, carry = (ahead[0] if ahead else None), ([category] if category else [])
+    aligned = align_columns(table, features, on_missing, keep=[*keys, ts, *([kind] if kind else []), *carry])
     if ahead:
         aligned = _near(aligned, keys, ts, F.col(kind) == ahead[1], n, chunk)
     scaled = apply_scaler(aligned, scaler, features) if scaler is not None else aligned
-    cut = sequences(scaled, keys, ts, features, n, kind, chunk=chunk)
+    cut = sequences(scaled, keys, ts, features, n, kind, carry, chunk=chunk)
     if ahead:
         cut = cut.filter(F.col(kind) == ahead[1]).drop(kind)
-    scored = score(cut, make_model, (n, len(features)), out="predicted_discharge")
-    return scored.withColumn("flood_risk", risk_class("predicted_discharge", cuts)).drop("sequence")
+    scored = score(cut, make_model, (n, len(features)), out="predicted_discharge", category=category)
+    return scored.withColumn("flood_risk", risk_class("predicted_discharge", cuts)).drop("sequence", *carry)
 
 
 def _near(df: DataFrame, keys: Sequence[str], ts: str, wanted: Column, n: int, chunk: int | None) -> DataFrame:

@@ -37,16 +37,19 @@ def make_training_set(
     fit_on_train: bool = False,
     settled: bool = False,
     chunk: int | None = DAILY,
+    carry: Sequence[str] = (),
 ) -> TrainingSet:
     """Complete historical rows, scaled, cut into sequences per key and split by time.
 
     ``fit_on_train`` fits the scaler on the oldest share of each key only. Unless ``settled``
     (``table`` is stored already), the rows are written once: the scaler, the counts and the
-    sequences all read them. ``chunk=None`` is for a table of more than a row per key and day.
+    sequences all read them. ``chunk=None`` is for a table of more than a row per key and day. Columns to ``carry`` (such as
+    the place of a location's category) are put on each sequence as they are.
     """
     require_columns(table, [*keys, ts, target, *features, *([history[0]] if history else [])])
     rows = table.filter(F.col(history[0]) == history[1]) if history else table
-    rows = rows.select(*dict.fromkeys([*keys, ts, target, *features])).dropna()
+    needed = list(dict.fromkeys([*keys, ts, target, *features]))
+    rows = rows.select(*dict.fromkeys([*needed, *carry])).dropna(subset=needed)
     rows = rows if settled else settle(rows, "training")
     fit_rows = rows
     if fit_on_train:
@@ -54,7 +57,7 @@ def make_training_set(
     scaler = fit_scaler(fit_rows, features)
     # The label keeps its own scale, also where the target is one of the features.
     scaled = apply_scaler(rows.withColumn("__label", F.col(target)), scaler, features)
-    cut = sequences(scaled, keys, ts, features, n, "__label", chunk=chunk).withColumnRenamed("__label", target)
+    cut = sequences(scaled, keys, ts, features, n, "__label", carry, chunk=chunk).withColumnRenamed("__label", target)
     return TrainingSet(rows, chrono_split(cut, keys, ts, ratios, mode, rounding, chunk=chunk), scaler, sequence_counts(rows, keys, n))
 
 
