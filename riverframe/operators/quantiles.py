@@ -1,16 +1,22 @@
 """Exact quantiles with linear interpolation that survive one huge group.
 
-Spark's ``percentile`` keeps every distinct value of a group in one reducer. Here groups of more than
-``SMALL_GROUP`` values are narrowed first. Counts in parallel bins tell which bin holds the wanted ranks: at first
-bins of equal ratio (``PER_OCTAVE`` to every doubling), which an outlier of any size cannot widen, then, as long
-as a bin holds more than ``SMALL_GROUP`` values, ``BINS`` equal bins inside it. Values outside collapse to
-one stand-in per gap; equal values are counted in parallel; and ``percentile`` then sees only the counted
-values inside. Collapsing keeps the order and the row count, so the answer is the exact one. An answer outside its bin
-would be a stand-in; that raises instead.
+Spark's ``percentile`` keeps every distinct value of a group in one reducer. Groups of more than ``SMALL_GROUP`` values are
+narrowed by a mergeable sketch first: one pass makes a KLL sketch of every column and group, whose values a little below and above the
+wanted ranks bracket each quantile. In a second pass the values outside the brackets collapse to one stand-in per gap, equal values are
+counted in parallel, and ``percentile`` then sees only the counted values inside: ``SPREAD`` of the ranks at most for each
+quantile. Collapsing keeps the order and the row count, so the answer is the exact one. Two passes do for tens of millions of values
+a group; beyond that, what lies inside the brackets is counted and sketched again before it is gathered, and each such
+pass narrows it by the same factor. The input is never copied.
+
+A sketch may be wrong about its ranks, if with a probability that is not worth naming. The answer then lies outside its bracket, and
+the groups are counted in bins instead (``method="binned"``): bins of equal ratio (``PER_OCTAVE`` to every doubling), which an outlier of
+any size cannot widen, then, as long as a bin holds more than ``SMALL_GROUP`` values, ``BINS`` equal bins inside it. An answer
+outside its bin raises.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +31,13 @@ BINS = 65_536
 PER_OCTAVE = 64
 SMALL_GROUP = 50_000
 PASSES = 6
+#: Size of a sketch, and how far a bracket reaches from its rank to either side: three times the rank error of such a sketch at 99 %.
+SKETCH = 4000
+REACH = 3 * 2.296 / SKETCH**0.9723
+SPREAD = 2 * REACH
+#: Values that are gathered between the ends of one bracket.
+GATHERED = 100_000
+GRID = 512
 GROUP = "__group"
 
 
@@ -38,7 +51,7 @@ def quantiles_long(
 ) -> DataFrame:
     """One row per group and column: ``(by..., metric, q ARRAY<DOUBLE>)`` in the order of ``ps``.
 
-    ``method``: ``exact`` (binned), ``plain`` (Spark's percentile; for groups known to be
+    ``method``: ``exact`` (by sketches), ``binned`` (exact, without sketches), ``plain`` (Spark's percentile; for groups known to be
     small, such as the days of one station) or ``approx`` (sketch only).
     """
     ps = [float(p) for p in ps]
@@ -48,7 +61,9 @@ def quantiles_long(
         return _per_metric(known, cols, by, lambda c: F.percentile(c, wanted), "q")
     if method == "approx":
         return _per_metric(known, cols, by, lambda c: F.percentile_approx(c, wanted, accuracy), "q")
-    if method != "exact":
+    if method == "exact":
+        return _sketched(known, list(cols), list(by), ps)
+    if method != "binned":
         raise ValueError(f"unknown quantile method {method!r}")
     return _binned(known, list(cols), list(by), ps)
 
@@ -60,6 +75,93 @@ def _per_metric(known: DataFrame, cols: Sequence[str], by: Sequence[str], fn, ou
     return row.select(*by, F.explode(cells).alias("__cell")).select(*by, "__cell.*").filter(F.col(out).isNotNull())
 
 
+# -- by sketches ------------------------------------------------------------------
+
+
+def _sketched(known: DataFrame, cols: list[str], by: list[str], ps: list[float]) -> DataFrame:
+    order, values = sorted(set(ps)), [f"__{i}" for i in range(len(cols))]
+    sketch = lambda v: F.struct(F.count(v).alias("n"), F.kll_sketch_agg_double(v, F.lit(SKETCH)).alias("sketch")).alias(v)
+    wide = known.groupBy(*by).agg(*[sketch(v) for v in values])
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), f"{v}.*") for c, v in zip(cols, values, strict=True)])
+    sketches = wide.select(*by, F.explode(cells).alias("__cell")).select(*by, "__cell.*")
+    first = F.array(*[_bracket(i, *_first_ends(p)) for i, p in enumerate(order)])
+    big = F.when(F.col("n") > SMALL_GROUP, first)
+    # A small table; without groups it is a row per column, which stays at hand.
+    keep = (lambda df, name: settle(df, name)) if by else (lambda df, name: df.sparkSession.createDataFrame(df.collect(), df.schema))
+    sides = keep(sketches.select(_group(by), "n", big.alias("__sides"), (F.col("n") * F.lit(SPREAD)).alias("__inside")), "quantile-limits")
+    largest = sides.agg(F.max("n"), F.max("__inside")).first()
+    if (largest[0] or 0) <= SMALL_GROUP:
+        return _per_metric(known, cols, by, lambda c: F.percentile(c, F.array(*[F.lit(p) for p in ps])), "q")
+    long = _long(known, cols, by, [F.col(v) for v in values])
+    inside = largest[1]
+    for _ in range(PASSES):
+        if inside <= GATHERED:
+            break
+        sides = keep(_narrowed(long, sides, order), "quantile-limits")
+        inside = sides.agg(F.max("__inside")).first()[0]
+    sides = sides.filter(F.col("__sides").isNotNull()).select(GROUP, "__sides")
+    found = _from_sides(long, sides, by, ps, _inside_or_null) if by else _from_row(known, cols, sides, ps)
+    found = keep(found, "quantiles")
+    missed = found.filter(F.exists("q", lambda q: q.isNull()))
+    return found if missed.isEmpty() else _binned(known, cols, by, ps)
+
+
+def _long(known: DataFrame, cols: Sequence[str], by: Sequence[str], values: Sequence[Column]) -> DataFrame:
+    """One row per group, column and value."""
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), v.alias("value")) for c, v in zip(cols, values, strict=True)])
+    return known.select(*by, F.explode(cells).alias("__cell")).select(*by, "__cell.*").filter(F.col("value").isNotNull()).select(_group(by), "value")
+
+
+def _from_row(known: DataFrame, cols: Sequence[str], sides: DataFrame, ps: Sequence[float]) -> DataFrame:
+    """Without groups the brackets are a row per column: their ends become literals, and values collapse before they are laid out in rows."""
+    held = {r[GROUP]["metric"]: [F.lit(float(e)) for side in r["__sides"] for e in (side["lo"], side["hi"])] for r in sides.collect()}
+    values = [_collapse(F.col(f"__{i}"), held[c]) if c in held else F.col(f"__{i}") for i, c in enumerate(cols)]
+    values = [F.when(F.col(f"__{i}").isNotNull(), v) for i, v in enumerate(values)]
+    counted = _long(known, cols, [], values).groupBy(GROUP, "value").agg(F.count("*").alias("__n"))
+    picked = counted.groupBy(GROUP).agg(F.percentile("value", F.array(*[F.lit(p) for p in ps]), F.col("__n")).alias("q"))
+    return join_groups(picked, sides, [GROUP]).select(f"{GROUP}.*", _checked(ps, _sides_edge, _inside_or_null)).select("metric", "q")
+
+
+def _bracket(i: int, lo: Column, hi: Column) -> Column:
+    return F.struct(F.lit(i).alias("i"), lo.cast("double").alias("lo"), hi.cast("double").alias("hi"))
+
+
+def _first_ends(p: float) -> tuple[Column, Column]:
+    """The sketch's values a little below and above a rank."""
+    at = lambda share: F.kll_sketch_get_quantile_double(F.col("sketch"), F.lit(share))
+    return at(p - REACH) if p > REACH else F.lit(float("-inf")), at(p + REACH) if p + REACH < 1 else F.lit(float("inf"))
+
+
+def _narrowed(long: DataFrame, sides: DataFrame, order: Sequence[float]) -> DataFrame:
+    """The brackets, narrowed by exact counts below and on their ends and a sketch of what lies between."""
+    asked = sides.filter(F.col("__sides").isNotNull()).select(GROUP, "n", F.explode("__sides").alias("__side")).select(GROUP, "n", "__side.*")
+    x, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    between = F.when((x > lo) & (x < hi), x)
+    counted = long.join(asked, GROUP).groupBy(GROUP, "n", "i", "lo", "hi").agg(
+        F.count_if(x < lo).alias("below"), F.count_if(x == lo).alias("low"), F.count(between).alias("size"), F.kll_sketch_agg_double(between, F.lit(SKETCH)).alias("sketch")
+    )
+    rank = F.element_at(F.array(*[F.lit(p) for p in order]), F.col("i") + 1) * (F.col("n") - 1)
+    size = F.col("size")
+    first, last = (r - F.col("below") - F.col("low") for r in (F.floor(rank), F.ceil(rank)))
+    # Ranks must be constants: the values at a grid of them, of which the next one outside is taken.
+    grid = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(k / GRID) for k in range(GRID + 1)]))
+    at = lambda place: F.get(F.col("grid"), F.greatest(F.least(place, F.lit(GRID)), F.lit(0)).cast("int"))
+    counted = counted.withColumn("grid", F.when(F.col("size") > 0, grid))
+    down, up = F.try_divide(first, size) - REACH, F.try_divide(last + 1, size) + REACH
+    new_lo = F.when(first >= size, hi).when((first < 0) | (down <= 0), lo).otherwise(at(F.floor(down * GRID)))
+    new_hi = F.when(last < 0, lo).when((last >= size) | (up >= 1), hi).otherwise(at(F.ceil(up * GRID)))
+    side = F.struct(F.col("i"), new_lo.cast("double").alias("lo"), new_hi.cast("double").alias("hi"))
+    left = F.when(new_lo < new_hi, size * F.lit(SPREAD)).otherwise(F.lit(0.0))
+    return counted.select(GROUP, "n", side.alias("side"), left.alias("left")).groupBy(GROUP, "n").agg(F.array_sort(F.collect_list("side")).alias("__sides"), F.max("left").alias("__inside"))
+
+
+def _inside_or_null(answer: Column, low: Column, high: Column) -> Column:
+    return F.when((answer >= low) & (answer <= high), answer)
+
+
+# -- by bins -----------------------------------------------------------------------
+
+
 def _binned(known: DataFrame, cols: list[str], by: list[str], ps: list[float]) -> DataFrame:
     """The sizes are counted in one pass. Where all groups are small that is all; otherwise the columns are
     written once, and every further pass reads them from there."""
@@ -70,9 +172,7 @@ def _binned(known: DataFrame, cols: list[str], by: list[str], ps: list[float]) -
     if big.isEmpty():
         return _per_metric(known, cols, by, lambda c: F.percentile(c, F.array(*[F.lit(p) for p in ps])), "q")
     stored = settle(known, "quantile-values")
-    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"__{i}").alias("value")) for i, c in enumerate(cols)])
-    long = stored.select(*by, F.explode(cells).alias("__cell")).select(*by, "__cell.*").filter(F.col("value").isNotNull())
-    return _counted_inside(long.select(_group(by), "value"), big, by, ps)
+    return _counted_inside(_long(stored, cols, by, [F.col(f"__{i}") for i in range(len(cols))]), big, by, ps)
 
 
 def _group(by: Sequence[str]) -> Column:
@@ -81,17 +181,31 @@ def _group(by: Sequence[str]) -> Column:
 
 
 def _counted_inside(long: DataFrame, big: DataFrame, by: list[str], ps: list[float]) -> DataFrame:
-    order = sorted(ps)
-    sides = brackets(long, big, order).groupBy(GROUP).agg(F.array_sort(F.collect_list(F.struct("i", "lo", "hi"))).alias("__sides"))
-    placed = join_groups(long, sides, [GROUP], measured=True)
-    # A group without brackets is small and is counted whole.
-    open_end = lambda k, side, end: F.coalesce(F.col("__sides")[k][side], F.lit(float(end)))
-    edges = [e for k in range(len(order)) for e in (open_end(k, "lo", "-inf"), open_end(k, "hi", "inf"))]
-    counted = placed.groupBy(GROUP, _collapse(F.col("value"), edges).alias("value")).agg(F.count("*").alias("__n"), F.first("__sides").alias("__sides"))
-    picked = counted.groupBy(GROUP).agg(F.percentile("value", F.array(*[F.lit(p) for p in ps]), F.col("__n")).alias("q"), F.first("__sides").alias("__sides"))
-    rank = {p: i for i, p in enumerate(order)}
-    checked = [_check(F.col("q")[i], edges[2 * rank[p]], edges[2 * rank[p] + 1]) for i, p in enumerate(ps)]
-    return picked.select(f"{GROUP}.*", F.array(*checked).alias("q")).select(*by, "metric", "q")
+    sides = brackets(long, big, sorted(ps)).groupBy(GROUP).agg(F.array_sort(F.collect_list(F.struct("i", "lo", "hi"))).alias("__sides"))
+    return _from_sides(long, settle(sides, "groups"), by, ps, _check)
+
+
+def _sides_edge(k: int, side: str) -> Column:
+    """An end of the k-th bracket; a group without brackets is small, and its ends are open."""
+    return F.coalesce(F.col("__sides")[k][side], F.lit(float("-inf" if side == "lo" else "inf")))
+
+
+def _checked(ps: Sequence[float], edge, checked) -> Column:
+    place = {p: i for i, p in enumerate(sorted(set(ps)))}
+    return F.array(*[checked(F.col("q")[i], edge(place[p], "lo"), edge(place[p], "hi")) for i, p in enumerate(ps)]).alias("q")
+
+
+def _from_sides(long: DataFrame, sides: DataFrame, by: Sequence[str], ps: Sequence[float], checked) -> DataFrame:
+    """Quantiles from the values inside the brackets of each group; a group without brackets is counted whole."""
+    spots = [(k, side) for k in range(len(set(ps))) for side in ("lo", "hi")]
+    # The ends travel as plain columns: reading them out of an array for every row would cost more than all the rest.
+    flat = sides.select(GROUP, *[F.col("__sides")[k][side].alias(f"__{side}_{k}") for k, side in spots])
+    edge = lambda k, side: F.coalesce(F.col(f"__{side}_{k}"), F.lit(float("-inf" if side == "lo" else "inf")))
+    edges = [edge(k, side) for k, side in spots]
+    ends = [F.first(f"__{side}_{k}").alias(f"__{side}_{k}") for k, side in spots]
+    counted = join_groups(long, flat, [GROUP]).groupBy(GROUP, _collapse(F.col("value"), edges).alias("value")).agg(F.count("*").alias("__n"), *ends)
+    picked = counted.groupBy(GROUP).agg(F.percentile("value", F.array(*[F.lit(p) for p in ps]), F.col("__n")).alias("q"), *ends)
+    return picked.select(f"{GROUP}.*", _checked(ps, edge, checked)).select(*by, "metric", "q")
 
 
 def brackets(long: DataFrame, big: DataFrame, ps: Sequence[float]) -> DataFrame:
@@ -100,7 +214,7 @@ def brackets(long: DataFrame, big: DataFrame, ps: Sequence[float]) -> DataFrame:
     ``below`` counts the values under ``lo``, ``inside`` those from ``lo`` to ``hi``.
     """
     v = F.col("value")
-    ratio = F.floor(F.log2(F.abs(v)) * PER_OCTAVE) + 1100 * PER_OCTAVE  # positive for every double; rises with its size
+    ratio = F.floor(F.log2(F.least(F.abs(v), F.lit(sys.float_info.max))) * PER_OCTAVE) + 1100 * PER_OCTAVE  # positive for every double; rises with its size
     octave = F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * ratio)
     asked = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(ps)]))
     bins = join_groups(long, big, [GROUP], measured=True).filter(F.col("n").isNotNull()).groupBy(GROUP, "n", octave.alias("__bin"))

@@ -34,6 +34,76 @@ def test_binned_quantiles_are_exact(spark, monkeypatch, seed):
     np.testing.assert_allclose(whole, np.quantile(x, ps), rtol=1e-12)
 
 
+def skewed(spark, seed, n=20_000):
+    """A third of the values is one number; infinities, missing values, a group without a name and one without values."""
+    rng = np.random.default_rng(seed)
+    x = np.where(rng.random(n) < 0.33, 5.0, np.round(rng.lognormal(1, 2, n), 3))
+    x[:5], x[5:9] = np.inf, -np.inf
+    key = rng.choice(["hot", "cold", None], n, p=[0.8, 0.15, 0.05])
+    rows = [(k, float(v), float(i)) for i, (k, v) in enumerate(zip(key, x))] + [("none", None, None), ("hot", float("nan"), None)]
+    return spark.createDataFrame(rows, "k string, x double, y double").repartition(7), x, key
+
+
+def quantiles_of(x, ps):
+    """Linear interpolation, without the difference of two infinities."""
+    x, out = np.sort(x), []
+    for p in ps:
+        r = p * (len(x) - 1)
+        a, b = x[int(np.floor(r))], x[int(np.ceil(r))]
+        out.append(a if a == b else (np.ceil(r) - r) * a + (r - np.floor(r)) * b)
+    return out
+
+
+@pytest.mark.parametrize("method", ["exact", "binned"])
+@pytest.mark.parametrize("gathered", [100_000, 150])
+def test_quantiles_by_sketches_are_exact(spark, monkeypatch, gathered, method):
+    """Also where what lies between the ends is sketched again and again."""
+    monkeypatch.setattr(Q, "SMALL_GROUP", 100)
+    monkeypatch.setattr(Q, "GATHERED", gathered)
+    monkeypatch.setattr(Q, "SKETCH", 200)
+    monkeypatch.setattr(Q, "REACH", 0.05)
+    monkeypatch.setattr(Q, "SPREAD", 0.1)
+    df, x, key = skewed(spark, 1)
+    ps = [0.99, 0.5, 0.05, 0.951, 0.0, 1.0, 0.3, 0.4]
+    got = {(r["k"], r["metric"]): r["q"] for r in Q.quantiles_long(df, ["x", "y"], ps, ["k"], method).collect()}
+    assert set(got) == {(k, m) for k in ("hot", "cold", None) for m in "xy"}
+    for k in ("hot", "cold", None):
+        mine = np.array([v is None if k is None else v == k for v in key])
+        np.testing.assert_allclose(got[k, "x"], quantiles_of(x[mine], ps), rtol=1e-12)
+        np.testing.assert_allclose(got[k, "y"], np.quantile(np.flatnonzero(mine), ps), rtol=1e-12)
+    whole = {r["metric"]: r["q"] for r in Q.quantiles_long(df, ["x", "y"], ps, method=method).collect()}
+    np.testing.assert_allclose(whole["x"], quantiles_of(x, ps), rtol=1e-12)
+    np.testing.assert_allclose(whole["y"], np.quantile(np.arange(len(x)), ps), rtol=1e-12)
+
+
+def test_a_wrong_sketch_is_found_out(spark, monkeypatch):
+    """Brackets that do not reach the rank: the counts show it and the bins answer."""
+    monkeypatch.setattr(Q, "SMALL_GROUP", 100)
+    monkeypatch.setattr(Q, "REACH", -0.05)
+    monkeypatch.setattr(Q, "SPREAD", 0.0)
+    asked = []
+    binned = Q._binned
+    monkeypatch.setattr(Q, "_binned", lambda *a: (asked.append(1), binned(*a))[1])
+    df, x, _ = skewed(spark, 2)
+    np.testing.assert_allclose(Q.quantiles_long(df, ["x"], [0.6, 0.9]).first()["q"], np.quantile(x, [0.6, 0.9]), rtol=1e-12)
+    assert asked == [1]
+
+
+def test_quantiles_read_their_input_twice(spark, monkeypatch):
+    monkeypatch.setattr(Q, "SMALL_GROUP", 100)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df, x, _ = skewed(spark, 3)
+    counted = df.mapInArrow(count, df.schema)
+    found = Q.quantiles_long(counted, ["x", "y"], [0.25, 0.5, 0.75], ["k"]).collect()
+    assert len(found) == 6 and read.value == 2 * df.count()
+
+
 def test_a_wrong_bracket_raises(spark):
     df = spark.range(1).select(F.lit(3.0).alias("v"))
     assert df.select(Q._check(F.col("v"), F.lit(1.0), F.lit(3.0))).first()[0] == 3.0
