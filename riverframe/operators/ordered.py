@@ -168,23 +168,38 @@ def add_rows(
     ``chunk=None`` picks an ordinary window where the largest key has at most ``hot_rows`` rows, and
     chunks otherwise; 0 (``DAILY``) forces the window, a number chunks of that many rows.
     """
+    back = max(e.back for e in exprs.values())
+    rows, by, order = chunked(df, keys, ts, back, chunk, tiebreak, width, hot_rows)
+    spec = Window.partitionBy(*by).orderBy(*order)
+    out = rows.withColumns({name: e.build(spec) for name, e in exprs.items()})
+    return out if by == list(keys) else out.filter(~F.coalesce("__copy", F.lit(False))).drop("__pos", "__chunk", "__copy")
+
+
+def chunked(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    back: int,
+    chunk: int | None = None,
+    tiebreak: Sequence[str] = (),
+    width: int | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> tuple[DataFrame, list[str], list[str]]:
+    """Rows to be windowed, with the columns to partition and to order by.
+
+    Of keys that one task can sort that is the table itself. Otherwise every key is cut into chunks; the last ``back`` rows of a
+    chunk are in the next one as well, marked by ``__copy``.
+    """
     size = use_chunks(df, keys, ts, chunk, hot_rows)
     if not size:
-        spec = Window.partitionBy(*keys).orderBy(ts, *tiebreak)
-        return df.withColumns({name: e.build(spec) for name, e in exprs.items()})
-    back = max(e.back for e in exprs.values())
+        return df, list(keys), [ts, *tiebreak]
     size = max(size, back, 1)
     placed = positions(df, keys, ts, "__pos", None, tiebreak, width, hot_rows, size)
     home = F.floor((F.col("__pos") - 1) / size)
     in_chunk = (F.col("__pos") - 1) % size
     cells = F.when(in_chunk >= size - back, F.array(home, home + 1)).otherwise(F.array(home))
     copied = placed.withColumn("__chunk", F.explode(cells)).withColumn("__copy", F.col("__chunk") != home)
-    spec = Window.partitionBy(*keys, "__chunk").orderBy("__pos")
-    return (
-        copied.withColumns({name: e.build(spec) for name, e in exprs.items()})
-        .filter(~F.coalesce("__copy", F.lit(False)))
-        .drop("__pos", "__chunk", "__copy")
-    )
+    return copied, [*keys, "__chunk"], ["__pos"]
 
 
 def ranges_of(counts: DataFrame, key: str, n: str) -> tuple[DataFrame, int]:

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverframe.functions.columns import RISK_CUTS, risk_class
+from riverframe.operators.blocks import score_rows
 from riverframe.operators.models import score
 from riverframe.operators.ordered import DAILY, add_rows
 from riverframe.operators.resample import resample
 from riverframe.operators.scaling import apply_scaler
 from riverframe.operators.select import align_columns
-from riverframe.operators.sequences import eligible, horizon_windows, sequences
+from riverframe.operators.sequences import eligible, horizon_windows
 from riverframe.operators.windows import lag_of, rolling_of
 
 KEY, DAY = "location", "date"
@@ -46,20 +47,19 @@ def score_forecast(
 
     ``table`` should come from the same feature function as the training table; a feature it
     lacks is an error unless ``on_missing`` says otherwise. Sequences never cross keys. ``chunk=None`` is for a
-    table of more than a row per key and day. ``ahead`` (column and value) scores the rows of that kind alone;
-    of the others only those that their sequences need are cut into sequences at all. With ``category``, a column of
+    table of more than a row per key and day. Rows go to the model's workers once, which cut the sequences there. ``ahead``
+    (column and value) scores the rows of that kind alone; of the others only those that their sequences need are sent. With ``category``, a column of
     places, the model gets them beside the sequences.
     """
-    kind, carry = (ahead[0] if ahead else None), ([category] if category else [])
-    aligned = align_columns(table, features, on_missing, keep=[*keys, ts, *([kind] if kind else []), *carry])
+    kind = ahead[0] if ahead else None
+    kept = [*keys, ts, *([kind] if kind else []), *([category] if category else [])]
+    aligned = align_columns(table, features, on_missing, keep=kept)
+    wanted = F.col(kind) == ahead[1] if ahead else None
     if ahead:
-        aligned = _near(aligned, keys, ts, F.col(kind) == ahead[1], n, chunk)
+        aligned = _near(aligned, keys, ts, wanted, n, chunk)
     scaled = apply_scaler(aligned, scaler, features) if scaler is not None else aligned
-    cut = sequences(scaled, keys, ts, features, n, kind, carry, chunk=chunk)
-    if ahead:
-        cut = cut.filter(F.col(kind) == ahead[1]).drop(kind)
-    scored = score(cut, make_model, (n, len(features)), out="predicted_discharge", category=category)
-    return scored.withColumn("flood_risk", risk_class("predicted_discharge", cuts)).drop("sequence", *carry)
+    scored = score_rows(scaled, keys, ts, features, n, make_model, "predicted_discharge", wanted, category, chunk=chunk)
+    return scored.withColumn("flood_risk", risk_class("predicted_discharge", cuts))
 
 
 def _near(df: DataFrame, keys: Sequence[str], ts: str, wanted: Column, n: int, chunk: int | None) -> DataFrame:
