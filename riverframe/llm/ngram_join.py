@@ -49,14 +49,15 @@ from riverframe.operators.settle import settle
 
 N = 5
 PERCENT = 75
-FREQUENT = 4  # a shingle of that many sets of one batch may be frequent
+FREQUENT = 3  # a shingle of that many sets of one run of rows may be frequent
+SURVEYED = 1 << 20  # shingles that are counted together
 FREQUENT_KEPT = 500_000  # how many of the most frequent ones are told to the tasks; ordering only
-PER_BUCKET = 1_500_000  # signatures of one bucket
+PER_BUCKET = 300_000  # signatures of one bucket
 PER_HUB = 500  # verifications of one class in one task
 EXTRA = 5  # signatures beyond the first that linked sets must share
 SMALL = 16  # groups up to this size are verified pair by pair, larger ones in blocks
 ASKED, HELD = 256, 1024  # rows of a block
-PACKED = 8 << 20  # bytes of text whose signatures are packed together
+PACKED = 4 << 20  # bytes of text whose signatures are packed together
 COMPARED = 1000  # texts unpacked at a time
 
 _SEED = np.uint64(0xD6E8FEB86659FD93)
@@ -197,10 +198,11 @@ def _by_parts(sets: Sets, frequent: Frequent, limit: int = 400_000) -> tuple[np.
 
 
 def _survey(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """A row per document (kind 0: id, size, digests) and per shingle frequent in a batch (kind 1)."""
+    """A row per document (kind 0: id, size, digests) and per shingle frequent in a run of rows (kind 1)."""
+    seen, codes, held = set(), [], 0
     for batch in batches:
-        seen, codes, at = set(), [np.zeros(0, np.uint64)], 0
-        for part in row_slices(batch.column("text")):
+        at = 0
+        for part in row_slices(batch.column("text"), SURVEYED):
             sets = _shingle_sets(part, n)
             one, two = digests(sets)
             rows = len(one)
@@ -209,12 +211,23 @@ def _survey(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
             fresh = [i for i in np.unique(one, return_index=True)[1].tolist() if int(one[i]) not in seen]
             seen.update(one[fresh].tolist())
             codes.append(sets.pick(np.array(fresh, np.int64)).code)
-        code = np.concatenate(codes)
-        code.sort()
-        often = np.unique(code[FREQUENT - 1 :][code[FREQUENT - 1 :] == code[: len(code) - FREQUENT + 1]]) if len(code) >= FREQUENT else code[:0]
-        count = np.searchsorted(code, often, side="right") - np.searchsorted(code, often)
-        zero = pa.array(np.zeros(len(often), np.int64))
-        yield pa.record_batch({"kind": pa.array(np.ones(len(often), np.int8)), "id": pa.array(often.view(np.int64)), "size": pa.array(count.astype(np.int64)), "one": zero, "two": zero})
+            held += len(codes[-1])
+            if held > SURVEYED:
+                yield _often(codes)
+                seen, codes, held = set(), [], 0
+    if held:
+        yield _often(codes)
+
+
+def _often(codes: list[np.ndarray]) -> pa.RecordBatch:
+    """The shingles that at least ``FREQUENT`` of the sets have, with their counts."""
+    code = np.concatenate(codes)
+    codes.clear()
+    code.sort()
+    often = np.unique(code[FREQUENT - 1 :][code[FREQUENT - 1 :] == code[: len(code) - FREQUENT + 1]]) if len(code) >= FREQUENT else code[:0]
+    count = np.searchsorted(code, often, side="right") - np.searchsorted(code, often)
+    zero = pa.array(np.zeros(len(often), np.int64))
+    return pa.record_batch({"kind": pa.array(np.ones(len(often), np.int8)), "id": pa.array(often.view(np.int64)), "size": pa.array(count.astype(np.int64)), "one": zero, "two": zero})
 
 
 def _packed(batches: Iterator[pa.RecordBatch], n: int, frequent: Frequent, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -250,12 +263,8 @@ def _groups(bucket: pa.Table) -> pa.Table:
         member.append(np.frombuffer(sets, np.int64)[place])
         need.append(np.frombuffer(needs, np.uint8)[place])
     sign, member, need = np.concatenate(sign), np.concatenate(member), np.concatenate(need)
-    order = np.argsort(sign, kind="stable")
-    sign, member, need = sign[order], member[order], need[order]
-    same = sign[1:] == sign[:-1]
-    shared = np.zeros(len(sign), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
+    ordered = np.sort(sign)
+    shared = np.isin(sign, np.unique(ordered[1:][ordered[1:] == ordered[:-1]]))
     sign, member, need = sign[shared], member[shared], need[shared]
     order = np.lexsort((member, sign))
     sign, member, need = sign[order], member[order], need[order]
@@ -414,11 +423,13 @@ def components(docs: DataFrame, n: int = N) -> DataFrame:
     code, order = np.unique(often.column("id").to_numpy().astype(np.int64).view(np.uint64), return_index=True)
     level = 1 + np.log2(np.maximum(often.column("n").to_numpy()[order], 1)).astype(np.int64)
     frequent = spark.sparkContext.broadcast(Frequent(code, level))
+    del often
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(64, total // 2 // PER_BUCKET)
     packed = source.where("doc_id is not null").mapInArrow(lambda b: _packed(b, n, frequent.value, buckets), "bucket long, sets binary, need binary, sign binary, place binary")
     groups = packed.groupBy("bucket").applyInArrow(_groups, "gid long, one long, need int, k long").groupBy("gid", "one").agg(F.min("need").alias("need"), F.sum("k").alias("k"))
     members = settle(groups.join(classes.select("one", "node", F.col("n_shingles").alias("m")), "one").select("gid", "node", "m", "need", "k"), "shingle-groups")
+    frequent.destroy()
     members = settle(_with_hubs(members), "shingle-groups")
     shared = members.where("node <> hub").groupBy("node", "hub").agg(F.sum("k").alias("n"), F.min("need").alias("need")).where("n >= need")
     nearest = settle(shared.groupBy("node").agg(F.min_by("hub", F.struct(-F.col("n"), F.col("hub"))).alias("hub")), "shingle-pairs")
