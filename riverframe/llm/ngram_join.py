@@ -217,6 +217,7 @@ def _survey(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
                 seen, codes, held = set(), [], 0
     if held:
         yield _often(codes)
+    pa.default_memory_pool().release_unused()  # the worker lives on and takes other tasks
 
 
 def _often(codes: list[np.ndarray]) -> pa.RecordBatch:
@@ -252,6 +253,7 @@ def _packed(batches: Iterator[pa.RecordBatch], n: int, frequent: Frequent, bucke
                 out["sign"].append(sign[a:b].astype(np.uint32).tobytes())
                 out["place"].append(place.astype(np.uint16).tobytes())
             yield pa.record_batch([pa.array(out["bucket"], pa.int64()), *(pa.array(out[c], pa.binary()) for c in ("sets", "need", "sign", "place"))], names=list(out))
+    pa.default_memory_pool().release_unused()
 
 
 def _groups(bucket: pa.Table) -> pa.Table:
@@ -321,6 +323,7 @@ def _compare(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
                             a.append(node), b.append(h)
                             break
             yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    pa.default_memory_pool().release_unused()
 
 
 def verify(pairs: DataFrame, texts: DataFrame, n: int = N) -> DataFrame:
