@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverframe.operators.scaling import STATS_SCHEMA
@@ -33,8 +33,9 @@ def write_table(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     mode: str = "overwrite",
+    dynamic: bool = False,
 ) -> None:
-    """Write with one directory per partition value.
+    """Write with one directory per partition value; ``dynamic`` replaces only the directories that ``df`` has rows for.
 
     The rebalance hint gathers each value into few files, yet lets AQE split a value that is far
     larger than the others, so one hot location is not written by one task.
@@ -47,6 +48,8 @@ def write_table(
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
@@ -81,7 +84,40 @@ def load_stats(spark: SparkSession, path: str, expect: Sequence[str] | None = No
     return stats
 
 
+METRICS = "Model string, Accuracy double, Precision double, Recall double, `F1-Score` double"
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """A model comparison as :func:`write_metrics` wrote it."""
+    return read_table(spark, path, METRICS)
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
     """Model comparison, one row per model."""
     require_columns(df, ["Model", "Accuracy", "Precision", "Recall", "F1-Score"])
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def order_report(spark: SparkSession, path: str, sort_by: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """One row per file of a Parquet table: its directory's values, name, rows, first and last key, and whether its rows, as they
+    lie in the file, are sorted by ``sort_by``. A file is looked at by one task, as it was written by one."""
+    key = F.struct(*sort_by)
+    rows = spark.read.parquet(path).select(*partition_by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("__at"), key.alias("__key"))
+    before = F.lag("__key").over(Window.partitionBy(*partition_by, "file").orderBy("__at"))
+    return (
+        rows.withColumn("__ok", F.coalesce(before <= F.col("__key"), F.lit(True)))
+        .groupBy(*partition_by, "file")
+        .agg(F.count("*").alias("n_rows"), F.min_by("__key", "__at").alias("first"), F.max_by("__key", "__at").alias("last"), F.every("__ok").alias("sorted"))
+    )
+
+
+def order_summary(report: DataFrame, sort_by: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """One row per directory (or one in all) of an order report: rows, first and last key, whether every file is sorted, and whether
+    the files in the order of their names follow one another without overlap."""
+    by_name = (Window.partitionBy(*partition_by) if partition_by else Window.partitionBy(F.lit(0))).orderBy("file")
+    apart = F.coalesce(F.lag("last").over(by_name) <= F.col("first"), F.lit(True))
+    held = report.withColumn("__apart", apart).groupBy(*partition_by).agg(
+        F.sum("n_rows").alias("n_rows"), F.min("first").alias("__first"), F.max("last").alias("__last"), F.every("sorted").alias("sorted"), F.every("__apart").alias("apart")
+    )
+    ends = [F.col(f"__{side}")[c].alias(f"{side}_{c}") for side in ("first", "last") for c in sort_by]
+    return held.select(*partition_by, "n_rows", *ends, "sorted", "apart")
