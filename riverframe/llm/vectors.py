@@ -88,11 +88,16 @@ def fit(x: np.ndarray, lists: int) -> Quantiser:
     return Quantiser(c, [_kmeans(rest[:, a:b], CODES) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], cuts)
 
 
-def _unit(column: pa.Array, dim: int, kind: str) -> np.ndarray:
-    x = np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.float64).reshape(-1, dim)
+def _normal(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; by their largest component first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(1)[:, None]
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+def _unit(column: pa.Array, dim: int, kind: str) -> np.ndarray:
+    return _normal(np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.float64).reshape(-1, dim))
+
+
 def _radius(threshold: float) -> float:
     return float(np.sqrt(max(0.0, 2 - 2 * threshold)))
 
@@ -107,7 +112,7 @@ def _entries(batches, models: dict[int, Quantiser], threshold: float, margin: fl
             model, rows = models[int(dim)], np.flatnonzero(dims == dim)
             flat = raw.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             x = flat.reshape(-1, dim)
-            unit = x / np.linalg.norm(x, axis=1)[:, None]
+            unit = _normal(x)
             apart = np.sqrt(_distances(model.centroids, model.centroids))
             for a in range(0, len(rows), 4096):
                 part, mine = unit[a : a + 4096], rows[a : a + 4096]
@@ -171,7 +176,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
     element = vectors.schema["embedding"].dataType.elementType.simpleString()
     kind = "<f4" if element == "float" else "<f8"  # what a component travels as; the arithmetic is double
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
-    finite = "vec_id is not null and label is not null and embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < 1e150) and exists(embedding, x -> abs(x) > 1e-150)"
+    finite = "vec_id is not null and label is not null and embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(embedding, x -> x <> 0)"
     digest = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(7), "embedding").alias("h2"), F.size("embedding").alias("dim")]
     keys = ["label", "dim", "h1", "h2"]
     good = rows.where(F.expr(finite)).select("vec_id", "embedding", "label", *digest)
@@ -181,7 +186,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
     for dim, n in sizes.items():
         sample = classes.where(F.col("dim") == dim).where(hash_share("h1") < min(1.0, SAMPLE / len(sizes) / n)).select("embedding").orderBy("embedding").limit(2 * SAMPLE).toArrow()
         x = np.array(sample.column("embedding").to_pylist() or [[1.0] * dim], np.float64)
-        models[dim] = fit(x / np.linalg.norm(x, axis=1)[:, None], int(min(MAX_LISTS, max(1, n // PER_LIST))))
+        models[dim] = fit(_normal(x), int(min(MAX_LISTS, max(1, n // PER_LIST))))
     shared = spark.sparkContext.broadcast(models)
     entries = classes.select("label", "dim", "node", "n", "embedding").mapInArrow(
         lambda b: _entries(b, shared.value, threshold, margin, kind), "kind int, label string, dim int, list int, node long, n long, vector binary, codes binary, error double"
