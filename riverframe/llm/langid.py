@@ -7,8 +7,13 @@ by stochastic gradient descent in numpy on a bounded sample of labelled texts: `
 every language, chosen by hash of the id, each as a whole text and as one short passage; beyond
 ``FULL_LANGS`` languages fewer of each, ``LEAST`` at least, so that no language is left out. Executors turn the sample into sparse bucket counts; only those reach the driver.
 
-Calibration: a fifth of the sample is kept out of the descent; on it one temperature is fitted to the
-log-likelihood, and the rejection level is the ``REJECT_SHARE`` quantile of the whole texts' scores, so that a text of a known language is rejected with about that probability.
+Calibration: a fifth of the sample, whole texts and passages, is kept out of the descent. On it one temperature is fitted to the
+log-likelihood of smoothed targets (of n right answers, 1 in n + 2 is taken to be wrong, so that separable languages do not make it
+infinitely sure). Two tests reject a text: its best score, in log-odds, is lower than those of known languages; or more of its
+subwords were never met in training, and its score is nearer to a guess than to certainty (new words alone do not make a text foreign). Each has a level that a text of a known language passes with a probability of at most
+``REJECT_SHARE`` / 2. That is far out in the tail of a few hundred texts, so it is not read off the lowest one: beyond the outer ``TAIL``
+of the values the excess is taken to fall off exponentially. Short texts say little about new subwords: their share is
+drawn towards the usual one by ``PRIOR`` subwords.
 
 Scoring multiplies the embedding table by the softmax weights once, so that a subword costs one look-up
 per language, and reads whole texts as bytes of Arrow batches in pieces of bounded size.
@@ -41,6 +46,9 @@ FULL_LANGS = 200
 LEAST = 20
 PASSAGE = 60
 REJECT_SHARE = 0.001
+TAIL = 0.1
+PRIOR = 60
+LEAST_NEW = 0.02  # fewer new subwords reject nothing
 UNKNOWN = "und"
 
 _LETTER = np.full(256, 32, np.uint8)
@@ -55,6 +63,9 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
     reject_below: float
+    unseen: np.ndarray | None = None  # 1 for a bucket that no training text has
+    usual: float = 0.0  # share of such subwords in a known language
+    unseen_above: float = 1.0
 
 
 def _padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,10 +106,10 @@ def _letters(column: pa.Array, padded: np.ndarray, moved: np.ndarray) -> np.ndar
     return has
 
 
-def _logits(model: LanguageModel, padded: np.ndarray, moved: np.ndarray) -> np.ndarray:
-    """Mean weight of each row's subwords for every language, bias included."""
+def _logits(model: LanguageModel, padded: np.ndarray, moved: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean weight of each row's subwords for every language, bias included; and the share of subwords that are new."""
     rows, k = len(moved) - 1, len(model.langs)
-    total, count = np.zeros((rows, k)), np.zeros(rows)
+    total, count, new = np.zeros((rows, k)), np.zeros(rows), np.zeros(rows)
     for lo in range(0, int(moved[-1]), PIECE):
         hi = min(lo + PIECE, int(moved[-1]))
         a, b = np.searchsorted(moved, lo, side="right") - 1, np.searchsorted(moved, hi, side="left")
@@ -111,7 +122,14 @@ def _logits(model: LanguageModel, padded: np.ndarray, moved: np.ndarray) -> np.n
                 continue
             for j in range(k):
                 total[a + full, j] += np.add.reduceat(model.weights[j][bucket], cut[full], dtype=np.float64)
-    return total / np.maximum(count, 1)[:, None] + model.bias
+            if model.unseen is not None:
+                new[a + full] += np.add.reduceat(model.unseen[bucket], cut[full], dtype=np.float64)
+    return total / np.maximum(count, 1)[:, None] + model.bias, _drawn(new, count, model.usual)
+
+
+def _drawn(new: np.ndarray, count: np.ndarray, usual: float) -> np.ndarray:
+    """Share of new subwords, drawn towards the usual one where there are few."""
+    return (new + PRIOR * usual) / (count + PRIOR)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -121,18 +139,26 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def predict(model: LanguageModel, column: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and calibrated score of every text of a column."""
+    return judge(model, column)[:2]
+
+
+def judge(model: LanguageModel, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, calibrated score and rejection of every text of a column."""
     n = len(column)
     if not n or not model.langs:
-        return [UNKNOWN] * n, np.zeros(n)
-    langs, scores = [], []
+        return [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
+    langs, scores, rejected = [], [], []
     for part in row_slices(column.fill_null("")):
         padded, moved = _padded(part)
         has = _letters(part, padded, moved)
-        p = _softmax(_logits(model, padded, moved) / model.temperature)
+        z, new = _logits(model, padded, moved)
+        p = _softmax(z / model.temperature)
         best = p.argmax(axis=1)
         langs += [model.langs[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)]
         scores.append(np.where(has, p[np.arange(len(part)), best], 0.0))
-    return langs, np.concatenate(scores)
+        unsure = scores[-1] < (1 + 1 / len(model.langs)) / 2  # nearer to a guess than to certainty
+        rejected.append(~has | (scores[-1] < model.reject_below) | ((new > model.unseen_above) & (unsure | (len(model.langs) == 1))))
+    return langs, np.concatenate(scores), np.concatenate(rejected)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,12 +231,42 @@ def fit(lang: list[str], whole: list[bool], ids: list[np.ndarray], counts: list[
     weights = (table @ out).T
     z = np.array([weights[:, at] @ (n / n.sum()) + bias for _, _, at, n in check])
     y = np.array([s[0] for s in check])
-    grid = np.geomspace(0.25, 10, 60)
-    loss = [-np.log(_softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
-    temperature = float(grid[int(np.argmin(loss))])
-    top = _softmax(z / temperature).max(axis=1)[[s[1] for s in check]]
-    level = float(np.quantile(top, REJECT_SHARE)) if len(top) else 0.5
-    return LanguageModel(langs, np.ascontiguousarray(weights, np.float32), bias, temperature, level)
+    temperature = _temperature(z, y)
+    unseen = np.ones(BUCKETS, np.float32)
+    for _, _, at, _ in learn:
+        unseen[at] = 0
+    count = np.array([n.sum() for _, _, _, n in check])
+    new = np.array([n[unseen[at] > 0].sum() for _, _, at, n in check])
+    usual = float(new.sum() / count.sum())
+    odds = _log_odds(_softmax(z / temperature).max(axis=1))
+    low = -_beyond(-odds, REJECT_SHARE / 2)
+    high = max(LEAST_NEW, _beyond(_drawn(new, count, usual), REJECT_SHARE / 2))
+    return LanguageModel(langs, np.ascontiguousarray(weights, np.float32), bias, temperature, float(1 / (1 + np.exp(-low))), unseen, usual, high)
+
+
+def _temperature(z: np.ndarray, y: np.ndarray) -> float:
+    """The temperature of the highest likelihood of smoothed targets."""
+    k, wrong = z.shape[1], 1.0 / (len(y) + 2)
+    if k == 1:
+        return 1.0
+    target = np.full(z.shape, wrong / (k - 1))
+    target[np.arange(len(y)), y] = 1 - wrong
+    grid = np.geomspace(0.01, 10, 140)
+    return float(grid[int(np.argmin([-(target * np.log(_softmax(z / t) + 1e-300)).sum() for t in grid]))])
+
+
+def _log_odds(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-15, 1 - 1e-15)
+    return np.log(p / (1 - p))
+
+
+def _beyond(values: np.ndarray, share: float) -> float:
+    """The value that ``share`` of such values exceeds: past the outer ``TAIL`` of those seen the excess falls off exponentially."""
+    edge = float(np.quantile(values, 1 - TAIL))
+    excess = values[values > edge] - edge
+    # The mean of a few excesses is uncertain itself: two standard errors more.
+    mean = float(excess.mean() * (1 + 2 / np.sqrt(len(excess)))) if len(excess) else 0.0
+    return edge + mean * float(np.log(TAIL / share))
 
 
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -219,9 +275,8 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = predict(shared.value, batch.column("text"))
-            rejected = [a == UNKNOWN or b < shared.value.reject_below for a, b in zip(langs, scores, strict=True)]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64()), "rejected": pa.array(rejected, pa.bool_())})
+            langs, scores, rejected = judge(shared.value, batch.column("text"))
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64()), "rejected": pa.array(rejected)})
 
     held = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(True)).alias("held_out")
     return pick_text(docs).select("doc_id", "text", held).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
@@ -240,8 +295,6 @@ def keep_identified(docs: DataFrame, model: LanguageModel | None = None) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = predict(shared.value, batch.column("text"))
-            keep = [a != UNKNOWN and b >= shared.value.reject_below for a, b in zip(langs, scores, strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield batch.filter(pa.array(~judge(shared.value, batch.column("text"))[2]))
 
     return docs.mapInArrow(run, schema)

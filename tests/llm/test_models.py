@@ -192,5 +192,40 @@ def test_every_language_is_learned(documents):
     assert len(learned) > 205 and langid.train(documents(rows)).langs == sorted(learned)
 
 
+def test_texts_of_known_languages_stay_and_others_go(documents):
+    """Of 3000 texts that no training saw, short ones among them, at most 1 in 1000 goes; of another language nearly all do."""
+    import pyarrow as pa
+
+    model = langid.train(documents([(i, text_of(list(SYLLABLES)[i % 3], i, 3 + i % 60), list(SYLLABLES)[i % 3]) for i in range(900)]))
+    known = pa.array([text_of(list(SYLLABLES)[i % 3], 10_000 + i, 3 + i % 60) for i in range(3000)])
+    langs, _, rejected = langid.judge(model, known)
+    assert rejected.sum() <= 3 and np.mean([a == list(SYLLABLES)[i % 3] for i, a in enumerate(langs)]) > 0.99
+    strange = ["xo", "qui", "wex", "zyk", "vuq", "jaw"]
+    rng = random.Random(5)
+    other = pa.array([" ".join("".join(rng.choice(strange) for _ in range(rng.randrange(1, 4))) for _ in range(30)) for _ in range(300)] + ["Быстрая коричневая лиса прыгает через ленивую собаку"] * 3)
+    assert langid.judge(model, other)[2].mean() > 0.9
+
+
+def test_levels_of_a_sample_without_surprises():
+    """Separable languages and no new subword: the temperature is finite and a single new subword rejects nothing."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    ids = [np.unique(rng.integers(0, 200, 80)).astype(np.int32) + 300 * (i % 2) for i in range(400)]
+    model = langid.fit(["ab"[i % 2] for i in range(400)], [True] * 400, ids, [np.ones(len(x), np.int32) for x in ids])
+    assert 0.01 < model.temperature < 10 and model.usual == 0 and model.unseen_above == langid.LEAST_NEW
+    langs, scores, rejected = langid.judge(model, pa.array(["", None, "..."]))
+    assert langs == ["und"] * 3 and rejected.all() and (scores == 0).all()
+
+
+@pytest.mark.parametrize("share", [0.01, 0.0005])
+def test_tail_levels_hold(share):
+    """From 300 values, the level that a share of all exceeds: held by a million others of the same kind."""
+    rng = np.random.default_rng(2)
+    for draw in (lambda n: rng.normal(size=n), lambda n: rng.exponential(size=n), lambda n: rng.logistic(size=n)):
+        held = [np.mean(draw(1_000_000) > langid._beyond(draw(300), share)) for _ in range(20)]
+        assert np.mean(held) <= 1.2 * share
+
+
 def test_rejection_level_is_the_calibrated_share(documents, language_rows):
     assert langid.train(documents(language_rows)).reject_below > 0.4
