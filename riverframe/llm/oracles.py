@@ -73,4 +73,36 @@ def _vector_codes(rounds: int = 6) -> str:
     return ",\n".join(steps[:-1]) + ",\n" + steps[-1]
 
 
-ORACLES: dict[str, str] = {"op12_hard_negatives": _HARD_NEGATIVES, "op13_vector_codes": _vector_codes()}
+# The smallest node reachable from each, over links (a, b) of both directions.
+_REACHED = """
+    pairs AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (SELECT node, node AS root FROM nodes UNION SELECT pairs.b, reached.root FROM reached JOIN pairs ON pairs.a = reached.node AND reached.root < pairs.b),
+    parts AS (SELECT node, min(root) AS component_id FROM reached GROUP BY node)"""
+
+_NEAR_VECTORS = f"""
+WITH RECURSIVE bad AS (
+        SELECT DISTINCT vec_id FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings) WHERE x IS NULL OR NOT isfinite(x)
+    ),
+    some AS (SELECT DISTINCT vec_id FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings) WHERE x <> 0),
+    good AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND vec_id IN (SELECT vec_id FROM some) AND vec_id NOT IN (SELECT vec_id FROM bad)),
+    links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+        WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+    nodes AS (SELECT vec_id AS node FROM embeddings), {_REACHED}
+SELECT node AS vec_id, (SELECT count(*) FROM pairs WHERE a = node) AS n_links, component_id, node = component_id AS kept FROM parts
+""".replace("some AS (", "nonzero AS (").replace("FROM some)", "FROM nonzero)")
+
+_NGRAM_JOIN = f"""
+WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+    ),
+    placed AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0),
+    shingles AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s FROM placed),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+    links AS MATERIALIZED (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+    nodes AS (SELECT doc_id AS node FROM documents), {_REACHED}
+SELECT node AS doc_id, coalesce(n, 0) AS n_shingles, component_id FROM parts LEFT JOIN sizes ON doc_id = node
+"""
+
+ORACLES: dict[str, str] = {"op1_near_vectors": _NEAR_VECTORS, "op9_ngram_join": _NGRAM_JOIN, "op12_hard_negatives": _HARD_NEGATIVES, "op13_vector_codes": _vector_codes()}
