@@ -37,5 +37,5 @@ def test_empty_documents(spark, tmp_path):
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES if k.startswith("op")}
     assert set(queries.QUERIES) <= set(entry.queries()) and langid.UNKNOWN == "und"
