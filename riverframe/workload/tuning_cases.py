@@ -11,7 +11,6 @@ from riverframe.operators.settle import settle
 from riverframe.operators.windows import rolling_of
 from riverframe.plans import tuning
 from riverframe.workload import oracles as Q
-from riverframe.workload import tables as T
 from riverframe.workload.cases import case
 from riverframe.workload.queries import KEYS, _paired_days, rounded
 
