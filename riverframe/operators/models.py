@@ -7,9 +7,11 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +44,50 @@ def _fit(estimator, df: DataFrame, weight: str | None):
         kept.unpersist()
 
 
+def fit_bagged(
+    df: DataFrame, weights: Sequence[Column], depth: int = 10, features: Sequence[Sequence[int]] | None = None, seed: int = 42, parallelism: int = 4, **params
+) -> list[PipelineModel]:
+    """A forest with given bags: tree ``t`` weighs a row by ``weights[t]`` and sees the features at ``features[t]``.
+
+    A random forest draws its bags per partition, so that its trees depend on how the rows lie in files. Weights that
+    are a function of the row (a hash of its key) give the same trees on every layout. Rows of weight 0, null or below
+    are not in a bag; a bag without rows is an error."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    if not weights:
+        raise ValueError("a forest needs at least one bag")
+    if features is not None and len(features) != len(weights):
+        raise ValueError("one list of features per bag")
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def grow(t: int) -> PipelineModel:
+        bag = kept.withColumn("__weight", weights[t].cast("double")).filter("__weight > 0")
+        tree = DecisionTreeClassifier(maxDepth=depth, seed=seed, weightCol="__weight", rawPredictionCol="", predictionCol="", probabilityCol=f"__p{t}", **params)
+        if features is None:
+            return Pipeline(stages=[tree]).fit(bag)
+        part = VectorSlicer(inputCol="features", outputCol=f"__features{t}", indices=list(features[t]))
+        return Pipeline(stages=[part, tree.setFeaturesCol(f"__features{t}")]).fit(bag)
+
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            return list(pool.map(inheritable_thread_target(df.sparkSession)(grow), range(len(weights))))
+    finally:
+        kept.unpersist()
+
+
+def vote(df: DataFrame, forest: Sequence[PipelineModel], cut: float = 0.5, out: str = "p1", votes: str = "votes") -> DataFrame:
+    """Mean probability of the trees, and how many of them are above ``cut``. One pass over the rows."""
+    names = df.columns
+    for tree in forest:
+        df = tree.transform(df)
+    p = [vector_to_array(f"__p{t}")[1] for t in range(len(forest))]
+    mean = sum(p[1:], p[0]) / len(p)
+    above = [(x > cut).cast("int") for x in p]
+    return df.select(*names, mean.alias(out), sum(above[1:], above[0]).alias(votes))
+
+
 def positive_probability(df: DataFrame, c: str = "probability", out: str = "p1") -> DataFrame:
     return df.withColumn(out, vector_to_array(c)[1])
 
