@@ -9,11 +9,17 @@ the others end here.
 
 A window that is left gets a 64-bit SimHash of its shingles: sums of 64 bit planes are differences of running
 sums, so that a window costs the same at every size. Items are entered in four tables by 16-bit block of their
-fingerprint, under every value within ``RADIUS // 4`` flips, so that a window within ``RADIUS`` bits of an item always meets it
-in one of them. A fingerprint is no proof that a window differs, so the radius rejects nothing: an item that it leaves
-out is dropped only if the window and its surroundings hold fewer than ``THRESHOLD`` of the item's own shingles. What
-remains is compared exactly with windows of the item's own size, at all offsets that the step leaves open: sum of minima by sum of
-maxima of the shingle counts, ``THRESHOLD`` or more. Nothing at or above the threshold is lost.
+fingerprint, under every value within ``radius // 4`` flips, so that a window within ``radius`` bits of an item always meets it
+in one of them. The fingerprint decides what is compared. A pair within the radius is dropped if the window and its surroundings
+hold fewer than ``THRESHOLD`` of the item's own shingles, which no match can; what remains is compared exactly with windows of the
+item's own size, at all offsets that the step leaves open: sum of minima by sum of maxima of the shingle counts,
+``THRESHOLD`` or more. Matches found are thus exact.
+
+The radius follows from the threshold at worst alignment. A match of similarity 0.75 has shingle vectors of cosine 2 * 0.75 / 1.75 =
+0.86; the nearest window lies a sixteenth of a size off (times 0.94) and may be a twelfth shorter (times 0.96), so 0.77 is left: an
+angle of 40 degrees, 14 of 64 bits on average, with a deviation of 3.3. ``RADIUS`` is 23, 2.7 deviations further; unlike
+windows are 32 bits away, 4 a deviation. Neighbouring windows are further chances. ``radius=64`` lets every fingerprint through: an
+exact search that loses nothing, at the cost of more comparisons.
 
 Items are given to the tasks in blocks of ``BLOCK`` items, one pass over the documents for each, so that nothing
 broadcast grows with the benchmark. Documents are only mapped, never shuffled.
@@ -41,7 +47,7 @@ from riverframe.llm.textbuf import column_bytes, row_slices, shingles, split_wor
 
 N = 5
 THRESHOLD = 0.75
-RADIUS = 15
+RADIUS = 23
 BLOCK = 1000
 STEPS = 8
 SPREAD = 12
@@ -49,7 +55,11 @@ CHUNK = 1 << 17
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-_FLIPS = np.array([sum(1 << b for b in c) for n in range(RADIUS // 4 + 1) for c in combinations(range(16), n)], np.uint16)
+
+
+def _flips(radius: int) -> np.ndarray:
+    """Masks of 16 bits that turn a block into every value near enough: of four blocks one has at most a quarter of the bits."""
+    return np.array([sum(1 << b for b in c) for n in range(min(16, radius // 4) + 1) for c in combinations(range(16), n)], np.uint16)
 
 
 def word_shingles(column: pa.Array, n: int = N) -> tuple[np.ndarray, np.ndarray]:
@@ -87,12 +97,13 @@ class Size:
     lengths: np.ndarray
     prints: np.ndarray
 
-    def tables(self) -> np.ndarray:
+    def tables(self, radius: int = RADIUS) -> np.ndarray:
+        flips = _flips(radius)
         kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(self.items) <= 8 * np.dtype(t).itemsize)
         out = np.zeros((4, 1 << 16), kind)
         for i, value in enumerate(self.prints):
             for block, part in enumerate(np.array([value]).view(np.uint16)):
-                out[block][part ^ _FLIPS] |= kind(1 << i)
+                out[block][part ^ flips] |= kind(1 << i)
         return out
 
 
@@ -107,6 +118,10 @@ class Searcher:
     known: np.ndarray  # all shingles of all items, sorted
     holds: np.ndarray  # which items hold a known shingle, from place to place
     place: np.ndarray
+    radius: int = RADIUS
+
+    def tables(self) -> list[np.ndarray]:
+        return [size.tables(self.radius) for size in self.sizes]
 
     def shared(self, which: np.ndarray) -> np.ndarray:
         """For every item how many of these known shingles are its own."""
@@ -115,7 +130,7 @@ class Searcher:
         return np.bincount(self.holds[at], minlength=len(self.counts))
 
 
-def searchers(ids: list, texts: list[str], n: int = N) -> list[Searcher]:
+def searchers(ids: list, texts: list[str], n: int = N, radius: int = RADIUS) -> list[Searcher]:
     """One searcher per shingle width: ``n``, and fewer words for shorter items."""
     column = pa.array(texts, pa.string())
     one, first = word_shingles(column, 1)
@@ -139,7 +154,7 @@ def searchers(ids: list, texts: list[str], n: int = N) -> list[Searcher]:
         known = np.unique(code)
         at, item = np.searchsorted(known, np.concatenate([c for c, _ in counts])), np.repeat(np.arange(len(counts)), [len(c) for c, _ in counts])
         place = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(known)))])
-        out.append(Searcher(width, [ids[i] for i in mine], counts, sizes, known, item[np.argsort(at, kind="stable")], place))
+        out.append(Searcher(width, [ids[i] for i in mine], counts, sizes, known, item[np.argsort(at, kind="stable")], place, radius))
     return out
 
 
@@ -193,8 +208,9 @@ def search(searcher: Searcher, tables: list[np.ndarray], code: np.ndarray, first
             mask = table[0][blocks[:, 0]] | table[1][blocks[:, 1]] | table[2][blocks[:, 2]] | table[3][blocks[:, 3]]
             for w, fingerprint, bits in zip(at, prints, mask, strict=True):
                 close = (bits >> np.arange(len(size.items)).astype(mask.dtype)) & mask.dtype.type(1) > 0
-                close &= np.bitwise_count(size.prints ^ fingerprint) <= RADIUS
-                close |= searcher.shared(which[left[w] : right[w]])[size.items] >= THRESHOLD * size.lengths
+                close &= np.bitwise_count(size.prints ^ fingerprint) <= searcher.radius
+                if close.any():
+                    close &= searcher.shared(which[left[w] : right[w]])[size.items] >= THRESHOLD * size.lengths
                 for i in np.flatnonzero(close):
                     n, item = int(size.lengths[i]), int(size.items[i])
                     reach = step + n - size.n
@@ -224,27 +240,27 @@ def _matches(column: pa.Array, block: list[Searcher], tables: list[list[np.ndarr
         base += len(part)
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[Searcher]]:
+def _blocks(benchmark: DataFrame, radius: int) -> Iterator[list[Searcher]]:
     """Items in blocks of at most BLOCK, ordered by id; a block is all that the driver holds."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     count = items.count()
     parts = max(1, -(-count // BLOCK) * 2) if count > BLOCK else 1
     for k in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
-        block = searchers([r["item_id"] for r in rows], [r["text"] for r in rows])
+        block = searchers([r["item_id"] for r in rows], [r["text"] for r in rows], radius=radius)
         if block:
             yield block
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, similarity, first_word, n_words of every document that holds a benchmark item."""
     schema = "doc_id long, item_id long, similarity double, first_word int, n_words int"
     out = docs.sparkSession.createDataFrame([], schema)
-    for block in _blocks(benchmark):
+    for block in _blocks(benchmark, radius):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            tables = [[s.tables() for s in searcher.sizes] for searcher in shared.value]
+            tables = [searcher.tables() for searcher in shared.value]
             for batch in batches:
                 rows = list(_matches(batch.column("text"), shared.value, tables))
                 cells = list(zip(*rows, strict=True)) or [()] * 5
@@ -254,14 +270,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Documents without any benchmark item, with their own columns."""
     schema = docs.schema
-    for block in _blocks(benchmark):
+    for block in _blocks(benchmark, radius):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            tables = [[s.tables() for s in searcher.sizes] for searcher in shared.value]
+            tables = [searcher.tables() for searcher in shared.value]
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 keep[[m[0] for m in _matches(batch.column("text"), shared.value, tables)]] = False
