@@ -130,6 +130,8 @@ def build_features(
     table = table.select(KEY, DAY, KIND, *features, *([INDEX] if sparse else []), TARGET)
     if scale is None:
         return table
+    # The statistics and the rows read one stored table, so that its windows run once.
+    table = settle(table, "features")
     fit_on = table.filter(F.col(KIND) == HISTORICAL) if scale == HISTORICAL else None
     return standardize(table, features, fit_on)
 

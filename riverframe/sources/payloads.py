@@ -6,7 +6,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,9 +132,12 @@ def untagged(df: DataFrame, locations: DataFrame, within_km: float = 5.0) -> Dat
 
 
 def newest_payload(df: DataFrame, key_cols: Sequence[str], fetched_at: str, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """A later pull supersedes an earlier one for the same key."""
-    newest = Window.partitionBy(*key_cols).orderBy(F.desc(fetched_at), *[F.desc(c) for c in tiebreak])
-    return df.withColumn("__rank", F.row_number().over(newest)).filter(F.col("__rank") == 1).drop("__rank")
+    """A later pull supersedes an earlier one for the same key.
+
+    An aggregate, not a window: every task keeps one pull per key before the shuffle, so a key pulled often is no hot one."""
+    rest = [c for c in df.columns if c not in key_cols]
+    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*[F.col(c) for c in (fetched_at, *tiebreak)])).alias("__newest")
+    return df.groupBy(*key_cols).agg(newest).select(*[F.col(f"__newest.`{c}`" if c in rest else f"`{c}`").alias(c) for c in df.columns])
 
 
 def read_pages(spark: SparkSession, path: str, schema: str = schemas.MET_LOCATIONS, results: str = "results") -> DataFrame:

@@ -187,7 +187,7 @@ def plan_of(df):
 
 
 def test_no_window_runs_in_one_partition(spark, world):
-    table = features.build_features(*world, ["Klang", "Petaling"])
+    table = features.build_features(*world, ["Klang", "Petaling"], scale=None)
     flow = features.discharge_features(world[2])
     for df in (table, flow):
         lines = plan_of(df).split("\n")
@@ -215,3 +215,8 @@ def test_date_filter_reaches_the_scan(spark, world, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "h"))
     for df in (between_dates(stored, "datetime", "2024-01-02", "2024-01-03"), in_year(stored, "datetime", 2024)):
         assert "GreaterThanOrEqual(datetime" in plan_of(df.select("rain"))
+
+
+def test_scaling_reads_a_stored_table(world):
+    plan = plan_of(features.build_features(*world, ["Klang", "Petaling"], scale="all"))
+    assert "Window" not in plan and plan.count("FileScan parquet") <= 2

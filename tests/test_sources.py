@@ -160,3 +160,14 @@ def test_forecast_files_of_three_forms(spark, rows, tmp_path):
     daily = read(weather_forecast=days)[1]
     assert rows(daily, "location", "rain", "datetime") == [("Kajang", 4.0, dt.datetime(2024, 1, 2))]
     assert found_locations(hourly, daily) == ["Kajang", "Klang", "Petaling"]
+
+
+def test_newest_payload_is_an_aggregate(spark, rows):
+    data = [("a", 1, None, {"k": 1}), ("a", 2, 5, {"k": 2}), ("a", 3, 5, {"k": 3}), (None, 4, 1, None), (None, 5, 0, None), ("b", 6, None, {})]
+    df = spark.createDataFrame(data, "key string, `the.id` int, fetched int, body map<string,int>")
+    newest = P.newest_payload(df, ["key"], "fetched", ["`the.id`"])
+    assert newest.columns == df.columns
+    assert [r[1] for r in sorted(newest.collect(), key=lambda r: r[1])] == [3, 4, 6]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_max_by" in plan
+    assert P.newest_payload(df.limit(0), ["key"], "fetched").collect() == []
