@@ -97,7 +97,7 @@ def _sketched(known: DataFrame, cols: list[str], by: list[str], ps: list[float])
     for _ in range(PASSES):
         if inside <= GATHERED:
             break
-        sides = keep(_narrowed(long, sides, order), "quantile-limits")
+        sides = keep(_narrowed(known, long, cols, by, sides, order), "quantile-limits")
         inside = sides.agg(F.max("__inside")).first()[0]
     sides = sides.filter(F.col("__sides").isNotNull()).select(GROUP, "__sides")
     found = _from_sides(long, sides, by, ps, _inside_or_null) if by else _from_row(known, cols, sides, ps)
@@ -132,14 +132,26 @@ def _first_ends(p: float) -> tuple[Column, Column]:
     return at(p - REACH) if p > REACH else F.lit(float("-inf")), at(p + REACH) if p + REACH < 1 else F.lit(float("inf"))
 
 
-def _narrowed(long: DataFrame, sides: DataFrame, order: Sequence[float]) -> DataFrame:
-    """The brackets, narrowed by exact counts below and on their ends and a sketch of what lies between."""
-    asked = sides.filter(F.col("__sides").isNotNull()).select(GROUP, "n", F.explode("__sides").alias("__side")).select(GROUP, "n", "__side.*")
-    x, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
-    between = F.when((x > lo) & (x < hi), x)
-    counted = long.join(asked, GROUP).groupBy(GROUP, "n", "i", "lo", "hi").agg(
-        F.count_if(x < lo).alias("below"), F.count_if(x == lo).alias("low"), F.count(between).alias("size"), F.kll_sketch_agg_double(between, F.lit(SKETCH)).alias("sketch")
-    )
+def _narrowed(known: DataFrame, long: DataFrame, cols: Sequence[str], by: Sequence[str], sides: DataFrame, order: Sequence[float]) -> DataFrame:
+    """The brackets, narrowed by exact counts below and on their ends and a sketch of what lies between.
+
+    Rows are counted where they are read: a bracket is a group of columns, not a row that the values would have to meet in one task."""
+    asked = sides.filter(F.col("__sides").isNotNull())
+    if by:
+        ends = [(F.col(f"__lo_{k}"), F.col(f"__hi_{k}")) for k in range(len(order))]
+        flat = asked.select(GROUP, "n", *[F.col("__sides")[k][side].alias(f"__{side}_{k}") for k in range(len(order)) for side in ("lo", "hi")])
+        row = long.join(flat, GROUP).groupBy(GROUP, "n").agg(*[_between(k, F.col("value"), *end) for k, end in enumerate(ends)])
+        cells = F.array(*[F.struct(F.lit(k).alias("i"), f"__{k}.*") for k in range(len(order))])
+        counted = row.select(GROUP, "n", F.explode(cells).alias("__cell")).select(GROUP, "n", "__cell.*")
+    else:
+        held = [(f"__{cols.index(r[GROUP]['metric'])}", r[GROUP]["metric"], r["n"], s) for r in asked.collect() for s in r["__sides"]]
+        row = known.agg(*[_between(k, F.col(c), F.lit(s["lo"]), F.lit(s["hi"])) for k, (c, _, _, s) in enumerate(held)])
+        cells = F.array(*[
+            F.struct(F.struct(F.lit(metric).alias("metric")).alias(GROUP), F.lit(n).cast("bigint").alias("n"), F.lit(s["i"]).alias("i"), f"__{k}.*")
+            for k, (_, metric, n, s) in enumerate(held)
+        ])
+        counted = row.select(F.explode(cells).alias("__cell")).select("__cell.*")
+    lo, hi = F.col("lo"), F.col("hi")
     rank = F.element_at(F.array(*[F.lit(p) for p in order]), F.col("i") + 1) * (F.col("n") - 1)
     size = F.col("size")
     first, last = (r - F.col("below") - F.col("low") for r in (F.floor(rank), F.ceil(rank)))
@@ -155,6 +167,15 @@ def _narrowed(long: DataFrame, sides: DataFrame, order: Sequence[float]) -> Data
     return counted.select(GROUP, "n", side.alias("side"), left.alias("left")).groupBy(GROUP, "n").agg(F.array_sort(F.collect_list("side")).alias("__sides"), F.max("left").alias("__inside"))
 
 
+def _between(k: int, x: Column, lo: Column, hi: Column) -> Column:
+    """The ends of a bracket, how many values lie below and on its lower end, and a sketch of those between."""
+    between = F.when((x > lo) & (x < hi), x)
+    return F.struct(
+        F.max(lo).alias("lo"), F.max(hi).alias("hi"), F.count_if(x < lo).alias("below"), F.count_if(x == lo).alias("low"),
+        F.count(between).alias("size"), F.kll_sketch_agg_double(between, F.lit(SKETCH)).alias("sketch"),
+    ).alias(f"__{k}")
+
+
 def _inside_or_null(answer: Column, low: Column, high: Column) -> Column:
     return F.when((answer >= low) & (answer <= high), answer)
 

@@ -76,6 +76,24 @@ def test_quantiles_by_sketches_are_exact(spark, monkeypatch, gathered, method):
     np.testing.assert_allclose(whole["y"], np.quantile(np.arange(len(x)), ps), rtol=1e-12)
 
 
+def test_narrowing_counts_values_where_they_are_read(spark, monkeypatch):
+    """Brackets that are narrowed do not bring all values of a column together: no join, and no values are shuffled."""
+    monkeypatch.setattr(Q, "SMALL_GROUP", 100)
+    monkeypatch.setattr(Q, "GATHERED", 10)
+    plans, narrowed = [], Q._narrowed
+
+    def watched(*args):
+        out = narrowed(*args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(Q, "_narrowed", watched)
+    df, x, _ = skewed(spark, 4)
+    found = Q.quantiles_long(df, ["x", "y"], [0.25, 0.5]).collect()
+    np.testing.assert_allclose({r["metric"]: r["q"] for r in found}["x"], quantiles_of(x, [0.25, 0.5]), rtol=1e-12)
+    assert plans and not [p for p in plans if "Join" in p]
+
+
 def test_a_wrong_sketch_is_found_out(spark, monkeypatch):
     """Brackets that do not reach the rank: the counts show it and the bins answer."""
     monkeypatch.setattr(Q, "SMALL_GROUP", 100)
