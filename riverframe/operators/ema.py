@@ -37,6 +37,7 @@ from riverframe.operators.ordered import HOT_ROWS, KEY, keyed, positions, use_ch
 MAX_BLOCK = 50_000
 SAFE_EXPONENT = 600.0
 VANISHED = 1500.0  # exp(-VANISHED) times the largest double is below the smallest one
+FARTHEST = 1 << 31  # rows of a key; a series is not followed farther back
 
 
 def alpha_of(span: float | None = None, alpha: float | None = None) -> float:
@@ -133,19 +134,38 @@ def _depth(alpha: float, length: int) -> int:
     return max(1, math.ceil(VANISHED / (-math.log1p(-alpha) * length)))
 
 
-def _carry_by_window(local: DataFrame, by: Sequence[str], alphas: Sequence[float], length: int) -> DataFrame:
-    """Ordinary windows: the ends of the blocks before are read over the same partitioning, without a join."""
+def _ends_before(heads: DataFrame, by: Sequence[str], slot: Column, ends: Mapping[str, tuple[Column, int]]) -> DataFrame:
+    """Ordinary windows: at the first row of every block the ends of the blocks before, oldest first, without a join.
+
+    ``ends`` gives for a name what the row before the head, the last of its block, holds, and how far back ``slot`` is followed. The heads are
+    windowed apart from the other rows, which lie too far from each other to see one, so that no list is made for them.
+    """
+    deepest = max(depth for _, depth in ends.values()) + 1
     # (block, place in block) is the order the rows are in already.
-    by_key = Window.partitionBy(*by).orderBy("__block", "__p")
-    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    closing = F.col("__p") == length - 1
+    before = Window.partitionBy(*by).orderBy("__block", "__p")
+    head = F.col("__p") == 0
+    found = heads.withColumns({f"{n}_end": F.when(head, F.lag(end).over(before)) for n, (end, _) in ends.items()})
+    found = found.withColumns({"__head": head, "__slot": F.when(head, slot).otherwise(F.col("__pos")).cast("bigint") * F.when(head, F.lit(1)).otherwise(F.lit(deepest)).cast("bigint")})
+    by_head = Window.partitionBy(*by, "__head").orderBy("__slot")
+    lists = {n: F.collect_list(f"{n}_end").over(by_head.rangeBetween(-depth, 0)) for n, (_, depth) in ends.items()}
+    return found.withColumns(lists).drop("__head", "__slot", *[f"{n}_end" for n in ends])
+
+
+def _spread(heads: DataFrame, by: Sequence[str], starts: Mapping[str, Column]) -> DataFrame:
+    """What is worked out at the first row of a block, on all its rows."""
+    in_block = Window.partitionBy(*by, "__block").orderBy("__p")
+    held = heads.withColumns({n: F.when(F.col("__p") == 0, start) for n, start in starts.items()})
+    return held.withColumns({n: F.first(n).over(in_block) for n in starts})
+
+
+def _carry_by_window(local: DataFrame, by: Sequence[str], alphas: Sequence[float], length: int) -> DataFrame:
+    """Ordinary windows: the ends of the blocks before are folded once per block, as far back as a double goes."""
     # The first row of a key is its own seed.
-    seed = F.first("__x").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
-    carries = {}
-    for i, a in enumerate(alphas):
-        ends = F.collect_list(F.when(closing, F.col(f"__local_{i}"))).over(before)
-        carries[f"__carry_{i}"] = _folded(ends, seed, a, length)
-    return local.withColumns(carries)
+    seed = F.first("__x").over(Window.partitionBy(*by).orderBy("__block", "__p").rowsBetween(Window.unboundedPreceding, 0))
+    # The list at a block holds the end of the block before it too: one slot less to follow.
+    ends = {f"__carry_{i}": (F.col(f"__local_{i}"), min(_depth(a, length), FARTHEST) - 1) for i, a in enumerate(alphas)}
+    heads = _ends_before(local.withColumn("__seed", seed), by, F.col("__block"), ends)
+    return _spread(heads, by, {f"__carry_{i}": _folded(F.col(f"__carry_{i}"), F.col("__seed"), a, length) for i, a in enumerate(alphas)}).drop("__seed")
 
 
 def _carry_by_join(local: DataFrame, by: Sequence[str], alphas: Sequence[float], length: int) -> DataFrame:
@@ -257,31 +277,33 @@ def _state_after(ends: Column, alpha: float) -> Column:
     return F.aggregate(ends, start, step)
 
 
+def _values_back(alpha: float) -> int:
+    """Values after which nothing of what came before them is left in a double: each damps it by ``q`` at least."""
+    return min(math.ceil(VANISHED / -math.log1p(-alpha)), FARTHEST) if alpha < 1.0 else 1
+
+
 def _state_by_window(rows: DataFrame, by: Sequence[str], rates: Sequence[float], length: int) -> DataFrame:
-    """Ordinary windows: the ends of the blocks before are read over the same partitioning; they are folded once per block."""
-    by_key = Window.partitionBy(*by).orderBy("__block", "__p").rowsBetween(Window.unboundedPreceding, -1)
-    closing = (F.col("__p") == length - 1) & F.col("__first").isNotNull()
-    ends = {f"__state_{i}": F.collect_list(F.when(closing, _end(i))).over(by_key) for i in range(len(rates))}
-    in_block = Window.partitionBy(*by, "__block").orderBy("__p")
-    starts = {f"__state_{i}": F.when(F.col("__p") == 0, _state_after(F.col(f"__state_{i}"), a)) for i, a in enumerate(rates)}
-    spread = {f"__state_{i}": F.first(f"__state_{i}").over(in_block) for i in range(len(rates))}
-    return rows.withColumns(ends).withColumns(starts).withColumns(spread)
+    """Ordinary windows: the ends of the blocks before are folded once per block, as many as hold the values that still count."""
+    before = Window.partitionBy(*by).orderBy("__block", "__p").rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.withColumn("__values", F.count("__x").over(before))
+    # A block without a value says nothing; of blocks with the same number of values before them, one has an end before it.
+    ends = {f"__state_{i}": (F.when(F.col("__first").isNotNull(), _end(i)), _values_back(a)) for i, a in enumerate(rates)}
+    heads = _ends_before(counted, by, F.col("__values"), ends)
+    return _spread(heads, by, {f"__state_{i}": _state_after(F.col(f"__state_{i}"), a) for i, a in enumerate(rates)}).drop("__values")
 
 
 def _state_by_join(rows: DataFrame, by: Sequence[str], rates: Sequence[float], length: int) -> DataFrame:
     """Chunked series: fold the block ends, one row per block, and join the states back.
 
-    Every block with a value damps what came before it by ``q`` at least, so ``VANISHED`` bounds how many are folded.
+    Every value damps what came before it by ``q`` at least, so ``VANISHED`` bounds how many blocks are folded.
     """
-    blocks = rows.groupBy(*by, "__block").agg(*[F.max_by(_end(i), "__p").alias(f"__end_{i}") for i in range(len(rates))])
+    blocks = rows.groupBy(*by, "__block").agg(F.count("__x").alias("__inside"), *[F.max_by(_end(i), "__p").alias(f"__end_{i}") for i in range(len(rates))])
     earlier = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    held = F.count_if(F.col("__end_0")["first"].isNotNull()).over(earlier)
-    blocks = blocks.withColumn("__held", F.coalesce(held, F.lit(0)))
-    # The blocks with a value, counted back from each: those without one damp nothing, so they do not count.
-    by_held = Window.partitionBy(*by).orderBy("__held")
+    blocks = blocks.withColumn("__values", F.coalesce(F.sum("__inside").over(earlier), F.lit(0)))
+    # The values before each block: blocks without one damp nothing, so they do not count. A block is followed to its first value.
+    by_values = Window.partitionBy(*by).orderBy("__values")
     states = {}
     for i, a in enumerate(rates):
-        depth = math.ceil(VANISHED / -math.log1p(-a)) if a < 1.0 else 1
         known = F.when(F.col(f"__end_{i}")["first"].isNotNull(), F.col(f"__end_{i}"))
-        states[f"__state_{i}"] = _state_after(F.collect_list(known).over(by_held.rangeBetween(-depth, -1)), a)
+        states[f"__state_{i}"] = _state_after(F.collect_list(known).over(by_values.rangeBetween(-_values_back(a) - length, -1)), a)
     return join_groups(rows, blocks.withColumns(states).select(*by, "__block", *states), [*by, "__block"])

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -176,6 +177,24 @@ def test_missing_values_fail_where_they_must_not_be(gappy):
         emas(gappy, K, "datetime", "x", {"e": 0.5}, missing="drop")
 
 
+@pytest.mark.parametrize("missing", ["skip", "error"])
+def test_ema_lists_no_more_blocks_than_a_double_holds(noisy, missing):
+    """A row does not carry the ends of all blocks before it: their number grows with the series, and the work with its square."""
+    plan = emas(noisy, K, "datetime", "x", {"e": 0.4, "slow": 0.01}, chunk=0, missing=missing)._jdf.queryExecution().optimizedPlan().toString()
+    lists = [part.split(" AS ")[0] for part in plan.split("collect_list(")[1:]]
+    assert len(lists) >= 2 and not [part for part in lists if "unboundedpreceding" in part]
+
+
+def test_ema_follows_values_over_empty_and_sparse_blocks(spark, rows):
+    """One value in every few blocks, then none for many: as far back as the slow average reaches."""
+    values = [float(i % 7) if i % 9 == 4 and not 300 < i < 700 or i > 900 else None for i in range(1000)]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "location string, i int, x double").selectExpr("location", "date_add(date'2020-01-01', i) AS date", "x")
+    want = pd.Series(values).ewm(alpha=0.05, adjust=False).mean()
+    for chunk in (0, 64):
+        got = [r[0] for r in emas(df, K, "date", "x", {"e": 0.05}, chunk=chunk, block=4).orderBy("date").select("e").collect()]
+        np.testing.assert_allclose(np.array(got, dtype=float), want.to_numpy(), rtol=1e-9)
+
+
 def test_ema_equals_grouped_python(noisy):
     def fold(pdf):
         pdf = pdf.sort_values("datetime")
