@@ -11,6 +11,7 @@ from riverframe.functions.columns import label_if
 from riverframe.operators import stats
 from riverframe.operators.resample import month_means
 from riverframe.operators.select import numeric_columns
+from riverframe.operators.settle import settle
 
 
 def with_rain_label(df: DataFrame, c: str = "rain_sum_mm") -> DataFrame:
@@ -26,8 +27,10 @@ def profile(
     bins: int = 40,
     method: str = "exact",
 ) -> dict[str, DataFrame]:
-    """Lazy result tables by name; each is computed only if it is used."""
+    """Result tables by name, each computed when it is used. All of them, and the quantiles that some need at once, read the
+    daily table as it is written here: joins and roll-ups behind it run once, not once per table."""
     values = list(values or numeric_columns(df))
+    df = settle(df, "profile")
     report = {
         "overview": stats.overview(df, ts, values),
         "keys": stats.distinct_values(df, key),

@@ -146,6 +146,22 @@ def test_profile(spark, rows):
     assert rows(report["rain_days"]) == [("No Rain", "a", 1), ("No Rain", "b", 1), ("Rain", "b", 1)]
 
 
+def test_profile_computes_its_table_once(spark):
+    """However many of its tables are used: the joins and roll-ups behind a daily table are not run for each."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([("ab"[i % 2], dt.date(2024, 1, 1 + i // 2), float(i % 5)) for i in range(40)], "location string, date date, rain_sum_mm double")
+    report = profile.profile(df.mapInArrow(count, df.schema), "date", rain="rain_sum_mm", bins=2)
+    assert {r.n for r in report["describe_by_key"].collect()} == {20}
+    assert {(r.rain_label, r.n) for r in report["rain_share"].collect()} == {("No Rain", 8), ("Rain", 32)}
+    assert {r.n_null for r in report["nulls"].collect()} == {0} and read.value == 40
+
+
 def test_dashboard_filters_compose(world, rows):
     hourly, forecast, daily = world
     view = dashboard.View(location="Klang", start="2024-02-01", end="2024-02-20")
