@@ -1,12 +1,13 @@
 """Licence scan: a paragraph classifier over word n-grams, confirmed by comparison with templates.
 
 A paragraph is a window of ``WORDS`` words that starts every half of it, over all lines of a text, so that wrapped notices and notices in
-the middle of long lines are seen; a blank line is a wall that no word pair crosses. Words and word pairs are
+the middle of long lines are seen; a blank line is a wall that no word pair crosses. Words and word pairs that stand in a notice are
 hashed to a sparse presence vector; a multinomial logistic regression (Spark ML, on the JVM) gives the probability of every
 licence family and of "unknown". It is trained on the notices in ``NOTICES``, alone, in part (as a window may cut them) and between the
-words of ordinary paragraphs, against ordinary paragraphs: at most ``SAMPLE`` of documents chosen by hash of the id, without those that
-already look like a notice. Half of these are not trained on but calibrate the unknown class: the odds of a family
-against unknown must reach a level that all but ``FALSE_SHARE`` of them stay below.
+words of ordinary paragraphs, against all ordinary paragraphs of all documents: those that do not look like a notice. Paragraphs with the
+same vector are one row with their number as weight, so that whole tables fit; together they weigh ``ORDINARY_WEIGHT`` at most, so that the
+notices do not fade as tables grow. One half of the paragraphs, by hash of their words, is not trained on but calibrates the unknown class:
+the odds of a family against unknown must reach a level that all but ``FALSE_SHARE`` of them stay below, by exact rank.
 
 Every family above the level must then be confirmed, the likeliest first: one of its notices must have ``CONFIRM`` of its
 word pairs in the paragraph, not counting pairs that a family before it has taken. So two licences in one line are
@@ -34,10 +35,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riverframe.llm.tables import hash_share, pick_text
+from riverframe.llm.tables import pick_text
 from riverframe.operators.settle import settle
 
-SAMPLE = 4000
+#: What all ordinary paragraphs weigh together against the notices, each of which weighs one.
+ORDINARY_WEIGHT = 2000
+ALIKE = 0.5
+TRAINED_IN_TASK = 20_000
 WORDS = 64
 STEP = WORDS // 2
 FEATURES = 1 << 14
@@ -134,10 +138,15 @@ def _pairs(df: DataFrame) -> DataFrame:
     return NGram(n=2, inputCol="words", outputCol="pairs").transform(df)
 
 
+def _grams(df: DataFrame, known: list) -> DataFrame:
+    """``df`` with those of its words and pairs that stand in a notice."""
+    told = sorted({gram for r in known for pair in r["notice_pairs"] for gram in (pair, *pair.split(" "))})
+    return df.withColumn("grams", F.array_sort(F.array_distinct(F.filter(F.concat("words", "pairs"), lambda gram: gram.isin(told)))))
+
+
 def _features(df: DataFrame) -> DataFrame:
-    """``df`` with the sparse presence vector of its words and pairs."""
-    counter = HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features")
-    return counter.transform(df.withColumn("grams", F.concat(F.array_remove("words", ""), "pairs")))
+    """``df`` with the sparse presence vector of its ``grams``."""
+    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(df)
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
@@ -159,11 +168,11 @@ def notices(spark: SparkSession) -> DataFrame:
     return _words(spark.createDataFrame(rows, "family string, line string")).select("family", F.col("line").alias("notice"), F.array_distinct("pairs").alias("notice_pairs"))
 
 
-def key_words(known: list) -> list[str]:
-    """Words without any of which no notice keeps ``CONFIRM`` of its pairs: of every notice its longest ones, as many as it takes."""
+def key_words(known: list, share: float = CONFIRM) -> list[str]:
+    """Words without any of which no notice keeps ``share`` of its pairs: of every notice its longest ones, as many as it takes."""
     keys = set()
     for r in known:
-        left, least = [p.split(" ") for p in r["notice_pairs"]], CONFIRM * len(r["notice_pairs"])
+        left, least = [p.split(" ") for p in r["notice_pairs"]], share * len(r["notice_pairs"])
         for word in sorted({w for p in left for w in p}, key=lambda w: (-len(w), w)):
             if len(left) < least:
                 break
@@ -207,31 +216,51 @@ def _odds(families: list[str]) -> Column:
     return F.reverse(F.array_sort(F.slice(every, 2, len(families))))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> LicenseModel:
-    """Fit on the notices and a bounded sample of ordinary paragraphs of ``docs``."""
+def ordinary(docs: DataFrame, known: list) -> DataFrame:
+    """part (0 to train on, 1 to calibrate), grams and n: how many paragraphs of all documents that do not look like a notice have them."""
+    rows = _pairs(paragraphs(docs).where(F.exists("words", lambda w: w != "")))
+    possible = F.arrays_overlap("words", F.array(*[F.lit(w) for w in key_words(known, ALIKE)]))
+    alike = F.when(possible, F.exists(_fits(known, F.col("pairs")), lambda x: x["similarity"] >= ALIKE)).otherwise(F.lit(False))
+    part = F.pmod(F.xxhash64("words"), F.lit(2)).alias("part")
+    return _grams(rows.where(~alike), known).select(part, "grams").groupBy("part", "grams").agg(F.count("*").alias("n"))
+
+
+def train(docs: DataFrame) -> LicenseModel:
+    """Fit on the notices and all ordinary paragraphs of ``docs``."""
     spark = docs.sparkSession
-    families = [UNKNOWN, *sorted(NOTICES)]
-    count = docs.count()
-    some = docs.where(hash_share(F.col("doc_id").cast("long")) < min(1.0, sample / 2 / max(count, 1)))
-    ordinary = paragraphs(some).where(F.exists("words", lambda w: w != "")).orderBy(F.xxhash64("words"), "doc_id", "window").limit(sample).select("words")
-    ordinary = _pairs(ordinary.distinct()).where(~F.exists(_fits(_known(spark), F.col("pairs")), lambda x: x["similarity"] >= 0.5))
-    ordinary = settle(ordinary.select("words", F.pmod(F.xxhash64("words"), F.lit(2)).alias("part"), F.pmod(F.xxhash64(F.lit(5), "words"), F.lit(8)).alias("turn")).coalesce(1), "license-paragraphs")
-    alone = _words(spark.createDataFrame(_views(), "family string, line string")).select("family", "words")
-    # Every notice also in the middle of some ordinary paragraph, in up to eight ways, with a few or many words around it.
-    around = ordinary.where("part = 0").groupBy("turn").agg(F.min_by("words", F.xxhash64("words")).alias("around"))
-    many = F.when(F.col("turn") % 2 == 0, 10).otherwise(STEP - 4)
+    families, known = [UNKNOWN, *sorted(NOTICES)], _known(docs.sparkSession)
+    counted = settle(ordinary(docs, known), "license-paragraphs")
+    sizes = {r["part"]: r for r in counted.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
+    learned = counted.where("part = 0")
+    alone = _grams(_words(spark.createDataFrame(_views(), "family string, line string")), known).select("family", "grams")
+    # Every notice also in the middle of some ordinary paragraph, in up to eight ways, with a third or all of its words around it.
+    by_hash = F.xxhash64(F.lit(5), "grams")
+    around = learned.groupBy(F.pmod(by_hash, F.lit(8)).alias("turn")).agg(F.min_by("grams", by_hash).alias("around"))
     turned = alone.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long")))).join(F.broadcast(around), "turn")
-    inside = turned.select("family", F.concat(F.slice("around", F.lit(1), many), "words", F.slice("around", F.lit(STEP), many)).alias("words"))
+    near = F.filter("around", lambda gram: (F.col("turn") % 2 == 1) | (F.pmod(F.xxhash64(gram), F.lit(3)) == 0))
+    inside = turned.select("family", F.array_union("grams", near).alias("grams"))
     label = F.element_at(F.create_map(*[x for i, f in enumerate(families) for x in (F.lit(f), F.lit(float(i)))]), F.col("family"))
-    negative = ordinary.where("part = 0").select(F.lit(UNKNOWN).alias("family"), "words")
-    plain = _words(spark.createDataFrame([(UNKNOWN, text) for text in _ORDINARY], "family string, line string")).select("family", "words")
-    rows = _features(_pairs(alone.unionAll(inside).unionAll(negative).unionAll(plain))).select(label.alias("label"), "features")
-    rows = settle(rows.coalesce(1), "license-training")  # a few thousand short rows
-    regression = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=80, featuresCol="features", labelCol="label")
+    plain = _grams(_words(spark.createDataFrame([(UNKNOWN, text) for text in _ORDINARY], "family string, line string")), known).select("family", "grams")
+    each = min(1.0, ORDINARY_WEIGHT / sizes[0]["n"]) if 0 in sizes else 1.0
+    negative = learned.select(F.lit(UNKNOWN).alias("family"), "grams", (F.col("n") * F.lit(each)).alias("weight"))
+    rows = alone.unionAll(inside).unionAll(plain).withColumn("weight", F.lit(1.0)).unionAll(negative)
+    tasks = 1 + (sizes[0]["rows"] if 0 in sizes else 0) // TRAINED_IN_TASK
+    rows = settle(_features(rows.select(label.alias("label"), "weight", "grams")).drop("grams").coalesce(tasks), "license-training")
+    regression = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=80, featuresCol="features", labelCol="label", weightCol="weight")
     model = PipelineModel([regression.fit(rows)])
-    calibration = _scored(model, _features(_pairs(ordinary.where("part = 1").select("words")))).select(_odds(families)[0]["probability"].alias("top"))
-    top = calibration.agg(F.percentile("top", F.lit(1 - FALSE_SHARE))).first()[0]
-    return LicenseModel(model, families, 0.5 if top is None else top)
+    return LicenseModel(model, families, _level(model, families, counted.where("part = 1"), sizes[1]["n"]) if 1 in sizes else 0.5)
+
+
+def _level(model: PipelineModel, families: list[str], held: DataFrame, n: int) -> float:
+    """The odds that all but ``FALSE_SHARE`` of ``n`` paragraphs stay below; only those at the top are put in order."""
+    scored = _scored(model, _features(held)).select(_odds(families)[0]["probability"].alias("top"), "n")
+    place = FALSE_SHARE * (n - 1)
+    first = int(place)
+    highest = scored.orderBy(F.desc("top")).limit(first + 2)
+    upto = F.sum("n").over(Window.orderBy(F.desc("top")).rowsBetween(Window.unboundedPreceding, 0))
+    at = [F.max(F.when(F.col("upto") > min(k, n - 1), F.col("top"))) for k in (first, first + 1)]
+    above, below = highest.select("top", upto.alias("upto")).agg(*at).first()
+    return above + (place - first) * (below - above)
 
 
 # Lines that speak of licences without granting one.
@@ -266,7 +295,7 @@ def scan(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
     model = model or train(docs)
     known = _known(docs.sparkSession)
     possible = paragraphs(docs).where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in key_words(known)])))
-    rows = _scored(model.pipeline, _features(_pairs(possible))).where(_odds(model.families)[0]["probability"] >= model.least)
+    rows = _scored(model.pipeline, _features(_grams(_pairs(possible), known))).where(_odds(model.families)[0]["probability"] >= model.least)
     hits = rows.select("row", "doc_id", "window", "pairs", "at", F.explode(_confirmed(known, model)).alias("x")).select(
         "row", "doc_id", "window", "x.family", "x.probability", "x.template", "x.similarity", _line().alias("paragraph"),
         "x.pairs", F.array_intersect("x.pairs", "pairs").alias("seen"),

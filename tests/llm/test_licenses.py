@@ -99,3 +99,23 @@ def test_key_words_lose_no_confirmation(spark):
     for r in known:
         without = [p for p in r["notice_pairs"] if not keys & set(p.split(" "))]
         assert len(without) < licenses.CONFIRM * len(r["notice_pairs"])
+
+
+def test_all_ordinary_paragraphs_are_counted(spark, sentence):
+    """Every paragraph of every document is trained on or calibrates the level, however many there are."""
+    rows = [(i, f"{sentence(i, 9)} of this work {sentence(i + 7, 9)}" if i % 2 else sentence(i, 80)) for i in range(5000)]
+    docs = spark.createDataFrame([*rows, (9000, "Released under the MIT License."), (9001, None), (9002, "\n")], "doc_id long, text string")
+    counted = licenses.ordinary(docs, licenses._known(spark)).collect()
+    assert sum(r["n"] for r in counted) == 2500 + 2 * 2500 and {r["part"] for r in counted} == {0, 1}
+    assert sum(r["n"] for r in counted if "this work" in r["grams"]) == 2500
+    assert {w for r in counted for w in r["grams"]} <= {"of", "this", "work", "of this", "this work"}
+
+
+def test_the_level_is_the_exact_rank(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "FALSE_SHARE", 0.1)
+    docs = spark.createDataFrame([(i, " ".join(["under the license this work is licensed"][: i % 2] + [f"w{i % 13}", "software", "the terms"][: i % 4])) for i in range(300)], "doc_id long, text string")
+    model = licenses.train(docs)
+    held = licenses.ordinary(docs, licenses._known(spark)).where("part = 1")
+    scored = licenses._scored(model.pipeline, licenses._features(held)).select(licenses._odds(model.families)[0]["probability"].alias("top"), "n")
+    want = scored.selectExpr("percentile(top, 0.9, n)").first()[0]
+    assert model.least == pytest.approx(want, rel=1e-9)
