@@ -138,9 +138,14 @@ def _pairs(df: DataFrame) -> DataFrame:
     return NGram(n=2, inputCol="words", outputCol="pairs").transform(df)
 
 
+def _told(known: list) -> list[str]:
+    """The words and pairs that stand in a notice."""
+    return sorted({gram for r in known for pair in r["notice_pairs"] for gram in (pair, *pair.split(" "))})
+
+
 def _grams(df: DataFrame, known: list) -> DataFrame:
     """``df`` with those of its words and pairs that stand in a notice."""
-    told = sorted({gram for r in known for pair in r["notice_pairs"] for gram in (pair, *pair.split(" "))})
+    told = _told(known)
     return df.withColumn("grams", F.array_sort(F.array_distinct(F.filter(F.concat("words", "pairs"), lambda gram: gram.isin(told)))))
 
 
@@ -149,17 +154,30 @@ def _features(df: DataFrame) -> DataFrame:
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(df)
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
+def _worded(docs: DataFrame) -> DataFrame:
+    """doc_id and w, the words of each line of the texts that are not null. A blank line is one empty word."""
+    cut = F.transform(F.split("text", "\n"), lambda x: F.regexp_extract_all(F.lower(x), F.lit(_WORD), F.lit(0)))
+    return pick_text(docs).where("text is not null").select("doc_id", F.transform(cut, lambda w: F.when(F.size(w) == 0, F.array(F.lit(""))).otherwise(w)).alias("w"))
+
+
+def _starts() -> Column:
+    """Where, from 0, the windows over ``words`` start."""
+    return F.sequence(F.lit(0), F.greatest(F.size("words") - STEP - 1, F.lit(0)), F.lit(STEP))
+
+
+def paragraphs(docs: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """row (a number for each row of ``docs``), doc_id, window (from 0), words and the line of each word.
 
-    A blank line is one empty word."""
-    lined = pick_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", "\n").alias("lines")).where("lines is not null")
-    cut = F.transform("lines", lambda x: F.regexp_extract_all(F.lower(x), F.lit(_WORD), F.lit(0)))
-    worded = lined.select("row", "doc_id", F.transform(cut, lambda w: F.when(F.size(w) == 0, F.array(F.lit(""))).otherwise(w)).alias("w"))
-    flat = worded.select("row", "doc_id", F.flatten("w").alias("words"), F.flatten(F.transform("w", lambda w, i: F.array_repeat(i, F.size(w)))).alias("at"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - STEP - 1, F.lit(0)), F.lit(STEP))
-    windows = F.transform(starts, lambda s: F.struct(F.slice("words", s + 1, WORDS).alias("words"), F.slice("at", s + 1, WORDS).alias("at")))
-    return flat.select("row", "doc_id", F.posexplode(windows).alias("window", "x")).select("row", "doc_id", "window", "x.words", "x.at")
+    A blank line is one empty word. With ``keys`` only the paragraphs that hold one of these words."""
+    # The row number stands between words and filter, so that words are not cut again for the filter.
+    flat, starts = _worded(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.flatten("w").alias("words"), "w"), _starts()
+    if keys is not None:
+        held = F.array(*[F.lit(w) for w in keys])
+        flat = flat.where(F.arrays_overlap("words", held))
+        starts = F.filter(starts, lambda s: F.arrays_overlap(F.slice("words", s + 1, WORDS), held))
+    lined = flat.select("row", "doc_id", "words", F.flatten(F.transform("w", lambda w, i: F.array_repeat(i, F.size(w)))).alias("at"))
+    windows = F.transform(starts, lambda s: F.struct((s / STEP).cast("int").alias("window"), F.slice("words", s + 1, WORDS).alias("words"), F.slice("at", s + 1, WORDS).alias("at")))
+    return lined.select("row", "doc_id", F.explode(windows).alias("x")).select("row", "doc_id", "x.window", "x.words", "x.at")
 
 
 def notices(spark: SparkSession) -> DataFrame:
@@ -217,12 +235,31 @@ def _odds(families: list[str]) -> Column:
 
 
 def ordinary(docs: DataFrame, known: list) -> DataFrame:
-    """part (0 to train on, 1 to calibrate), grams and n: how many paragraphs of all documents that do not look like a notice have them."""
-    rows = _pairs(paragraphs(docs).where(F.exists("words", lambda w: w != "")))
-    possible = F.arrays_overlap("words", F.array(*[F.lit(w) for w in key_words(known, ALIKE)]))
-    alike = F.when(possible, F.exists(_fits(known, F.col("pairs")), lambda x: x["similarity"] >= ALIKE)).otherwise(F.lit(False))
-    part = F.pmod(F.xxhash64("words"), F.lit(2)).alias("part")
-    return _grams(rows.where(~alike), known).select(part, "grams").groupBy("part", "grams").agg(F.count("*").alias("n"))
+    """part (0 to train on, 1 to calibrate), grams and n: how many paragraphs of all documents that do not look like a notice have them.
+
+    A word is looked up once, not once per paragraph and pair: ``told`` has two places per word, for itself and for the pair it begins, null
+    where they cannot stand in a notice. Key words and the pairs that a paragraph shares with a notice are all among its grams."""
+    told, pairs = _told(known), sorted({pair for r in known for pair in r["notice_pairs"]})
+    first, second = (sorted({pair.split(" ")[i] for pair in pairs}) for i in (0, 1))
+    flat = _worded(docs).select(F.flatten("w").alias("words"))
+
+    def places(a: Column, b: Column) -> Column:
+        pair = F.when(a.isin(first) & b.isin(second), F.concat(a, F.lit(" "), b))
+        return F.when(a.isin(told), F.array(a, pair)).otherwise(F.array(F.lit(None).cast("string"), F.lit(None).cast("string")))
+
+    both = F.zip_with("words", F.slice("words", F.lit(2), F.size("words")), places)
+    marked = flat.select("words", F.flatten(both).alias("told"))
+
+    def paragraph(s: Column) -> Column:
+        words, seen = F.slice("words", s + 1, WORDS), F.array_distinct(F.slice("told", 2 * s + 1, 2 * WORDS - 1))
+        grams = F.sort_array(F.filter(seen, lambda gram: gram.isin(told)))
+        return F.struct(F.pmod(F.xxhash64(words), F.lit(2)).alias("part"), grams.alias("grams"))
+
+    worded = F.filter(_starts(), lambda s: F.exists(F.slice("words", s + 1, WORDS), lambda w: w != ""))
+    counted = marked.select(F.explode(F.transform(worded, paragraph)).alias("x")).groupBy("x.part", "x.grams").agg(F.count("*").alias("n"))
+    keys = key_words(known, ALIKE)
+    alike = F.when(F.exists("grams", lambda gram: gram.isin(keys)), F.exists(_fits(known, F.col("grams")), lambda x: x["similarity"] >= ALIKE)).otherwise(F.lit(False))
+    return counted.where(~alike)
 
 
 def train(docs: DataFrame) -> LicenseModel:
@@ -294,8 +331,7 @@ def scan(docs: DataFrame, model: LicenseModel | None = None) -> DataFrame:
     """doc_id, paragraph, family, probability, template, similarity of every licence notice found."""
     model = model or train(docs)
     known = _known(docs.sparkSession)
-    possible = paragraphs(docs).where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in key_words(known)])))
-    rows = _scored(model.pipeline, _features(_grams(_pairs(possible), known))).where(_odds(model.families)[0]["probability"] >= model.least)
+    rows = _scored(model.pipeline, _features(_grams(_pairs(paragraphs(docs, key_words(known))), known))).where(_odds(model.families)[0]["probability"] >= model.least)
     hits = rows.select("row", "doc_id", "window", "pairs", "at", F.explode(_confirmed(known, model)).alias("x")).select(
         "row", "doc_id", "window", "x.family", "x.probability", "x.template", "x.similarity", _line().alias("paragraph"),
         "x.pairs", F.array_intersect("x.pairs", "pairs").alias("seen"),

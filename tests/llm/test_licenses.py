@@ -119,3 +119,37 @@ def test_the_level_is_the_exact_rank(spark, monkeypatch):
     scored = licenses._scored(model.pipeline, licenses._features(held)).select(licenses._odds(model.families)[0]["probability"].alias("top"), "n")
     want = scored.selectExpr("percentile(top, 0.9, n)").first()[0]
     assert model.least == pytest.approx(want, rel=1e-9)
+
+
+def mixed(spark, sentence):
+    told = "this work is licensed under the terms of the version 2 and 2.0 license".split()
+    rows = [(i, " ".join(w for k, own in enumerate(sentence(i, 5 + 23 * (i % 9)).split()) for w in ([own] if (i + k) % 3 else [own, told[(i * k) % len(told)], told[(i * k + 1) % len(told)]]))) for i in range(200)]
+    rows += [(1000 + i, f"{sentence(i, 31 * (i % 3))}\n{text}\n\n{sentence(i, 40)}") for i, (_, text) in enumerate(flat())]
+    rows += [(2000, None), (2001, ""), (2002, "\n" * 200 + "of the\n\nlicense"), (2003, "the"), (2004, "licensed\n\nunder the"), (2005, "of the " * 500), (2005, "of the " * 500)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_ordinary_paragraphs_have_the_grams_of_their_words(spark, sentence):
+    """The words of a text are looked up once; each paragraph gets what a lookup of its own words and pairs gives."""
+    docs, known = mixed(spark, sentence), licenses._known(spark)
+    notices = [set(r["notice_pairs"]) for r in known]
+    told, want = {g for own in notices for pair in own for g in (pair, *pair.split(" "))}, {}
+    for r in licenses.paragraphs(docs).selectExpr("words", "pmod(xxhash64(words), 2) AS part").collect():
+        pairs = {f"{a} {b}" for a, b in zip(r["words"], r["words"][1:])}
+        if any(r["words"]) and not any(len(own & pairs) / len(own) >= licenses.ALIKE for own in notices):
+            key = (r["part"], tuple(sorted(told & {*r["words"], *pairs})))
+            want[key] = want.get(key, 0) + 1
+    counted = licenses.ordinary(docs, known)
+    got = [((r["part"], tuple(r["grams"])), r["n"]) for r in counted.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    # Neither a function per paragraph that Spark must convert rows for, nor the words of every paragraph as rows.
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF(" not in plan and "posexplode" not in plan
+
+
+def test_paragraphs_with_key_words(spark, sentence):
+    docs, keys = mixed(spark, sentence), licenses.key_words(licenses._known(spark))
+    columns = ("doc_id", "window", "words", "at")
+    some = sorted(tuple(map(str, r)) for r in licenses.paragraphs(docs, keys).select(*columns).collect())
+    every = licenses.paragraphs(docs).select(*columns).collect()
+    assert some == sorted(tuple(map(str, r)) for r in every if set(keys) & set(r["words"])) and 0 < len(some) < len(every)
